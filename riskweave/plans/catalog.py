@@ -144,3 +144,325 @@ def report_table(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """A report as the resilience stage reads it: written once, read back."""
     return shared_table(spark, sf_dir, f"report_{key}",
                         lambda: REPORTS[key](processed_fact(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# E: graph construction
+# --------------------------------------------------------------------------
+
+from ..operators import graph, network, resilience  # noqa: E402
+
+
+def nodes_table(spark, sf_dir):
+    return shared_table(spark, sf_dir, "graph_nodes",
+                        lambda: network.graph_nodes(processed_fact(spark, sf_dir)))
+
+
+def edges_table(spark, sf_dir):
+    return shared_table(spark, sf_dir, "graph_edges",
+                        lambda: network.graph_edges(processed_fact(spark, sf_dir)))
+
+
+@query("graph_nodes")
+def q_graph_nodes(spark, sf_dir):
+    return network.graph_nodes(processed_fact(spark, sf_dir))
+
+
+@query("node_type_counts")
+def q_node_type_counts(spark, sf_dir):
+    return network.node_type_counts(nodes_table(spark, sf_dir))
+
+
+@query("graph_edges")
+def q_graph_edges(spark, sf_dir):
+    return network.graph_edges(processed_fact(spark, sf_dir))
+
+
+@query("relationship_counts")
+def q_relationship_counts(spark, sf_dir):
+    return network.relationship_counts(edges_table(spark, sf_dir))
+
+
+@query("route_edges")
+def q_route_edges(spark, sf_dir):
+    return network.route_edges(processed_fact(spark, sf_dir))
+
+
+@query("route_network_summary")
+def q_route_network_summary(spark, sf_dir):
+    return network.route_network_summary(network.route_edges(processed_fact(spark, sf_dir)))
+
+
+@query("top_connections")
+def q_top_connections(spark, sf_dir):
+    return network.top_connections(edges_table(spark, sf_dir))
+
+
+@query("graph_summary")
+def q_graph_summary(spark, sf_dir):
+    nodes, edges = nodes_table(spark, sf_dir), edges_table(spark, sf_dir)
+    routes = network.route_edges(processed_fact(spark, sf_dir))
+    stats = graph.graph_stats(nodes, edges)
+    return (nodes.agg(F.count(F.lit(1)).alias("total_nodes"))
+            .join(F.broadcast(edges.agg(F.count(F.lit(1)).alias("total_edges"))), how="inner")
+            .join(F.broadcast(routes.agg(F.count(F.lit(1)).alias("total_route_edges"))), how="inner")
+            .join(F.broadcast(stats.select(F.col("edge_count").alias("valid_edges"))), how="inner"))
+
+
+# --------------------------------------------------------------------------
+# F: graph analytics
+# --------------------------------------------------------------------------
+
+def pagerank_table(spark, sf_dir):
+    return shared_table(spark, sf_dir, "pagerank",
+                        lambda: graph.pagerank(nodes_table(spark, sf_dir), edges_table(spark, sf_dir)))
+
+
+def degree_table(spark, sf_dir):
+    return shared_table(spark, sf_dir, "degree",
+                        lambda: graph.degree(nodes_table(spark, sf_dir), edges_table(spark, sf_dir)))
+
+
+def criticality_table(spark, sf_dir):
+    return graph.node_criticality(pagerank_table(spark, sf_dir), degree_table(spark, sf_dir))
+
+
+def _pr6(df: DataFrame) -> DataFrame:
+    return round6(df, "pagerank")
+
+
+@query("valid_edges")
+def q_valid_edges(spark, sf_dir):
+    return graph.valid_edges(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+
+
+@query("in_degree")
+def q_in_degree(spark, sf_dir):
+    return graph.in_degree(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+
+
+@query("out_degree")
+def q_out_degree(spark, sf_dir):
+    return graph.out_degree(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+
+
+@query("degree")
+def q_degree(spark, sf_dir):
+    return graph.degree(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+
+
+@query("pagerank")
+def q_pagerank(spark, sf_dir):
+    return _pr6(graph.pagerank(nodes_table(spark, sf_dir), edges_table(spark, sf_dir)))
+
+
+@query("top_pagerank_by_type")
+def q_top_pagerank_by_type(spark, sf_dir):
+    return graph.top_by_type(_pr6(pagerank_table(spark, sf_dir)), "pagerank")
+
+
+def components_table(spark, sf_dir):
+    return shared_table(spark, sf_dir, "components",
+                        lambda: graph.connected_components(nodes_table(spark, sf_dir),
+                                                           edges_table(spark, sf_dir)))
+
+
+@query("connected_components")
+def q_connected_components(spark, sf_dir):
+    return graph.connected_components(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+
+
+@query("component_sizes")
+def q_component_sizes(spark, sf_dir):
+    return graph.component_sizes(components_table(spark, sf_dir))
+
+
+CRITICALITY_DOUBLES = ("pagerank", "degree_score", "pagerank_score")
+
+
+@query("critical_nodes")
+def q_critical_nodes(spark, sf_dir):
+    return round6(criticality_table(spark, sf_dir), *CRITICALITY_DOUBLES)
+
+
+@query("top_critical_by_type")
+def q_top_critical_by_type(spark, sf_dir):
+    return round6(graph.top_by_type(criticality_table(spark, sf_dir), "criticality_score"),
+                  *CRITICALITY_DOUBLES)
+
+
+@query("edge_criticality")
+def q_edge_criticality(spark, sf_dir):
+    return graph.edge_criticality(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+
+
+IMPACT_DOUBLES = ("affected_percentage", "resilience_score")
+
+
+@query("removal_impact_top")
+def q_removal_impact_top(spark, sf_dir):
+    nodes, edges = nodes_table(spark, sf_dir), edges_table(spark, sf_dir)
+    return round6(graph.removal_impact(nodes, edges, criticality_table(spark, sf_dir),
+                                       "criticality_score"), *IMPACT_DOUBLES)
+
+
+@query("removal_impact_pagerank")
+def q_removal_impact_pagerank(spark, sf_dir):
+    nodes, edges = nodes_table(spark, sf_dir), edges_table(spark, sf_dir)
+    return round6(graph.removal_impact(nodes, edges, _pr6(pagerank_table(spark, sf_dir)),
+                                       "pagerank"), *IMPACT_DOUBLES)
+
+
+@query("removal_impact_all")
+def q_removal_impact_all(spark, sf_dir):
+    return round6(graph.removal_impact_all(nodes_table(spark, sf_dir), edges_table(spark, sf_dir)),
+                  *IMPACT_DOUBLES)
+
+
+# --------------------------------------------------------------------------
+# G: resilience roll-up
+# --------------------------------------------------------------------------
+
+def _suppliers(spark, sf_dir):
+    return resilience.supplier_scores(report_table(spark, sf_dir, "supplier_risk"))
+
+
+def _warehouses(spark, sf_dir):
+    return resilience.warehouse_scores(report_table(spark, sf_dir, "warehouse_inventory"))
+
+
+def _routes(spark, sf_dir):
+    return resilience.route_scores(report_table(spark, sf_dir, "route_risk"))
+
+
+def _delivery(spark, sf_dir):
+    return resilience.delivery_risk(report_table(spark, sf_dir, "delivery_performance"))
+
+
+def _overall(spark, sf_dir):
+    return resilience.overall_risk_score(report_table(spark, sf_dir, "overall_risk"),
+                                         _delivery(spark, sf_dir))
+
+
+def _network(spark, sf_dir):
+    return resilience.network_risk(degree_table(spark, sf_dir), pagerank_table(spark, sf_dir))
+
+
+def _resilience(spark, sf_dir):
+    return resilience.network_resilience(_network(spark, sf_dir))
+
+
+def _counts(spark, sf_dir):
+    return resilience.risk_counts(_suppliers(spark, sf_dir), _warehouses(spark, sf_dir),
+                                  _routes(spark, sf_dir))
+
+
+@query("supplier_scores")
+def q_supplier_scores(spark, sf_dir):
+    return round6(_suppliers(spark, sf_dir), "supplier_risk_score")
+
+
+@query("warehouse_scores")
+def q_warehouse_scores(spark, sf_dir):
+    return round6(_warehouses(spark, sf_dir), "warehouse_risk_score")
+
+
+@query("route_scores")
+def q_route_scores(spark, sf_dir):
+    return round6(_routes(spark, sf_dir), "delay_score", "late_delivery_score")
+
+
+DELIVERY_DOUBLES = ("late_delivery_percentage", "on_time_delivery_percentage", "delivery_risk_score")
+
+
+@query("delivery_risk")
+def q_delivery_risk(spark, sf_dir):
+    return round6(_delivery(spark, sf_dir), *DELIVERY_DOUBLES)
+
+
+@query("overall_risk_score")
+def q_overall_risk_score(spark, sf_dir):
+    return round6(_overall(spark, sf_dir), "overall_risk_score")
+
+
+@query("overall_risk_from_facts")
+def q_overall_risk_from_facts(spark, sf_dir):
+    return round6(resilience.overall_risk_score(processed_fact(spark, sf_dir), _delivery(spark, sf_dir)),
+                  "overall_risk_score")
+
+
+NETWORK_DOUBLES = ("pagerank", "degree_normalized", "pagerank_normalized")
+
+
+@query("network_risk")
+def q_network_risk(spark, sf_dir):
+    return round6(_network(spark, sf_dir), *NETWORK_DOUBLES)
+
+
+@query("critical_node")
+def q_critical_node(spark, sf_dir):
+    return resilience.critical_node(_network(spark, sf_dir))
+
+
+@query("network_resilience")
+def q_network_resilience(spark, sf_dir):
+    return round6(_resilience(spark, sf_dir), "average_network_criticality", "graphx_resilience_score")
+
+
+@query("risk_distribution")
+def q_risk_distribution(spark, sf_dir):
+    return resilience.risk_distribution(_suppliers(spark, sf_dir), _warehouses(spark, sf_dir),
+                                        _routes(spark, sf_dir))
+
+
+@query("top_critical_suppliers")
+def q_top_critical_suppliers(spark, sf_dir):
+    return round6(resilience.top_critical_entities(
+        _suppliers(spark, sf_dir), "supplier_risk_level", "supplier_risk_score",
+        resilience.SUPPLIER_TOP_COLUMNS), "supplier_risk_score")
+
+
+@query("top_critical_warehouses")
+def q_top_critical_warehouses(spark, sf_dir):
+    return round6(resilience.top_critical_entities(
+        _warehouses(spark, sf_dir), "warehouse_risk_level", "warehouse_risk_score",
+        resilience.WAREHOUSE_TOP_COLUMNS), "warehouse_risk_score")
+
+
+@query("top_critical_routes")
+def q_top_critical_routes(spark, sf_dir):
+    return resilience.top_critical_entities(
+        _routes(spark, sf_dir), "route_risk_category", "route_risk_score",
+        resilience.ROUTE_TOP_COLUMNS)
+
+
+@query("risk_counts")
+def q_risk_counts(spark, sf_dir):
+    return _counts(spark, sf_dir)
+
+
+@query("entity_risk")
+def q_entity_risk(spark, sf_dir):
+    return round6(resilience.entity_risk(_suppliers(spark, sf_dir), _warehouses(spark, sf_dir),
+                                         _routes(spark, sf_dir), _resilience(spark, sf_dir)),
+                  "operational_risk_score", "graphx_resilience_score")
+
+
+ROLLUP_DOUBLES = DELIVERY_DOUBLES + ("overall_risk_score", "average_network_criticality",
+                                     "graphx_resilience_score")
+
+
+def _rollup_parts(spark, sf_dir):
+    network_df = _network(spark, sf_dir)
+    return (_counts(spark, sf_dir), _delivery(spark, sf_dir), _overall(spark, sf_dir),
+            resilience.network_resilience(network_df), resilience.critical_node(network_df))
+
+
+@query("executive_kpis")
+def q_executive_kpis(spark, sf_dir):
+    return round6(resilience.executive_kpis(*_rollup_parts(spark, sf_dir)), *ROLLUP_DOUBLES)
+
+
+@query("resilience_summary")
+def q_resilience_summary(spark, sf_dir):
+    return round6(resilience.resilience_summary(*_rollup_parts(spark, sf_dir)), *ROLLUP_DOUBLES)
