@@ -75,8 +75,13 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
     ``reset`` with that as its last change; each round, vertices whose last
     change exceeds ``tol`` and that changed in the previous round send
     ``change / out_degree`` along their out-edges; a receiving vertex adds
-    ``(1 - reset) * sum``. It stops when nobody sends; finally ranks are scaled
-    by N / sum so they add up to the number of nodes (isolated nodes included).
+    ``(1 - reset) * sum``. It stops when nobody can send; finally ranks are
+    scaled by N / sum so they add up to the number of nodes (isolated nodes
+    included).
+
+    Per round: one join of the senders with the weighted edges, one partial +
+    final aggregation by destination, one join back to the state, and a single
+    job that both materialises the new state and counts the next senders.
     """
     damp = 1.0 - reset
     e = valid_edges(nodes, edges).select("src", "dst")
@@ -84,34 +89,40 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
     weighted = (e.join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("_out")).alias("w"))
                  .persist(StorageLevel.MEMORY_AND_DISK))
 
-    state = nodes.select("node_id", F.lit(reset).alias("pr"), F.lit(reset).alias("delta"),
-                         F.lit(True).alias("active"))
-    state = _cut(state, 0, 1)
+    # A vertex without out-edges never sends; knowing that ends the loop one
+    # round earlier on acyclic graphs.
+    state = (nodes.select("node_id")
+                  .join(outdeg.select(F.col("src").alias("node_id"), F.lit(True).alias("_src")),
+                        "node_id", "left")
+                  .select("node_id", F.lit(reset).alias("pr"), F.lit(reset).alias("delta"),
+                          F.lit(True).alias("active"),
+                          F.coalesce(F.col("_src"), F.lit(False)).alias("has_out"))
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+
+    def can_send(df):
+        return df.where(F.col("active") & F.col("has_out") & (F.col("delta") > tol))
+
+    pending = can_send(state).count()
     rounds = 0
-    previous = []
-    while max_iter is None or rounds < max_iter:
-        senders = state.where(F.col("active") & (F.col("delta") > tol))
-        if senders.isEmpty():
-            break
-        msgs = (weighted.join(senders.select(F.col("node_id").alias("src"), "delta"), "src")
+    while pending and (max_iter is None or rounds < max_iter):
+        msgs = (weighted.join(can_send(state).select(F.col("node_id").alias("src"), "delta"), "src")
                         .groupBy(F.col("dst").alias("node_id"))
                         .agg(F.sum(F.col("delta") * F.col("w")).alias("_msg")))
         got = F.col("_msg").isNotNull()
         new_pr = F.col("pr") + F.lit(damp) * F.col("_msg")
-        state_next = state.join(msgs, "node_id", "left").select(
+        nxt = state.join(msgs, "node_id", "left").select(
             "node_id",
             F.when(got, new_pr).otherwise(F.col("pr")).alias("pr"),
             F.when(got, new_pr - F.col("pr")).otherwise(F.col("delta")).alias("delta"),
             got.alias("active"),
+            "has_out",
         )
         rounds += 1
-        state_next = _cut(state_next, rounds, checkpoint_every)
-        state_next.count()
-        previous.append(state)
-        state = state_next
-        for old in previous[:-1]:
-            old.unpersist()
-        previous = previous[-1:]
+        nxt = _cut(nxt, rounds, checkpoint_every)
+        pending = can_send(nxt).count()   # materialises nxt and counts senders
+        state.unpersist()
+        state = nxt
+    weighted.unpersist()
 
     total = state.agg(F.sum("pr").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     scaled = state.join(F.broadcast(total), how="inner").select(
@@ -122,28 +133,36 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
 def connected_components(nodes: DataFrame, edges: DataFrame, max_iter: int | None = None,
                          checkpoint_every: int = 4) -> DataFrame:
     """undirected components by min-label propagation; the label is the
-    smallest ``node_id`` of the component (stable, unlike positional ids)."""
+    smallest ``node_id`` of the component (stable, unlike positional ids).
+
+    Each round a node takes the smallest label among itself and its neighbours;
+    only nodes whose label changed propagate in the next round. One job per
+    round materialises the labels and counts the changes.
+    """
     e = valid_edges(nodes, edges)
     sym = (e.select("src", "dst").union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
             .where(F.col("src") != F.col("dst")).distinct()
             .persist(StorageLevel.MEMORY_AND_DISK))
-    labels = _cut(nodes.select("node_id", F.col("node_id").alias("label")), 0, 1)
+    labels = (nodes.select("node_id", F.col("node_id").alias("label"), F.lit(True).alias("_changed"))
+                   .persist(StorageLevel.MEMORY_AND_DISK))
+    pending = 1
     rounds = 0
-    while max_iter is None or rounds < max_iter:
-        best = (sym.join(labels.select(F.col("node_id").alias("src"), "label"), "src")
+    while pending and (max_iter is None or rounds < max_iter):
+        movers = labels.where("_changed").select(F.col("node_id").alias("src"), "label")
+        best = (sym.join(movers, "src")
                    .groupBy(F.col("dst").alias("node_id")).agg(F.min("label").alias("_nl")))
-        joined = labels.join(best, "node_id", "left")
-        nxt = joined.select(
+        smaller = F.coalesce(F.col("_nl") < F.col("label"), F.lit(False))
+        nxt = labels.join(best, "node_id", "left").select(
             "node_id",
-            F.when(F.col("_nl") < F.col("label"), F.col("_nl")).otherwise(F.col("label")).alias("label"),
-            F.coalesce(F.col("_nl") < F.col("label"), F.lit(False)).alias("_changed"),
+            F.when(smaller, F.col("_nl")).otherwise(F.col("label")).alias("label"),
+            smaller.alias("_changed"),
         )
         rounds += 1
         nxt = _cut(nxt, rounds, checkpoint_every)
-        changed = nxt.where("_changed").limit(1).count()
-        labels = nxt.select("node_id", "label")
-        if changed == 0:
-            break
+        pending = nxt.where("_changed").count()   # materialises nxt and counts changes
+        labels.unpersist()
+        labels = nxt
+    sym.unpersist()
     return labels.join(nodes, "node_id").select(
         F.col("label").alias("component_id"), "node_type", "node_id")
 

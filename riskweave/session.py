@@ -26,6 +26,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.sql.session.timeZone", "UTC")
+        # Wide projections (the 47-column processed fact) generate one method
+        # larger than the JIT's 8000-byte limit and would run interpreted; let
+        # Spark fall back for such stages only.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("RISKWEAVE_DRIVER_MEMORY", "8g"))
     )
     for k, v in (extra or {}).items():
