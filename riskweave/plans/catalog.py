@@ -47,6 +47,21 @@ def processed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
                         lambda: features.add_risk_features(clean.clean_fact(raw_fact(spark, sf_dir))))
 
 
+# --------------------------------------------------------------------------
+# A: sources and sinks
+# --------------------------------------------------------------------------
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """A1 + A3: the raw fact written as CSV to the shared checkpoint folder and
+    read back with the declared contract schema (PERMISSIVE)."""
+    from ..session import table_path
+    from ..sources.fact import FACT_SCHEMA
+    from ..sources.tables import read_raw_csv, write_csv
+    path = write_csv(raw_fact(spark, sf_dir), table_path(spark, "raw_csv"))
+    return read_raw_csv(spark, path, FACT_SCHEMA)
+
+
 # --------------------------------------------------------------------------
 # B: profiling and cleaning
 # --------------------------------------------------------------------------

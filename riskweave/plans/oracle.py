@@ -806,3 +806,6 @@ SELECT {R6('r.graphx_resilience_score')} AS graphx_resilience_score, r.graphx_re
        c.critical_suppliers AS critical_supplier_count, c.critical_warehouses AS critical_warehouse_count,
        c.critical_routes AS critical_route_count
 {_ROLLUP_FROM}""", *_ROLLUP_DEPS))
+
+
+register("csv_roundtrip", q("SELECT * FROM raw_fact", "raw_fact"))

@@ -43,6 +43,9 @@ def write_result(df: DataFrame, base: str, name: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """CSV with header (used to produce raw input for the A1 round trip)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header, values written verbatim (Spark's CSV writer trims
+    surrounding whitespace by default; raw input must keep it)."""
+    (df.write.mode("overwrite").option("header", True)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
     return path
