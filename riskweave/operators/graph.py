@@ -58,11 +58,23 @@ def degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return _typed(counts, nodes, "degree")
 
 
-def _cut(df: DataFrame, round_no: int, every: int) -> DataFrame:
-    """Persist each round; reliably checkpoint every ``every`` rounds."""
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _by_key(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """Hash-partition once and keep it: later joins on ``key`` with inputs
+    partitioned the same way need no shuffle of this side."""
+    return df.repartition(parts, key).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _cut(df: DataFrame, round_no: int, every: int, key: str, parts: int) -> DataFrame:
+    """Persist each round's state; every ``every`` rounds write a reliable
+    checkpoint to the shared folder (bounding recomputation after a lost
+    executor) and re-establish the hash partitioning the checkpoint drops."""
     if every and round_no % every == 0:
         checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        return _by_key(df.checkpoint(eager=True), key, parts)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -79,25 +91,29 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
     scaled by N / sum so they add up to the number of nodes (isolated nodes
     included).
 
-    Per round: one join of the senders with the weighted edges, one partial +
-    final aggregation by destination, one join back to the state, and a single
-    job that both materialises the new state and counts the next senders.
+    The weighted edges are hash-partitioned by ``src`` once and the vertex
+    state by ``node_id`` with the same partition count, so senders ⋈ edges and
+    state ⋈ messages are co-partitioned: each round shuffles only the
+    messages, after map-side combining by destination. One job per round
+    materialises the new state and counts the next senders.
     """
     damp = 1.0 - reset
+    parts = _partitions(nodes)
     e = valid_edges(nodes, edges).select("src", "dst")
     outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
-    weighted = (e.join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("_out")).alias("w"))
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+    weighted = _by_key(e.join(outdeg, "src")
+                        .select("src", "dst", (F.lit(1.0) / F.col("_out")).alias("w")), "src", parts)
 
     # A vertex without out-edges never sends; knowing that ends the loop one
     # round earlier on acyclic graphs.
-    state = (nodes.select("node_id")
-                  .join(outdeg.select(F.col("src").alias("node_id"), F.lit(True).alias("_src")),
-                        "node_id", "left")
-                  .select("node_id", F.lit(reset).alias("pr"), F.lit(reset).alias("delta"),
-                          F.lit(True).alias("active"),
-                          F.coalesce(F.col("_src"), F.lit(False)).alias("has_out"))
-                  .persist(StorageLevel.MEMORY_AND_DISK))
+    state = _by_key(
+        nodes.select("node_id")
+             .join(outdeg.select(F.col("src").alias("node_id"), F.lit(True).alias("_src")),
+                   "node_id", "left")
+             .select("node_id", F.lit(reset).alias("pr"), F.lit(reset).alias("delta"),
+                     F.lit(True).alias("active"),
+                     F.coalesce(F.col("_src"), F.lit(False)).alias("has_out")),
+        "node_id", parts)
 
     def can_send(df):
         return df.where(F.col("active") & F.col("has_out") & (F.col("delta") > tol))
@@ -118,7 +134,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
             "has_out",
         )
         rounds += 1
-        nxt = _cut(nxt, rounds, checkpoint_every)
+        nxt = _cut(nxt, rounds, checkpoint_every, "node_id", parts)
         pending = can_send(nxt).count()   # materialises nxt and counts senders
         state.unpersist()
         state = nxt
@@ -139,12 +155,13 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_iter: int | Non
     only nodes whose label changed propagate in the next round. One job per
     round materialises the labels and counts the changes.
     """
+    parts = _partitions(nodes)
     e = valid_edges(nodes, edges)
-    sym = (e.select("src", "dst").union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-            .where(F.col("src") != F.col("dst")).distinct()
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    labels = (nodes.select("node_id", F.col("node_id").alias("label"), F.lit(True).alias("_changed"))
-                   .persist(StorageLevel.MEMORY_AND_DISK))
+    sym = _by_key(e.select("src", "dst")
+                   .union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+                   .where(F.col("src") != F.col("dst")).distinct(), "src", parts)
+    labels = _by_key(nodes.select("node_id", F.col("node_id").alias("label"),
+                                  F.lit(True).alias("_changed")), "node_id", parts)
     pending = 1
     rounds = 0
     while pending and (max_iter is None or rounds < max_iter):
@@ -158,7 +175,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_iter: int | Non
             smaller.alias("_changed"),
         )
         rounds += 1
-        nxt = _cut(nxt, rounds, checkpoint_every)
+        nxt = _cut(nxt, rounds, checkpoint_every, "node_id", parts)
         pending = nxt.where("_changed").count()   # materialises nxt and counts changes
         labels.unpersist()
         labels = nxt
