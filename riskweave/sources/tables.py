@@ -49,3 +49,9 @@ def write_csv(df: DataFrame, path: str) -> str:
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
     return path
+
+
+def register_fact(df: DataFrame, name: str = "supply_chain") -> DataFrame:
+    """A4: expose the (processed) fact to ``spark.sql`` users as a temp view."""
+    df.createOrReplaceTempView(name)
+    return df

@@ -29,3 +29,18 @@ def test_parquet_sink_overwrites(spark):
     p = write_result(df, d, "result")
     write_result(spark.range(3), d, "result")
     assert spark.read.parquet(p).count() == 3
+
+
+def test_register_fact_sql_matches_operator(spark):
+    from conftest import SF01
+    from riskweave.operators import reports
+    from riskweave.plans.catalog import processed_fact
+    from riskweave.sources.tables import register_fact
+    fact = register_fact(processed_fact(spark, SF01))
+    sql = spark.sql("""
+        SELECT Supplier_ID, COUNT(*) AS total_orders,
+               ROUND(AVG(Supplier_Risk_Score), 2) AS avg_supplier_risk
+        FROM supply_chain WHERE Supplier_ID IS NOT NULL GROUP BY Supplier_ID""")
+    op = reports.supplier_risk(fact).select("Supplier_ID", "total_orders", "avg_supplier_risk")
+    assert sql.count() == op.count() == 100
+    assert sql.exceptAll(op).count() == 0
