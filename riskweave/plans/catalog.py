@@ -38,7 +38,9 @@ def round6(df: DataFrame, *cols: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_fact(spark, sf_dir)
+    """The raw fact — the reference's input file — derived from the driver
+    tables once per session and kept as Parquet, like the input on HDFS."""
+    return shared_table(spark, sf_dir, "raw_fact", lambda: load_fact(spark, sf_dir))
 
 
 def processed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
