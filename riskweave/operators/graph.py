@@ -68,19 +68,68 @@ def _by_key(df: DataFrame, key: str, parts: int) -> DataFrame:
     return df.repartition(parts, key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _cut(df: DataFrame, round_no: int, every: int, key: str, parts: int) -> DataFrame:
-    """Persist each round's state; every ``every`` rounds write a reliable
-    checkpoint to the shared folder (bounding recomputation after a lost
-    executor) and re-establish the hash partitioning the checkpoint drops."""
-    if every and round_no % every == 0:
-        checkpoint_dir(df.sparkSession)
-        return _by_key(df.checkpoint(eager=True), key, parts)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+class _SplitEdges:
+    """Edges split by the degree of their join key (skew handling for loops).
+
+    A key holding more than 1/(2·parts) of all edges is *hot*. Fewer than
+    2·parts keys can be hot (their edges alone would otherwise outnumber all
+    edges), so the per-round rows of hot keys have a proven size bound and are
+    broadcast. Their edges are spread round-robin over all partitions; every
+    other edge stays hash-partitioned by the key, so per round only the
+    (vertex-sized) rows are shuffled to meet them. A hub (a warehouse fed by a
+    third of all suppliers) never lands in a single task, and no edge is
+    shuffled after the split.
+    """
+
+    def __init__(self, edges: DataFrame, key: str, parts: int, degrees: DataFrame | None = None):
+        deg = (degrees if degrees is not None
+               else edges.groupBy(key).agg(F.count(F.lit(1)).alias("_deg")))
+        total = deg.agg(F.sum("_deg").alias("_total"))
+        self.key = key
+        self.hot = (deg.join(F.broadcast(total), how="inner")
+                       .where(F.col("_deg") * (2 * parts) > F.col("_total"))
+                       .select(key).persist(StorageLevel.MEMORY_AND_DISK))
+        # One bounded driver value decides the plan shape for all rounds.
+        self.any_hot = self.hot.limit(1).count() > 0
+        if self.any_hot:
+            self.cold = _by_key(edges.join(F.broadcast(self.hot), key, "left_anti"), key, parts)
+            self.spread = (edges.join(F.broadcast(self.hot), key, "left_semi")
+                                .repartition(parts).persist(StorageLevel.MEMORY_AND_DISK))
+        else:
+            self.cold, self.spread = _by_key(edges, key, parts), None
+
+    def join(self, rows: DataFrame) -> DataFrame:
+        """Inner join of ``rows`` (hash-partitioned by the key) with all edges."""
+        cold = self.cold.join(rows, self.key)
+        if not self.any_hot:
+            return cold
+        hot_rows = rows.join(F.broadcast(self.hot), self.key, "left_semi")
+        hot = self.spread.join(F.broadcast(hot_rows), self.key)
+        return cold.unionByName(hot)
+
+    def unpersist(self) -> None:
+        for df in (self.hot, self.cold, self.spread):
+            if df is not None:
+                df.unpersist()
+
+
+def _round_state(df: DataFrame) -> DataFrame:
+    """One round's vertex state as a reliable checkpoint in the shared folder.
+
+    Every round is cut: a lost executor never costs more than one round, and
+    the plan stays a scan. (A round references the previous state several
+    times and Spark renders nested cached plans into each execution's
+    description, so state kept as a chain of persisted plans grows
+    exponentially in planning cost — measured slower already at 2–3 rounds
+    per cut, and out of memory at 4.) The state is vertex-sized; the large
+    input, the edges, is partitioned once and never moves again.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
-             reset: float = K.PAGERANK_RESET, max_iter: int | None = None,
-             checkpoint_every: int = 4) -> DataFrame:
+             reset: float = K.PAGERANK_RESET, max_iter: int | None = None) -> DataFrame:
     """unweighted PageRank until convergence, ranks summing to the node count.
 
     Same recurrence as GraphX's ``pageRank(tol)``: every vertex starts at
@@ -91,29 +140,31 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
     scaled by N / sum so they add up to the number of nodes (isolated nodes
     included).
 
-    The weighted edges are hash-partitioned by ``src`` once and the vertex
-    state by ``node_id`` with the same partition count, so senders ⋈ edges and
-    state ⋈ messages are co-partitioned: each round shuffles only the
-    messages, after map-side combining by destination. One job per round
-    materialises the new state and counts the next senders.
+    The weighted edges — the large input — are hash-partitioned by ``src``
+    once and never shuffled again; a round moves only vertex-sized data (the
+    senders to the edges, the map-side-combined messages, the state). Edges of
+    hot sources are spread and joined with their (bounded, broadcast) senders
+    instead (``_SplitEdges``). Each round's state is a reliable checkpoint
+    (``_round_state``).
     """
     damp = 1.0 - reset
     parts = _partitions(nodes)
     e = valid_edges(nodes, edges).select("src", "dst")
-    outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
-    weighted = _by_key(e.join(outdeg, "src")
-                        .select("src", "dst", (F.lit(1.0) / F.col("_out")).alias("w")), "src", parts)
+    outdeg = (e.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
+               .persist(StorageLevel.MEMORY_AND_DISK))
+    weighted = _SplitEdges(e.join(outdeg, "src")
+                            .select("src", "dst", (F.lit(1.0) / F.col("_out")).alias("w")), "src", parts,
+                           degrees=outdeg.withColumnRenamed("_out", "_deg"))
 
     # A vertex without out-edges never sends; knowing that ends the loop one
     # round earlier on acyclic graphs.
-    state = _by_key(
+    state = _round_state(
         nodes.select("node_id")
              .join(outdeg.select(F.col("src").alias("node_id"), F.lit(True).alias("_src")),
                    "node_id", "left")
              .select("node_id", F.lit(reset).alias("pr"), F.lit(reset).alias("delta"),
                      F.lit(True).alias("active"),
-                     F.coalesce(F.col("_src"), F.lit(False)).alias("has_out")),
-        "node_id", parts)
+                     F.coalesce(F.col("_src"), F.lit(False)).alias("has_out")))
 
     def can_send(df):
         return df.where(F.col("active") & F.col("has_out") & (F.col("delta") > tol))
@@ -121,7 +172,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
     pending = can_send(state).count()
     rounds = 0
     while pending and (max_iter is None or rounds < max_iter):
-        msgs = (weighted.join(can_send(state).select(F.col("node_id").alias("src"), "delta"), "src")
+        msgs = (weighted.join(can_send(state).select(F.col("node_id").alias("src"), "delta"))
                         .groupBy(F.col("dst").alias("node_id"))
                         .agg(F.sum(F.col("delta") * F.col("w")).alias("_msg")))
         got = F.col("_msg").isNotNull()
@@ -134,11 +185,10 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
             "has_out",
         )
         rounds += 1
-        nxt = _cut(nxt, rounds, checkpoint_every, "node_id", parts)
-        pending = can_send(nxt).count()   # materialises nxt and counts senders
-        state.unpersist()
-        state = nxt
+        state = _round_state(nxt)
+        pending = can_send(state).count()
     weighted.unpersist()
+    outdeg.unpersist()
 
     total = state.agg(F.sum("pr").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     scaled = state.join(F.broadcast(total), how="inner").select(
@@ -146,27 +196,28 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
     return _typed(scaled, nodes, "pagerank")
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_iter: int | None = None,
-                         checkpoint_every: int = 4) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame,
+                         max_iter: int | None = None) -> DataFrame:
     """undirected components by min-label propagation; the label is the
     smallest ``node_id`` of the component (stable, unlike positional ids).
 
     Each round a node takes the smallest label among itself and its neighbours;
-    only nodes whose label changed propagate in the next round. One job per
-    round materialises the labels and counts the changes.
+    only nodes whose label changed propagate in the next round. The symmetric
+    edges are partitioned once (hot nodes spread, see ``_SplitEdges``); each
+    round's labels are a reliable checkpoint (``_round_state``).
     """
     parts = _partitions(nodes)
     e = valid_edges(nodes, edges)
-    sym = _by_key(e.select("src", "dst")
-                   .union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-                   .where(F.col("src") != F.col("dst")).distinct(), "src", parts)
-    labels = _by_key(nodes.select("node_id", F.col("node_id").alias("label"),
-                                  F.lit(True).alias("_changed")), "node_id", parts)
+    sym = _SplitEdges(e.select("src", "dst")
+                       .union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+                       .where(F.col("src") != F.col("dst")).distinct(), "src", parts)
+    labels = _round_state(nodes.select("node_id", F.col("node_id").alias("label"),
+                                       F.lit(True).alias("_changed")))
     pending = 1
     rounds = 0
     while pending and (max_iter is None or rounds < max_iter):
         movers = labels.where("_changed").select(F.col("node_id").alias("src"), "label")
-        best = (sym.join(movers, "src")
+        best = (sym.join(movers)
                    .groupBy(F.col("dst").alias("node_id")).agg(F.min("label").alias("_nl")))
         smaller = F.coalesce(F.col("_nl") < F.col("label"), F.lit(False))
         nxt = labels.join(best, "node_id", "left").select(
@@ -175,10 +226,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_iter: int | Non
             smaller.alias("_changed"),
         )
         rounds += 1
-        nxt = _cut(nxt, rounds, checkpoint_every, "node_id", parts)
-        pending = nxt.where("_changed").count()   # materialises nxt and counts changes
-        labels.unpersist()
-        labels = nxt
+        labels = _round_state(nxt)
+        pending = labels.where("_changed").count()
     sym.unpersist()
     return labels.join(nodes, "node_id").select(
         F.col("label").alias("component_id"), "node_type", "node_id")

@@ -13,8 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, features, reports
-from ..sources.fact import load_fact
+from ..operators import clean, features, graph, network, reports, resilience
+from ..session import table_path
+from ..sources.fact import FACT_SCHEMA, load_fact
+from ..sources.tables import read_raw_csv, write_csv
 from .context import shared_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,9 +59,6 @@ def processed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_csv_roundtrip(spark, sf_dir):
     """A1 + A3: the raw fact written as CSV to the shared checkpoint folder and
     read back with the declared contract schema (PERMISSIVE)."""
-    from ..session import table_path
-    from ..sources.fact import FACT_SCHEMA
-    from ..sources.tables import read_raw_csv, write_csv
     path = write_csv(raw_fact(spark, sf_dir), table_path(spark, "raw_csv"))
     return read_raw_csv(spark, path, FACT_SCHEMA)
 
@@ -167,9 +166,6 @@ def report_table(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
 # E: graph construction
 # --------------------------------------------------------------------------
 
-from ..operators import graph, network, resilience  # noqa: E402
-
-
 def nodes_table(spark, sf_dir):
     return shared_table(spark, sf_dir, "graph_nodes",
                         lambda: network.graph_nodes(processed_fact(spark, sf_dir)))

@@ -22,6 +22,7 @@ def spark():
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.codegen.hugeMethodLimit", "8000")
              .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.driver.memory", "4g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir():

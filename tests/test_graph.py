@@ -91,3 +91,26 @@ def test_same_id_two_types_keeps_lowest_layer(spark):
     assert {(r["src"], r["dst"], r["relationship"]) for r in edges} == {("X", "X", "SUPPLIES"),
                                                                        ("X", "D", "SERVES")}
     assert all(r["avg_delivery_delay"] is None for r in edges)
+
+
+def test_hot_source_split_does_not_change_results(spark):
+    """A hub with most of the edges is 'hot' at some partition counts and not
+    at others; PageRank and components must not depend on that."""
+    hub_edges = [(f"s{i}", "hub") for i in range(40)] + [("hub", f"d{i}") for i in range(3)]
+    chain = [(f"c{i}", f"c{i + 1}") for i in range(4)] + [("d0", "c3")]
+    ids = sorted({x for e in hub_edges + chain for x in e} | {"lonely"})
+    nodes, edges = make(spark, ids, hub_edges + chain)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for parts in ("1", "8", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            pr = {r["node_id"]: round(r["pagerank"], 9) for r in graph.pagerank(nodes, edges).collect()}
+            cc = {r["node_id"]: r["component_id"] for r in graph.connected_components(nodes, edges).collect()}
+            results.append((pr, cc))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1] == results[2]
+    pr, cc = results[0]
+    assert sum(pr.values()) == pytest.approx(len(ids), abs=1e-6)
+    assert cc["lonely"] == "lonely" and cc["s5"] == cc["c4"] == "c0"
