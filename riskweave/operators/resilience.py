@@ -102,22 +102,30 @@ def delivery_risk(delivery_report: DataFrame) -> DataFrame:
 
 # --- G10 ---------------------------------------------------------------------
 
-def overall_risk_score(risk_table: DataFrame, delivery: DataFrame,
-                       column: str = "Overall_Risk_Score") -> DataFrame:
-    """One row: the average of ``column`` when the table has it (else, or when the
-    average is NULL, the delivery risk score), and its level."""
+def with_overall_risk(risk_table: DataFrame, delivery: DataFrame,
+                      column: str = "Overall_Risk_Score") -> DataFrame:
+    """The delivery row plus the overall risk score and level: the average of
+    ``column`` when the table has it (falling back to the delivery risk score
+    when that average is NULL), else the delivery risk score itself."""
     fallback = F.col("delivery_risk_score")
     if column in risk_table.columns:
         avg = risk_table.agg(F.avg(F.col(column).cast("double")).alias("_avg"))
-        row = _one_row_join(avg, delivery.select("delivery_risk_score"))
+        row = _one_row_join(delivery, avg)
         score = F.coalesce(F.col("_avg"), fallback)
     else:
-        row = delivery.select("delivery_risk_score")
+        row = delivery
         score = fallback
-    out = row.select(score.alias("overall_risk_score"))
+    out = row.select(*delivery.columns, score.alias("overall_risk_score"))
     return out.select("*", risk_level(F.col("overall_risk_score")).alias("overall_risk_level"))
 
 
+def overall_risk_score(risk_table: DataFrame, delivery: DataFrame,
+                       column: str = "Overall_Risk_Score") -> DataFrame:
+    """G10 as its own one-row table."""
+    return with_overall_risk(risk_table, delivery, column).select("overall_risk_score",
+                                                                  "overall_risk_level")
+
+
 # --- G11–G13 -----------------------------------------------------------------
 
 def network_risk(deg: DataFrame, pr: DataFrame) -> DataFrame:
@@ -143,29 +151,49 @@ def network_risk(deg: DataFrame, pr: DataFrame) -> DataFrame:
                          .alias("network_risk_level"))
 
 
+def _network_row(net: DataFrame) -> DataFrame:
+    """One aggregate: the average criticality and the top node. The top node is
+    ``min_by`` over (−score, type, id) — the highest score, ties by type then
+    id — with NULL scores ordered last, as ``ORDER BY score DESC`` puts them."""
+    score = F.col("network_criticality_score")
+    order = F.struct(F.coalesce(-score, F.lit(float("inf"))).alias("k"),
+                     F.col("node_type").alias("t"), F.col("node_id").alias("n"))
+    top = F.struct(F.col("node_id").alias("n"), F.col("node_type").alias("t"), score.alias("s"))
+    return net.agg(F.avg(score).alias("average_network_criticality"),
+                   F.min_by(top, order).alias("_top"))
+
+
+def _critical_columns() -> list[Column]:
+    return [
+        F.coalesce(F.col("_top.n"), F.lit(K.UNKNOWN_NODE)).alias("critical_network_node"),
+        F.coalesce(F.col("_top.t"), F.lit(K.UNKNOWN_NODE)).alias("critical_network_node_type"),
+        F.coalesce(F.col("_top.s"), F.lit(0.0)).alias("critical_network_node_score"),
+    ]
+
+
+def _resilience_columns(avg: Column) -> list[Column]:
+    score = clamp(F.lit(100.0) - avg)
+    level = at_least(score, K.NETWORK_RESILIENCE_CUTS, K.NETWORK_RESILIENCE_LABELS,
+                     K.NETWORK_RESILIENCE_ELSE)
+    return [avg.alias("average_network_criticality"), score.alias("graphx_resilience_score"),
+            level.alias("graphx_resilience_level")]
+
+
 def critical_node(net: DataFrame) -> DataFrame:
-    """One row: the highest-scoring node (ties by type, id); UNKNOWN / 0.0 when
-    there is none."""
-    top = (net.orderBy(F.col("network_criticality_score").desc_nulls_last(),
-                       F.col("node_type"), F.col("node_id")).limit(1)
-              .select("node_id", "node_type", "network_criticality_score"))
-    anchor = net.agg(F.count(F.lit(1)).alias("_n"))
-    row = anchor.join(F.broadcast(top), how="left")
-    return row.select(
-        F.coalesce(F.col("node_id"), F.lit(K.UNKNOWN_NODE)).alias("critical_network_node"),
-        F.coalesce(F.col("node_type"), F.lit(K.UNKNOWN_NODE)).alias("critical_network_node_type"),
-        F.coalesce(F.col("network_criticality_score"), F.lit(0.0)).alias("critical_network_node_score"),
-    )
+    """G12, one row: the highest-scoring node (ties by type, id); UNKNOWN / 0.0
+    when there is none."""
+    return _network_row(net).select(*_critical_columns())
 
 
 def network_resilience(net: DataFrame) -> DataFrame:
-    """One row: average criticality, resilience = clamp(100 - average), level."""
-    avg = net.agg(F.avg("network_criticality_score").alias("average_network_criticality"))
-    out = avg.select("*", clamp(F.lit(100.0) - F.col("average_network_criticality"))
-                     .alias("graphx_resilience_score"))
-    return out.select("*", at_least(F.col("graphx_resilience_score"), K.NETWORK_RESILIENCE_CUTS,
-                                    K.NETWORK_RESILIENCE_LABELS, K.NETWORK_RESILIENCE_ELSE)
-                      .alias("graphx_resilience_level"))
+    """G13, one row: average criticality, resilience = clamp(100 - average), level."""
+    return _network_row(net).select(*_resilience_columns(F.col("average_network_criticality")))
+
+
+def network_summary(net: DataFrame) -> DataFrame:
+    """G12 + G13 from the same single aggregate (used by the roll-ups)."""
+    return _network_row(net).select(*_resilience_columns(F.col("average_network_criticality")),
+                                    *_critical_columns())
 
 
 # --- G14–G16 -----------------------------------------------------------------
@@ -208,18 +236,21 @@ def top_critical_entities(scored: DataFrame, level_col: str, score_col: str, col
 
 
 def risk_counts(suppliers: DataFrame, warehouses: DataFrame, routes: DataFrame) -> DataFrame:
-    """Totals and CRITICAL/HIGH counts per entity, one pass per table."""
+    """Totals and CRITICAL/HIGH counts per entity, as one conditional
+    aggregate over the union of the three level columns."""
     crit, high = K.LEVEL_LABELS[0], K.LEVEL_LABELS[1]
-
-    def counts(df, level_col, name):
-        lv = F.col(level_col)
-        return df.agg(F.count(F.lit(1)).alias(f"total_{name}"),
-                      F.count_if(lv == crit).alias(f"critical_{name}"),
-                      F.count_if(lv == high).alias(f"high_{name}"))
-
-    return _one_row_join(counts(suppliers, "supplier_risk_level", "suppliers"),
-                         counts(warehouses, "warehouse_risk_level", "warehouses"),
-                         counts(routes, "route_risk_category", "routes"))
+    levels = (suppliers.select(F.lit("suppliers").alias("_e"), F.col("supplier_risk_level").alias("_l"))
+              .unionByName(warehouses.select(F.lit("warehouses").alias("_e"),
+                                             F.col("warehouse_risk_level").alias("_l")))
+              .unionByName(routes.select(F.lit("routes").alias("_e"),
+                                         F.col("route_risk_category").alias("_l"))))
+    aggs = []
+    for name in ("suppliers", "warehouses", "routes"):
+        mine = F.col("_e") == name
+        aggs += [F.count_if(mine).alias(f"total_{name}"),
+                 F.count_if(mine & (F.col("_l") == crit)).alias(f"critical_{name}"),
+                 F.count_if(mine & (F.col("_l") == high)).alias(f"high_{name}")]
+    return levels.agg(*aggs)
 
 
 # --- G17–G19 -----------------------------------------------------------------
@@ -258,16 +289,15 @@ SUMMARY_COLUMNS = (
 )
 
 
-def executive_kpis(counts: DataFrame, delivery: DataFrame, overall: DataFrame,
-                   resilience: DataFrame, critical: DataFrame) -> DataFrame:
-    """One row, 21 columns."""
-    return _one_row_join(counts, delivery, overall, resilience, critical).select(*EXECUTIVE_COLUMNS)
+def executive_kpis(counts: DataFrame, delivery_overall: DataFrame, network: DataFrame) -> DataFrame:
+    """One row, 21 columns, from three one-row aggregates
+    (``risk_counts``, ``with_overall_risk``, ``network_summary``)."""
+    return _one_row_join(counts, delivery_overall, network).select(*EXECUTIVE_COLUMNS)
 
 
-def resilience_summary(counts: DataFrame, delivery: DataFrame, overall: DataFrame,
-                       resilience: DataFrame, critical: DataFrame) -> DataFrame:
-    """One row, 13 columns."""
-    row = _one_row_join(counts, delivery, overall, resilience, critical)
+def resilience_summary(counts: DataFrame, delivery_overall: DataFrame, network: DataFrame) -> DataFrame:
+    """One row, 13 columns, from the same three one-row aggregates."""
+    row = _one_row_join(counts, delivery_overall, network)
     return row.select(
         *[c for c in SUMMARY_COLUMNS if not c.endswith("_count")],
         F.col("critical_suppliers").alias("critical_supplier_count"),

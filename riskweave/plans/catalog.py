@@ -466,9 +466,10 @@ ROLLUP_DOUBLES = DELIVERY_DOUBLES + ("overall_risk_score", "average_network_crit
 
 
 def _rollup_parts(spark, sf_dir):
-    network_df = _network(spark, sf_dir)
-    return (_counts(spark, sf_dir), _delivery(spark, sf_dir), _overall(spark, sf_dir),
-            resilience.network_resilience(network_df), resilience.critical_node(network_df))
+    delivery_overall = resilience.with_overall_risk(report_table(spark, sf_dir, "overall_risk"),
+                                                    _delivery(spark, sf_dir))
+    return (_counts(spark, sf_dir), delivery_overall,
+            resilience.network_summary(_network(spark, sf_dir)))
 
 
 @query("executive_kpis")
