@@ -431,7 +431,7 @@ SELECT relationship, COUNT(*) AS edge_count FROM graph_edges GROUP BY relationsh
 register("route_edges", q("SELECT * FROM route_edges", "route_edges"))
 register("route_network_summary", q("""
 SELECT Transport_Mode, Route_Risk_Level, COUNT(*) AS connections,
-       SUM(COUNT(*)) OVER () AS total_connections
+       CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS total_connections
 FROM route_edges GROUP BY Transport_Mode, Route_Risk_Level""", "route_edges"))
 register("top_connections", q("""
 SELECT src, dst, relationship, transaction_count, avg_delivery_delay FROM (
