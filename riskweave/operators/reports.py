@@ -211,16 +211,28 @@ HIGH_RISK_COLUMNS = ("order_id", "Supplier_ID", "Warehouse_ID", "DC_ID", "Route_
                      "Route_Risk_Level", "Severity", "Event_Type")
 
 
+def bounded_fan_in(df: DataFrame) -> DataFrame:
+    """Cap the number of partitions feeding a top-k at the cluster's parallelism.
+
+    ``TakeOrderedAndProject`` keeps k rows per input partition and merges them
+    in one task; over a raw scan of ~10^5–10^6 file splits and k = 1000 that
+    merge would receive ~10^8–10^9 rows. A narrow ``coalesce`` (no shuffle)
+    to the default parallelism keeps one scan task per core and bounds the
+    merge at cores × k rows.
+    """
+    return df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def high_risk_records(fact: DataFrame, n: int = K.HIGH_RISK_RECORDS_N) -> DataFrame:
     """Rows meeting any risk condition (three-valued OR), top-n by supplier
     risk then delay, every output column as a further tie-breaker. Planned as
-    ``TakeOrderedAndProject``: per-partition top-n, then one small merge."""
+    ``TakeOrderedAndProject``: per-partition top-n, then one bounded merge."""
     cond = ((F.col("Supplier_Risk_Score") >= K.HIGH_RISK_SUPPLIER_CUT)
             | (F.col("late_delivery_risk") == 1)
             | (F.col("Route_Risk_Level") == "High")
             | (F.col("Severity") == "High"))
     rest = [c for c in HIGH_RISK_COLUMNS if c not in ("Supplier_Risk_Score", "delivery_delay_days")]
-    return (fact.where(cond).select(*HIGH_RISK_COLUMNS)
+    return (bounded_fan_in(fact.where(cond).select(*HIGH_RISK_COLUMNS))
                 .orderBy(F.col("Supplier_Risk_Score").desc_nulls_last(),
                          F.col("delivery_delay_days").desc_nulls_last(),
                          *[F.col(c).asc_nulls_last() for c in rest])
