@@ -9,6 +9,8 @@ checkpoint folder (``spark.checkpoint.dir``), never machine-local storage.
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,12 +70,19 @@ def _by_key(df: DataFrame, key: str, parts: int) -> DataFrame:
     return df.repartition(parts, key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+# Edge-table partitions are sized from the edge count, capped by
+# spark.sql.shuffle.partitions (the per-round vertex shuffles are AQE's).
+EDGES_PER_PARTITION = 2_000_000
+
+
 class _SplitEdges:
     """Edges split by the degree of their join key (skew handling for loops).
 
-    A key holding more than 1/(2·parts) of all edges is *hot*. Fewer than
-    2·parts keys can be hot (their edges alone would otherwise outnumber all
-    edges), so the per-round rows of hot keys have a proven size bound and are
+    One one-row aggregate (total edges, largest degree) sizes the partitioning:
+    ``parts`` = ceil(edges / EDGES_PER_PARTITION), at most ``max_parts``. A key
+    holding more than 1/(2·parts) of all edges is *hot*. Fewer than 2·parts
+    keys can be hot (their edges alone would otherwise outnumber all edges),
+    so the per-round rows of hot keys have a proven size bound and are
     broadcast. Their edges are spread round-robin over all partitions; every
     other edge stays hash-partitioned by the key, so per round only the
     (vertex-sized) rows are shuffled to meet them. A hub (a warehouse fed by a
@@ -81,16 +90,18 @@ class _SplitEdges:
     shuffled after the split.
     """
 
-    def __init__(self, edges: DataFrame, key: str, parts: int, degrees: DataFrame | None = None):
+    def __init__(self, edges: DataFrame, key: str, max_parts: int,
+                 degrees: DataFrame | None = None):
         deg = (degrees if degrees is not None
                else edges.groupBy(key).agg(F.count(F.lit(1)).alias("_deg")))
-        total = deg.agg(F.sum("_deg").alias("_total"))
+        # One bounded row to the driver decides the plan shape for all rounds.
+        stats = deg.agg(F.sum("_deg").alias("total"), F.max("_deg").alias("top")).first()
+        total, top = int(stats["total"] or 0), int(stats["top"] or 0)
+        parts = max(1, min(max_parts, math.ceil(total / EDGES_PER_PARTITION)))
         self.key = key
-        self.hot = (deg.join(F.broadcast(total), how="inner")
-                       .where(F.col("_deg") * (2 * parts) > F.col("_total"))
-                       .select(key).persist(StorageLevel.MEMORY_AND_DISK))
-        # One bounded driver value decides the plan shape for all rounds.
-        self.any_hot = self.hot.limit(1).count() > 0
+        self.any_hot = top * 2 * parts > total
+        self.hot = (deg.where(F.col("_deg") * (2 * parts) > F.lit(total)).select(key)
+                       .persist(StorageLevel.MEMORY_AND_DISK))
         if self.any_hot:
             self.cold = _by_key(edges.join(F.broadcast(self.hot), key, "left_anti"), key, parts)
             self.spread = (edges.join(F.broadcast(self.hot), key, "left_semi")
