@@ -95,8 +95,10 @@ class _SplitEdges:
         deg = (degrees if degrees is not None
                else edges.groupBy(key).agg(F.count(F.lit(1)).alias("_deg")))
         # One bounded row to the driver decides the plan shape for all rounds.
-        stats = deg.agg(F.sum("_deg").alias("total"), F.max("_deg").alias("top")).first()
+        stats = deg.agg(F.sum("_deg").alias("total"), F.max("_deg").alias("top"),
+                        F.count(F.lit(1)).alias("keys")).first()
         total, top = int(stats["total"] or 0), int(stats["top"] or 0)
+        self.keys = int(stats["keys"])   # distinct keys with at least one edge
         parts = max(1, min(max_parts, math.ceil(total / EDGES_PER_PARTITION)))
         self.key = key
         self.any_hot = top * 2 * parts > total
@@ -180,7 +182,8 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
     def can_send(df):
         return df.where(F.col("active") & F.col("has_out") & (F.col("delta") > tol))
 
-    pending = can_send(state).count()
+    # Initially every vertex with out-edges can send (its last change is reset).
+    pending = weighted.keys if reset > tol else 0
     rounds = 0
     while pending and (max_iter is None or rounds < max_iter):
         msgs = (weighted.join(can_send(state).select(F.col("node_id").alias("src"), "delta"))
