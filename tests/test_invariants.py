@@ -46,7 +46,8 @@ def _digest(df):
 
 
 @pytest.mark.parametrize("key", ["supplier_risk", "graph_edges", "top_connections", "high_risk_records",
-                                 "connected_components", "executive_kpis"])
+                                 "connected_components", "executive_kpis", "pagerank",
+                                 "removal_impact_all"])
 def test_deterministic_across_shuffle_widths(spark, key):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     digests = []
