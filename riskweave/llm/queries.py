@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, substring
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,24 @@ ranked AS (
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, place = 1 AS kept, text_sha256 FROM ranked""")
 def q_exact(spark, sf_dir):
     return exact_dedup.ingest(spark, documents(spark, sf_dir)).drop("points")
+
+
+@query("op10_substring_dedup", r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (
+  SELECT doc_id, place, array_to_string(w[place:place + 12], ' ') AS passage
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS place FROM words WHERE len(w) >= 13)),
+firsts AS (SELECT passage, min(doc_id) AS first_doc FROM starts GROUP BY passage HAVING count(*) > 1),
+hits AS (SELECT s.doc_id, s.place FROM starts s JOIN firsts f USING (passage) WHERE f.first_doc < s.doc_id),
+gone AS (SELECT DISTINCT doc_id, place + k AS place FROM hits, range(13) r(k)),
+listed AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT w.doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+         CASE WHEN places IS NULL THEN w
+              ELSE list_filter(w, lambda x, i: NOT list_contains(places, i)) END AS kept
+  FROM words w LEFT JOIN listed USING (doc_id))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM kept""")
+def q_substring(spark, sf_dir):
+    return substring.remove_repeats(spark, documents(spark, sf_dir))
