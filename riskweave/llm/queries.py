@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, substring
-from .common import documents
+from . import exact_dedup, mixing, substring, warc
+from .common import Scratch, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -96,3 +96,20 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS
        sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM kept""")
 def q_substring(spark, sf_dir):
     return substring.remove_repeats(spark, documents(spark, sf_dir))
+
+
+@query("op9_warc", r"""
+WITH bodies AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM bodies)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_page THEN first_page END AS refers_to
+FROM firsts""")
+def q_warc(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    scratch = Scratch(spark, "warc")
+    base = scratch.path("archive")
+    manifest = warc.write_archive(spark, pages, base, scratch)
+    return warc.read_archive(spark, manifest, base, with_payload=False).drop("url", "payload")
