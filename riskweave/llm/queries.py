@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, substring, warc
+from . import decontam, exact_dedup, mixing, substring, warc
 from .common import Scratch, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ def q_warc(spark, sf_dir):
     base = scratch.path("archive")
     manifest = warc.write_archive(spark, pages, base, scratch)
     return warc.read_archive(spark, manifest, base, with_payload=False).drop("url", "payload")
+
+
+@query("op8_decontaminate")
+def q_decontaminate(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontam.contaminated(spark, documents(spark, sf_dir), benchmark)
