@@ -8,8 +8,8 @@ Candidates are verified by the exact weighted similarity of five-word shingles:
 sum of minima over sum of maxima of the shingles' counts.
 
 Windows that cannot reach the similarity are not hashed: a similarity of s needs
-s * (L - 4) shared shingles, which cover at least s * (L - 4) + 4 words of the
-benchmark's vocabulary. This bound loses nothing.
+s * (L - 4) shared shingles, and these hold at least s * (L - 4) + 3 word pairs
+that follow one another in the benchmark too. This bound loses nothing.
 
 Words are compared in lower case without ASCII punctuation. The benchmark is
 the stated query set: it is read in blocks of bounded size, each held by the
@@ -76,11 +76,16 @@ def similarity(a: Counter, b: Counter) -> float:
     return shared / union if union else 0.0
 
 
-def least_words(length: int, threshold: float) -> int:
-    """Words that a window must share with an item of this length."""
+def least_pairs(length: int, threshold: float) -> int:
+    """Neighbouring word pairs that a window must share with an item of this length."""
     if length <= SHINGLE:
-        return length
-    return int(np.ceil(threshold * (length - SHINGLE + 1) - 1e-9)) + SHINGLE - 1
+        return length - 1
+    return int(np.ceil(threshold * (length - SHINGLE + 1) - 1e-9)) + SHINGLE - 2
+
+
+def _pair_places(h: np.ndarray) -> np.ndarray:
+    """A bit-table place for the pair of words from each position on."""
+    return (window_hashes(h, 2, 9) >> np.uint64(42)).astype(np.int64)
 
 
 # --------------------------------------------------------------------------
@@ -125,9 +130,9 @@ class ItemIndex:
         self.bags = [Counter(shingles(h[t.ptr[i]:t.ptr[i + 1]]).tolist()) for i in held]
         self.prints = fingerprints(h, t.ptr[:-1][held], t.ptr[1:][held])
         self.lengths = np.unique(self.length)
-        # vocabulary as a bit table: false positives only cost time
-        self.vocabulary = np.zeros(1 << 22, dtype=bool)
-        self.vocabulary[(h >> np.uint64(42)).astype(np.int64)] = True
+        # known word pairs as a bit table: false positives only cost time
+        self.pairs = np.zeros(1 << 22, dtype=bool)
+        self.pairs[_pair_places(h)] = True
         values = self.prints.astype(np.int64)[:, :, None] ^ _neighbours()
         rank = np.searchsorted(self.lengths, self.length)
         keys = self._key(rank[:, None, None], np.arange(BLOCKS)[None, :, None], values)
@@ -158,23 +163,26 @@ class ItemIndex:
         return window[near], item[near]
 
 
-def _possible(t: Tokens, known: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _possible(t: Tokens, h: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows (start, end, rank of the length) that can reach the similarity."""
-    total = np.concatenate(([0], np.cumsum(known, dtype=np.int32)))
+    # known pairs that begin before each word
+    total = np.zeros(t.n_words + 1, dtype=np.int32)
+    if t.n_words > 1:
+        np.cumsum(index.pairs[_pair_places(h)], out=total[1:-1])
+        total[-1] = total[-2]
     size = t.counts()
-    left = np.repeat(t.ptr[1:], size) - np.arange(t.n_words)
+    last = np.repeat(t.ptr[1:], size)
     starts, ends, ranks = [], [], []
     for rank, length in enumerate(index.lengths.tolist()):
-        need = least_words(length, index.threshold)
+        need = least_pairs(length, index.threshold)
         if t.n_words >= length:
-            full = total[length:] - total[:-length] >= need
-            at = np.flatnonzero(full)
-            at = at[left[at] >= length]
+            at = np.flatnonzero(total[length - 1:-1] - total[:-length] >= need)
+            at = at[at + length <= last[at]]
             starts.append(at)
             ends.append(at + length)
             ranks.append(np.full(len(at), rank))
-        short = np.flatnonzero((size < length) & (size >= need))
-        short = short[total[t.ptr[short + 1]] - total[t.ptr[short]] >= need]
+        short = np.flatnonzero((size < length) & (size > need))
+        short = short[total[t.ptr[short + 1] - 1] - total[t.ptr[short]] >= need]
         starts.append(t.ptr[short])
         ends.append(t.ptr[short + 1])
         ranks.append(np.full(len(short), rank))
@@ -186,8 +194,7 @@ def matches(texts: pa.Array, index: ItemIndex) -> list[tuple[int, int, float, in
     document and item that are similar enough."""
     t = Tokens(normalised(texts))
     h = t.hashes()
-    known = index.vocabulary[(h >> np.uint64(42)).astype(np.int64)]
-    starts, ends, ranks = _possible(t, known, index)
+    starts, ends, ranks = _possible(t, h, index)
     if not len(starts):
         return []
     # hash only the words that some possible window covers
