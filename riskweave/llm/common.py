@@ -7,7 +7,6 @@ no words. All hashes are fixed functions of the text, alike in every task.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..scratch import Scratch  # noqa: F401 (the operators import it from here)
 
 #: The whitespace of every operator's word definition, as Spark's ``translate`` takes it.
 SPACES = " \t\n\x0b\f\r"
@@ -24,37 +23,6 @@ SPACES = " \t\n\x0b\f\r"
 CHUNK_BYTES = 4 << 20
 
 
-class Scratch:
-    """Intermediate Parquet tables of one operator run, in the shared checkpoint
-    folder. A written table cuts lineage: lost executors reread files. ``drop``
-    removes tables that no later plan reads."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.base = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
-        self.made: set[str] = set()
-
-    def path(self, name: str) -> str:
-        return f"{self.base}/{name}"
-
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        self.made.add(name)
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
-
-    def drop(self, *names: str) -> None:
-        for name in names:
-            delete_path(self.spark, self.path(name))
-            self.made.discard(name)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder through the file system that its path names."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, mixing, substring, warc
+from . import decontam, exact_dedup, mixing, near_dedup, substring, warc
 from .common import Scratch, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,8 @@ def q_warc(spark, sf_dir):
 def q_decontaminate(spark, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return decontam.contaminated(spark, documents(spark, sf_dir), benchmark)
+
+
+@query("op6_near_dedup")
+def q_near_dedup(spark, sf_dir):
+    return near_dedup.classes(spark, documents(spark, sf_dir))
