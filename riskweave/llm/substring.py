@@ -10,7 +10,7 @@ shared 13-word passage with one anchor that both documents hash.
    task, shuffled by hash, and those with several documents are sent back to
    the documents that hold them.
 2. Documents extend their shared anchors to all 13-word windows around them and
-   hash those with 128 bits; the smallest doc_id of each window is found the
+   hash those with 96 bits; the smallest doc_id of each window is found the
    same way and the other documents get it back.
 3. Covered words are removed.
 
@@ -27,13 +27,14 @@ remove nor lose words; extra columns are not read.
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, Tokens, chunks, column, window_hashes
+from .common import Scratch, Tokens, chunks, column, mix, window_hashes
 
 WINDOW = 13
 PERIOD = 7
@@ -113,9 +114,7 @@ def _answer(width: int, strict: bool):
         if asked:
             docs = np.concatenate([d for d, _ in asked])
             body = np.concatenate([b for _, b in asked])
-            wide = np.zeros((len(body), 8 * -(-width // 8)), dtype=np.uint8)
-            wide[:, :width] = body
-            keys = wide.view(np.uint64)
+            keys = _words64(body)
             order = np.lexsort(keys.T[::-1])
             keys, docs, body = keys[order], docs[order], body[order]
             first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1))))
@@ -139,10 +138,30 @@ def _exchange(sent: DataFrame, width: int, strict: bool) -> DataFrame:
     return back.groupBy("doc_id").agg(F.collect_list("entries").alias("entries"))
 
 
-def _joined(entries, width: int) -> np.ndarray:
-    """The distinct keys sent back to one document, as sorted void scalars."""
-    raw = np.frombuffer(b"".join(entries), np.uint8).reshape(-1, width)
-    return np.unique(np.ascontiguousarray(raw).view(f"V{width}").ravel())
+def _told(answers: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys sent back to the documents of a chunk: (row, key bytes)."""
+    rows, parts = [], []
+    for row, blobs in enumerate(answers.to_pylist()):
+        for blob in blobs or ():
+            rows.append(np.full(len(blob) // width, row))
+            parts.append(blob)
+    body = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, width)
+    return (np.concatenate(rows) if rows else np.zeros(0, np.int64)), body
+
+
+def _words64(body: np.ndarray) -> np.ndarray:
+    """Key bytes, zero padded, as whole 64-bit numbers."""
+    wide = np.zeros((len(body), 8 * -(-body.shape[1] // 8)), dtype=np.uint8)
+    wide[:, :body.shape[1]] = body
+    return wide.view(np.uint64)
+
+
+def _of_row(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """One number per (key, row) of a chunk, to look up keys row by row."""
+    out = mix(rows.astype(np.uint64) + np.uint64(1))
+    for lane in keys.T:
+        out = mix(out ^ lane)
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -172,52 +191,74 @@ def _anchors(parts: int):
     return run
 
 
-def _wide_windows(t: Tokens) -> np.ndarray:
-    """128-bit hash of the WINDOW words from each position on, as (n, 2)."""
-    return np.stack([window_hashes(t.hashes(3), WINDOW, 11), window_hashes(t.hashes(5), WINDOW, 13)], axis=1)
+def _wide_windows(t: Tokens, at: np.ndarray) -> np.ndarray:
+    """96-bit hash of the WINDOW words from each of the positions, as (n, 2)."""
+    high = window_hashes(t.hashes(3), WINDOW, 11)[at]
+    low = window_hashes(t.hashes(5), WINDOW, 13)[at] & np.uint64(0xFFFFFFFF)
+    return np.stack([high, low], axis=1)
+
+
+def _runs_blob(marked: np.ndarray) -> bytes:
+    """Runs of marked places as pairs (first, end)."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], marked.astype(np.int8), [0]))))
+    return edges.astype(np.int64).tobytes()
 
 
-_EXTENDED = "doc_id long, n_words long, kept_sha256 string, windows binary, text string"
+def _marked(t: Tokens, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Word positions in the runs of each document, and their documents."""
+    at = []
+    for row, blob in enumerate(runs.to_pylist()):
+        edges = np.frombuffer(blob, np.int64).reshape(-1, 2)
+        at += [np.arange(a, b) + t.ptr[row] for a, b in edges.tolist()]
+    at = np.concatenate(at) if at else np.zeros(0, np.int64)
+    return at, np.searchsorted(t.ptr, at, side="right") - 1
 
 
 def _sha(words) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
+_EXTENDED = "doc_id long, n_words long, kept_sha256 string, runs binary, text string"
+
+
 def _extend(batches):
     """Per document: size, hash of all its words and, if it has shared anchors,
-    the hashes of the windows around them (with the text, for the last step)."""
+    the runs of windows around them (with the text, for the next steps)."""
     for b in chunks(batches):
-        texts, ids, answers = column(b, "text"), column(b, "doc_id"), column(b, "entries")
-        out = []
-        for text, doc, entries in zip(texts, ids.to_pylist(), answers.to_pylist()):
-            raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-            words = raw.split()
-            windows = None
-            if entries:
-                t = Tokens(pa.array([raw], pa.binary()).cast(pa.string()))
-                at = _cover_positions(t)
-                keys = np.ascontiguousarray(
-                    window_hashes(t.hashes(), ANCHOR, 7)[at].view(np.uint8).reshape(-1, 8)[:, :6]).view("V6").ravel()
-                hits = at[np.isin(keys, _joined(entries, 6))]
-                starts = np.unique(np.add.outer(hits, np.arange(ANCHOR - WINDOW, 1)).ravel())
-                starts = starts[(starts >= 0) & (starts + WINDOW <= t.n_words)]
-                if len(starts):
-                    windows = np.unique(_wide_windows(t)[starts].view("V16")).tobytes()
-            out.append((doc, len(words), _sha(words), windows, text.as_py() if windows else None))
+        texts = column(b, "text")
+        t = Tokens(texts)
+        told, body = _told(column(b, "entries"), 6)
+        marked = np.zeros(t.n_words + 1, dtype=bool)
+        if len(told):
+            at = _cover_positions(t)
+            rows = np.searchsorted(t.ptr, at, side="right") - 1
+            keys = window_hashes(t.hashes(), ANCHOR, 7)[at] & np.uint64((1 << 48) - 1)
+            hit = np.isin(_of_row(keys[:, None], rows), _of_row(_words64(body), told))
+            at, rows = at[hit], rows[hit]
+            step = np.zeros(t.n_words + 1, dtype=np.int32)
+            first = np.maximum(at + ANCHOR - WINDOW, t.ptr[rows])
+            last = np.minimum(at, t.ptr[rows + 1] - WINDOW)
+            np.add.at(step, first, 1)
+            np.add.at(step, last + 1, -1)
+            marked = np.cumsum(step) > 0
+        before = np.concatenate(([0], np.cumsum(marked)))
+        some = before[t.ptr[1:]] > before[t.ptr[:-1]]
+        runs = [_runs_blob(marked[t.ptr[d]:t.ptr[d + 1]]) if some[d] else None for d in range(t.n_docs)]
+        shas = [_sha(x.as_buffer().to_pybytes().split() if x.is_valid else []) for x in texts]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()))],
-            names=["doc_id", "n_words", "kept_sha256", "windows", "text"])
+            [column(b, "doc_id"), pa.array(t.counts(), pa.int64()), pa.array(shas, pa.string()),
+             pa.array(runs, pa.binary()),
+             pa.array([texts[d].as_py() if some[d] else None for d in range(t.n_docs)], pa.string())],
+            names=["doc_id", "n_words", "kept_sha256", "runs", "text"])
 
 
 def _windows(parts: int):
     def run(batches):
-        for b in chunks(batches, text="windows"):
+        for b in chunks(batches):
+            t = Tokens(column(b, "text"))
+            at, rows = _marked(t, column(b, "runs"))
             ids = column(b, "doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            held = column(b, "windows").to_pylist()
-            keys = np.frombuffer(b"".join(held), np.uint64).reshape(-1, 2)
-            docs = np.repeat(ids, [len(x) // 16 for x in held])
-            yield _table(_send(keys, docs, parts, 16, strict=True))
+            yield _table(_send(_wide_windows(t, at), ids[rows], parts, 12, strict=True))
     return run
 
 
@@ -227,24 +268,29 @@ _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, text s
 def _remove(keep_text: bool):
     def run(batches):
         for b in chunks(batches):
-            out = []
-            for doc, n, sha, text, entries in zip(*(column(b, c).to_pylist() for c in
-                                                    ("doc_id", "n_words", "kept_sha256", "text", "entries"))):
-                removed, kept = 0, None
-                if entries is not None:
-                    t = Tokens(pa.array([text], pa.string()))
-                    keys = np.ascontiguousarray(_wide_windows(t)).view("V16").ravel()
-                    hit = np.flatnonzero(np.isin(keys, _joined(entries, 16)))
-                    step = np.zeros(t.n_words + 1, dtype=np.int64)
-                    np.add.at(step, hit, 1)
-                    np.add.at(step, hit + WINDOW, -1)
-                    gone = np.cumsum(step[:-1]) > 0
-                    removed = int(gone.sum())
-                    words = [w for w, g in zip(text.encode().split(), gone.tolist()) if not g]
-                    sha, kept = _sha(words), b" ".join(words).decode()
-                out.append((doc, n, removed, sha, kept if keep_text else None))
+            texts = column(b, "text")
+            t = Tokens(texts)
+            told, body = _told(column(b, "entries"), 12)
+            gone = np.zeros(t.n_words, dtype=bool)
+            if len(told):
+                at, rows = _marked(t, column(b, "runs"))
+                at = at[np.isin(_of_row(_wide_windows(t, at), rows), _of_row(_words64(body), told))]
+                step = np.zeros(t.n_words + 1, dtype=np.int32)
+                np.add.at(step, at, 1)
+                np.add.at(step, at + WINDOW, -1)
+                gone = np.cumsum(step[:-1]) > 0
+            shas, kept = column(b, "kept_sha256").to_pylist(), [None] * t.n_docs
+            total = np.concatenate(([0], np.cumsum(gone)))
+            removed = total[t.ptr[1:]] - total[t.ptr[:-1]]
+            for d in np.flatnonzero(removed).tolist():
+                stay = ~gone[t.ptr[d]:t.ptr[d + 1]]
+                words = list(compress(texts[d].as_buffer().to_pybytes().split(), stay.tolist()))
+                shas[d] = _sha(words)
+                if keep_text:
+                    kept[d] = b" ".join(words).decode()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))],
+                [column(b, "doc_id"), column(b, "n_words"), pa.array(removed, pa.int64()),
+                 pa.array(shas, pa.string()), pa.array(kept, pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "text"])
     return run
 
@@ -261,12 +307,12 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, keep_text: bool = False
     shared = _exchange(known.mapInArrow(_anchors(parts), _SENT), 6, strict=False)
     extended = scratch.table(docs.join(shared, "doc_id", "left").select("doc_id", "text", "entries")
                              .mapInArrow(_extend, _EXTENDED), "extended")
-    held = extended.where("windows IS NOT NULL")
-    later = _exchange(held.select("doc_id", "windows").mapInArrow(_windows(parts), _SENT), 16, strict=True)
-    touched = (held.drop("windows").join(later, "doc_id", "left")
-               .select("doc_id", "n_words", "kept_sha256", "text", "entries")
+    held = extended.where("runs IS NOT NULL")
+    later = _exchange(held.select("doc_id", "runs", "text").mapInArrow(_windows(parts), _SENT), 12, strict=True)
+    touched = (held.join(later, "doc_id", "left")
+               .select("doc_id", "n_words", "kept_sha256", "runs", "text", "entries")
                .mapInArrow(_remove(keep_text), _RESULT))
-    whole = (extended.where("windows IS NULL")
+    whole = (extended.where("runs IS NULL")
              .select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256",
                      F.lit(None).cast("string").alias("text")))
     out = touched.unionByName(whole)
