@@ -30,11 +30,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Tokens, chunks, column, constants, mix, window_hashes
+from .common import Tokens, chunks, column, constants, mix, normalised, window_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -46,24 +45,6 @@ RADIUS = (BLOCK_RADIUS + 1) * BLOCKS - 1
 PASS_ITEMS = 1000
 PASS_BYTES = 16 << 20
 
-_PUNCTUATION = np.zeros(256, dtype=bool)
-_PUNCTUATION[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
-
-
-def normalised(texts: pa.Array) -> pa.Array:
-    """Lower case, ASCII punctuation removed."""
-    low = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    n = len(low)
-    if not n:
-        return low
-    offsets = np.frombuffer(low.buffers()[1], dtype=np.int64)[low.offset:low.offset + n + 1]
-    data = low.buffers()[2]
-    raw = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    raw = raw[offsets[0]:offsets[-1]]
-    keep = ~_PUNCTUATION[raw]
-    places = np.concatenate(([0], np.cumsum(keep)))[offsets - offsets[0]].astype(np.int64)
-    return pa.LargeStringArray.from_buffers(n, pa.py_buffer(places.tobytes()), pa.py_buffer(raw[keep].tobytes()))
-
 
 def shingles(h: np.ndarray) -> np.ndarray:
     """Shingle hashes of a word sequence (one shingle if it is short)."""

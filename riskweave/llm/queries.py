@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, mixing, near_dedup, substring, warc
-from .common import Scratch, documents
+from . import decontam, exact_dedup, langid, mixing, near_dedup, substring, warc
+from .common import Scratch, documents, fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -124,3 +124,11 @@ def q_decontaminate(spark, sf_dir):
 @query("op6_near_dedup")
 def q_near_dedup(spark, sf_dir):
     return near_dedup.classes(spark, documents(spark, sf_dir))
+
+
+@query("op7_language_id")
+def q_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs, langid.training_rows(F.col("doc_id")))
+    return langid.label(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
