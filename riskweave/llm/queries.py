@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, mixing, near_dedup, substring, warc
+from . import decontam, exact_dedup, langid, mixing, near_dedup, substring, toxicity, warc
 from .common import Scratch, documents, fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,12 @@ def q_language(spark, sf_dir):
     model = langid.fit(docs, langid.training_rows(F.col("doc_id")))
     return langid.label(docs, model).select(
         "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op1_toxicity")
+def q_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    model = toxicity.fit(docs, labels, toxicity.training_rows(F.col("doc_id")))
+    return toxicity.score(docs, model).select(
+        "doc_id", (~toxicity.training_rows(F.col("doc_id"))).alias("held_out"), "score", "predicted")
