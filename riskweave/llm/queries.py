@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, mixing, near_dedup, substring, toxicity, warc
+from . import decontam, exact_dedup, langid, mixing, near_dedup, pii, substring, toxicity, warc
 from .common import Scratch, documents, fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,42 @@ def q_toxicity(spark, sf_dir):
     model = toxicity.fit(docs, labels, toxicity.training_rows(F.col("doc_id")))
     return toxicity.score(docs, model).select(
         "doc_id", (~toxicity.training_rows(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
+_PII_KINDS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+              ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"),
+              ("card", r"[0-9](?:[\x20-]?[0-9])+"),
+              ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+_PII_CHECKS = {
+    "email": "true",
+    "ip": "list_bool_and(list_transform(string_split(m, '.'), lambda p: TRY_CAST(p AS HUGEINT) <= 255))",
+    "card": ("len(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(string_split(reverse(digits), ''), lambda d, i: "
+             "CASE WHEN i % 2 = 1 THEN d::INT WHEN d::INT > 4 THEN d::INT * 2 - 9 ELSE d::INT * 2 END)) % 10 = 0"),
+    "phone": "len(digits) BETWEEN 10 AND 15",
+}
+# The added kinds (IBAN, social security numbers) are tested against brute
+# force; the given tables hold none, so all spans are the base ones here.
+_PII_SQL = "WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),\n" + ",\n".join(
+    f"""{kind}_found AS (
+  SELECT doc_id, '{kind}' AS kind, {rank} AS rank, m, regexp_replace(m, '[^0-9]', '', 'g') AS digits,
+         CAST(list_sum(list_transform(pieces[1:i], lambda x: length(x)))
+              + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+  FROM (SELECT doc_id, pieces, ms, unnest(ms) AS m, unnest(range(1, len(ms) + 1)) AS i
+        FROM (SELECT doc_id, string_split_regex(text, '{pattern}') AS pieces,
+                     regexp_extract_all(text, '{pattern}') AS ms FROM docs))),
+{kind}_spans AS (SELECT doc_id, kind, rank, start, start + length(m) AS ends FROM {kind}_found WHERE {_PII_CHECKS[kind]})"""
+    for rank, (kind, pattern) in enumerate(_PII_KINDS)) + """,
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(kind || ':' || start || ':' || ends, ',' ORDER BY start, rank) AS spans
+  FROM (SELECT * FROM email_spans UNION ALL SELECT * FROM ip_spans UNION ALL SELECT * FROM card_spans
+        UNION ALL SELECT * FROM phone_spans) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN listed USING (doc_id)"""
+
+
+@query("op5_pii", _PII_SQL)
+def q_pii(spark, sf_dir):
+    return pii.summary(pii.find_spans(documents(spark, sf_dir)))
