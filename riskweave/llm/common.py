@@ -27,6 +27,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores added a name that ``df`` does not use."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n (null ids: the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
@@ -91,9 +99,10 @@ def normalised(texts: pa.Array) -> pa.Array:
 
 class Tokens:
     """The words of some texts: byte ``starts``/``ends`` into ``buf``, and
-    ``ptr`` so that document d has words ``ptr[d]:ptr[d + 1]``."""
+    ``ptr`` so that document d has words ``ptr[d]:ptr[d + 1]``. With
+    ``punctuation`` runs of ASCII punctuation are words of their own."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, punctuation: bool = False):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -110,6 +119,9 @@ class Tokens:
         # of word bytes begins or stops, and at document boundaries
         edge = np.zeros(len(word) + 1, dtype=bool)
         edge[self.offsets] = True
+        if punctuation and len(word):
+            mark = _PUNCTUATION[self.buf]
+            edge[1:-1] |= mark[1:] != mark[:-1]
         before = np.concatenate(([False], word))
         after = np.concatenate((word, [False]))
         self.starts = np.flatnonzero(after & (~before | edge))

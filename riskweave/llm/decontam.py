@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Tokens, chunks, column, constants, mix, normalised, window_hashes
+from .common import Tokens, chunks, column, constants, mix, normalised, spare_name, window_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -245,5 +245,6 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item."""
-    held = contaminated(spark, docs, benchmark).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, F.col("doc_id").eqNullSafe(F.col("_held")), "left_anti")
+    name = spare_name(docs, "_held")
+    held = contaminated(spark, docs, benchmark).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(held.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

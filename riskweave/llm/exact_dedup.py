@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, Scratch
+from .common import SPACES, Scratch, spare_name
 
 #: Buckets of the index: files that later batches merge-join without a shuffle.
 INDEX_BUCKETS = 64
@@ -110,20 +110,19 @@ def drop_copies(spark: SparkSession, docs: DataFrame, index_path: str | None = N
     """
     scratch = Scratch(spark, "exact-dedup-keep")
     made = ingest(spark, docs, index_path)
-    key = ["doc_id", "text_sha256", "points"]
-    kept = scratch.table(made.groupBy(key).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("copies"))
-                         .where("kept").select(*[F.col(c).alias("_k_" + c) for c in key], "copies")
-                         .withColumnRenamed("copies", "_k_copies"), "kept")
+    doc, sha, points, copies = (spare_name(docs, "_kept_" + c) for c in ("doc", "sha", "points", "copies"))
+    length = F.length(F.coalesce("text", F.lit("")))
+    kept = scratch.table(
+        made.groupBy(F.col("doc_id").alias(doc), F.col("text_sha256").alias(sha), F.col("points").alias(points))
+        .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias(copies)).where("kept").drop("kept"), "kept")
 
     def of(ids: DataFrame) -> DataFrame:
-        return docs.join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_k_doc_id"))
-                         & (digest(F.col("text")) == F.col("_k_text_sha256"))
-                         & (F.length(F.coalesce("text", F.lit(""))) == F.col("_k_points")), "left_semi")
+        return docs.join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(doc))
+                         & (digest(F.col("text")) == F.col(sha)) & (length == F.col(points)), "left_semi")
 
-    if kept.where("_k_copies > 1").isEmpty():
+    several = kept.where(F.col(copies) > 1)
+    if several.isEmpty():
         return of(kept)
-    repeated = (of(kept.where("_k_copies > 1"))
-                .withColumn("_k_points", F.length(F.coalesce("text", F.lit(""))))
-                .withColumn("_k_digest", digest(F.col("text")))
-                .dropDuplicates(["doc_id", "_k_digest", "_k_points"]).drop("_k_digest", "_k_points"))
-    return of(kept.where("_k_copies = 1")).unionByName(repeated)
+    repeated = (of(several).withColumn(points, length).withColumn(sha, digest(F.col("text")))
+                .dropDuplicates(["doc_id", sha, points]).drop(sha, points))
+    return of(kept.where(F.col(copies) == 1)).unionByName(repeated)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.components import star_components
-from .common import Scratch, Tokens, chunks, column, constants, mix, window_hashes
+from .common import Scratch, Tokens, chunks, column, constants, mix, spare_name, window_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -397,6 +397,6 @@ def classes(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY)
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, whose document stays."""
-    gone = (classes(spark, docs, threshold).where(~F.col("kept"))
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = spare_name(docs, "_gone")
+    gone = (classes(spark, docs, threshold).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col(name), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, mixing, near_dedup, pii, substring, toxicity, warc
+from . import decontam, exact_dedup, langid, mixing, near_dedup, pii, quality, substring, toxicity, warc
 from .common import Scratch, documents, fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,9 @@ FROM docs d LEFT JOIN listed USING (doc_id)"""
 @query("op5_pii", _PII_SQL)
 def q_pii(spark, sf_dir):
     return pii.summary(pii.find_spans(documents(spark, sf_dir)))
+
+
+@query("op2_importance_resample")
+def q_quality(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return quality.resample(spark, documents(spark, sf_dir), labels)
