@@ -14,13 +14,12 @@ Copies (equal lower-case words) are one text from the start. Within a bucket
 pairs are not enumerated; classes are the connected components, so pairs that
 are connected already need no test:
 
-1. every member is compared with the bucket's smallest one;
-2. members that share too few shingles with all other members of open buckets
-   to be similar to any of them leave (an exact bound from shingle counts);
-3. while the pairs across the components of a bucket are more than a constant
-   number per member, every open bucket compares its most central unused member
-   with the members of other components;
-4. the rest of these pairs, if any, are all compared.
+1. every member is compared with the bucket's smallest one, and in buckets that
+   still hold several components with its most central members;
+2. what lies outside a bucket's largest component is compared with all texts
+   that share one of its rarest shingles: a similar text must share one of any
+   n - needed + 1 of its n shingles (the prefix filter of set-similarity joins,
+   exact), and the rarest ones lead to few others.
 
 Edge cases: texts are compared whole; null and empty texts are copies of one
 another; texts of up to five words are similar only if equal; rows with a null
@@ -37,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.components import star_components
@@ -48,8 +48,8 @@ SIMILARITY = 0.8
 ELL = 2
 ROWS = 2
 BANDS = 16
-#: Step 4 takes over when so many pairs per member are left.
-PAIRS_PER_MEMBER = 4
+#: Rounds that compare a bucket's most central member with the rest.
+CENTRAL_ROUNDS = 2
 
 
 # --------------------------------------------------------------------------
@@ -246,7 +246,8 @@ class _Search:
 
     def __init__(self, scratch: Scratch, texts: DataFrame, threshold: float):
         self.scratch, self.texts, self.threshold = scratch, texts, threshold
-        self.links = self.tested = None
+        self.links = self.tested = self.roots = None
+        self.grown = False
         self.round = 0
 
     def compare(self, pairs: DataFrame) -> None:
@@ -261,14 +262,19 @@ class _Search:
         both = left.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
         found = scratch.table(both.select("a", "b", "text_a", "text_b")
                               .mapInArrow(_verify(self.threshold), _VERIFIED), f"links-{k}")
+        self.grown = not found.isEmpty()
         self.links = found if self.links is None else self.links.unionByName(found)
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         self.round += 1
 
     def labelled(self, members: DataFrame) -> DataFrame:
         """members with the component of each (its own id if it has no link)."""
-        roots = star_components(self.links, self.scratch, "a", "b")
-        self.roots = self.scratch.table(roots.withColumnRenamed("node", "rep"), f"roots-{self.round}")
+        if self.grown:
+            roots = star_components(self.links, self.scratch, "a", "b")
+            self.roots = self.scratch.table(roots.withColumnRenamed("node", "rep"), f"roots-{self.round}")
+            self.grown = False
+        if self.roots is None:
+            return members.withColumn("component", F.col("rep"))
         joined = members.join(self.roots, "rep", "left")
         return joined.withColumn("component", F.coalesce("component", "rep"))
 
@@ -295,64 +301,65 @@ def _links(spark: SparkSession, scratch: Scratch, members: DataFrame, docs: Data
     if rest.isEmpty():
         return search
 
-    # Exact bound: of a member's n shingles, those that no other open member
-    # has cannot be aligned; a link to a text of m shingles needs
-    # threshold / (1 + threshold) * (n + m) aligned ones.
-    share = threshold / (1 + threshold)
-    open_ids = rest.select("rep").distinct()
+    # Shingle frequencies among the open texts: the most central member of a
+    # bucket is the one with the fewest shingles of its own.
+    open_ids = scratch.table(rest.select("rep").distinct(), "open-ids")
     texts = scratch.table(texts.join(open_ids, "rep", "left_semi"), "open-texts")
     search.texts = texts
     counted = scratch.table(texts.withColumnRenamed("rep", "doc_id")
                             .mapInArrow(_shingle_hashes, "rep long, hash long, n int"), "shingles")
-    lonely = (counted.groupBy("hash").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"),
-                                          F.sum("n").alias("n"))
-              .where("rep = other").groupBy("rep").agg(F.sum("n").alias("lonely")))
-    sizes = rest.groupBy("key").agg(F.min("shingles").alias("smallest"))
-    rest = (rest.join(lonely, "rep", "left").join(sizes, "key")
-            .withColumn("shared", F.col("shingles") - F.coalesce("lonely", F.lit(0)))
-            .where(F.col("shared") >= share * (F.col("shingles") + F.greatest(
-                F.col("smallest"), threshold * F.col("shingles"))) - 1e-6)
-            .select("key", "rep", "shingles", "component", "shared"))
-    members = scratch.table(rest, "members-2")
+    often = scratch.table(counted.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")), "often")
+    weighed = scratch.table(counted.join(often, "hash"), "weighed")
+    own = scratch.table(weighed.groupBy("rep").agg(
+        F.coalesce(F.sum(F.when(F.col("texts") == 1, F.col("n"))), F.lit(0)).alias("own")), "own")
+    members = scratch.table(rest.select("key", "rep", "shingles").join(own, "rep"), "members-2")
+    left = rest.join(own, "rep")
     used = None
-    while True:
+    for _ in range(CENTRAL_ROUNDS):
         k = search.round
         if used is not None:
-            left = search.labelled(members.drop("component"))
-        else:
-            left = members
-        left = _open(left)
-        # A member used as pivot has met every other member of its bucket.
-        if used is not None:
-            left = left.join(used.withColumn("met", F.lit(True)), ["key", "rep"], "left")
-        else:
-            left = left.withColumn("met", F.lit(None).cast("boolean"))
-        left = scratch.table(left.withColumn("met", F.coalesce("met", F.lit(False))), f"open-{k}")
-        waiting = left.where(~F.col("met"))
-        work = waiting.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("in_bucket") - F.col("in_component")), F.lit(0))).first()
-        members_left = left.count()
-        if work[1] == 0:
-            return search
-        other = left.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"),
-                            F.col("shingles").alias("nb"), F.col("met").alias("mb"))
-
-        def across(pivots: DataFrame) -> DataFrame:
-            # each side's sizes must allow the threshold
-            return (other.join(pivots, "key")
-                    .where((F.col("cb") != F.col("component")) & ~F.col("mb")
-                           & (F.least("nb", "shingles") >= threshold * F.greatest("nb", "shingles"))))
-
-        if work[1] <= PAIRS_PER_MEMBER * members_left:
-            pairs = across(waiting.select("key", "rep", "component", "shingles")).where("rep < b")
-            search.compare(pairs.select(F.col("rep").alias("a"), "b"))
-            search.labelled(members.select("key", "rep"))
-            return search
-        rank = F.struct((F.col("shared") / F.col("shingles")), -F.col("in_component"), -F.col("rep"))
-        central = scratch.table(waiting.groupBy("key").agg(F.max_by(F.struct("rep", "component", "shingles"), rank)
-                                                           .alias("p")).select("key", "p.*"), f"central-{k}")
-        search.compare(across(central).select(F.col("rep").alias("a"), "b"))
+            left = left.join(used, ["key", "rep"], "left_anti")
+        rank = F.struct(-F.col("own") / F.col("shingles"), -F.col("rep"))
+        central = scratch.table(left.groupBy("key").agg(F.max_by(F.struct("rep", "component", "shingles"), rank).alias("p"))
+                                .select("key", "p.*"), f"central-{k}")
+        pairs = (central.join(left.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"),
+                                          F.col("shingles").alias("nb")), "key")
+                 .where((F.col("cb") != F.col("component"))
+                        & (F.least("nb", "shingles") >= threshold * F.greatest("nb", "shingles"))))
+        search.compare(pairs.select(F.col("rep").alias("a"), "b"))
         new = central.select("key", "rep")
-        used = scratch.table(new if used is None else used.unionByName(new), f"used-{k}")
+        used = new if used is None else used.unionByName(new)
+        left = scratch.table(_open(search.labelled(members)), f"open-{k}")
+    if left.isEmpty():
+        return search
+
+    # What the largest component of a bucket does not hold. A text that is
+    # similar to one of these shares so many of its n shingles that it has one
+    # of any n - needed + 1 of them, so the rarest ones find it.
+    share = threshold / (1 + threshold)
+    biggest = left.groupBy("key").agg(F.max(F.struct("in_component", "component")).alias("top"),
+                                      F.min("shingles").alias("smallest"))
+    outside = (left.join(biggest, "key").where(F.col("component") != F.col("top.component"))
+               .groupBy("rep").agg(F.first("shingles").alias("shingles"), F.first("component").alias("component"),
+                                   F.min("smallest").alias("smallest")))
+    needed = F.ceil(share * (F.col("shingles") + F.greatest(
+        F.col("smallest").cast("double"), threshold * F.col("shingles"))) - 1e-6)
+    outside = scratch.table(outside.withColumn("few", F.col("shingles") - needed + 1), "outside")
+    rarest = W.partitionBy("rep").orderBy("texts", "hash").rowsBetween(W.unboundedPreceding, -1)
+    probes = scratch.table(
+        weighed.join(outside, "rep").withColumn("before", F.coalesce(F.sum("n").over(rarest), F.lit(0)))
+        .where((F.col("before") < F.col("few")) & (F.col("texts") > 1))
+        .select("hash", "before", F.col("rep").alias("a"), F.col("component").alias("ca"),
+                F.col("shingles").alias("na")), "probes")
+    labels = left.groupBy("rep").agg(F.first("component").alias("cb"), F.first("shingles").alias("nb"))
+    held = scratch.table(weighed.where("texts > 1").select("hash", "rep").join(labels, "rep")
+                         .withColumnRenamed("rep", "b"), "held")
+    pairs = held.join(probes, "hash").where(
+        (F.col("ca") != F.col("cb")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
+        & (F.col("before") <= F.col("na") - F.ceil(share * (F.col("na") + F.col("nb")) - 1e-6))).select("a", "b")
+    search.compare(pairs)
+    search.labelled(members)
+    return search
 
 
 def classes(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -376,8 +383,7 @@ def classes(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY)
     scratch.drop("keyed")
     roots = None
     if not members.isEmpty():
-        search = _links(spark, scratch, members, docs, threshold)
-        roots = search.roots
+        roots = _links(spark, scratch, members, docs, threshold).roots
     of_rep = copies
     if roots is not None:
         of_rep = copies.join(roots, "rep", "left")
