@@ -7,6 +7,7 @@ no words. All hashes are fixed functions of the text, alike in every task.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -180,3 +181,13 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+def trained_in_task(sample: DataFrame, train) -> object:
+    """``train(rows)`` run by one task on a bounded sample; only the model comes
+    to the driver. ``rows`` are the sample's rows as dictionaries."""
+    def run(batches):
+        rows = [row for b in batches for row in b.to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(rows))], pa.binary())], names=["model"])
+
+    return pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").first().model)

@@ -8,8 +8,8 @@ word's label probabilities; a document's prediction is the language with the
 largest mean probability over its words.
 
 The model is fitted by Adagrad on a bounded sample: ``SAMPLE_DOCS`` labelled
-documents of at most ``SAMPLE_BYTES`` each, drawn by the hash of their id. Its
-size is fixed, so tasks hold it whole. Prediction covers whole texts of all
+documents of at most ``SAMPLE_BYTES`` each, drawn by the hash of their id, in one
+task. Its size is fixed, so tasks hold it whole. Prediction covers whole texts of all
 documents; long texts are split into blocks that pass exact messages on.
 
 Edge cases: null and empty texts and texts without a letter are ``und`` with
@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Tokens, chunks, column, fold, mix, normalised
+from .common import Tokens, chunks, column, fold, mix, normalised, trained_in_task
 
 SAMPLE_DOCS = 2000
 SAMPLE_BYTES = 64 << 10
@@ -41,6 +41,8 @@ PASSAGE = 24
 SPLICED = 4
 EPOCHS = 4
 RATE = 0.5
+#: Distinct words whose features are built at a time in training.
+PART = 20000
 #: Words of an inference block.
 BLOCK = 128
 #: Mean label probability under which a document is rejected by the filter.
@@ -81,7 +83,7 @@ def features(t: Tokens, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         owners.append(owner[fits])
     rows, owners = np.concatenate(rows), np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
-    return rows[order], np.searchsorted(owners[order], np.arange(len(words)))
+    return rows[order].astype(np.int32), np.searchsorted(owners[order], np.arange(len(words)))
 
 
 @dataclass
@@ -138,6 +140,8 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
     """Fit on labelled documents by Adagrad on the conditional likelihood."""
     languages = sorted(set(langs))
     k = len(languages)
+    if not k:
+        return Model([], np.zeros((FEATURES, 0)), np.zeros(0, np.uint64), np.zeros((1, 0)), np.zeros((0, 0)))
     label = np.array([languages.index(x) for x in langs], dtype=np.int64)
     t = Tokens(normalised(pa.array(texts, pa.string())))
     h = t.hashes()
@@ -147,8 +151,10 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
     common = [np.argsort(-uses[:, c], kind="stable")[:LEXICON] for c in range(k)]
     common = np.unique(np.concatenate([x[uses[x, c] > 1] for c, x in enumerate(common)]))
     lexicon = np.sort(h[first[common]])
-    rows, begin = features(t, first) if len(first) else (np.zeros(0, int), np.zeros(0, int))
-    many = np.diff(np.append(begin, len(rows)))
+    parts = [features(t, first[a:a + PART]) for a in range(0, len(first), PART)]
+    rows = np.concatenate([r for r, _ in parts] or [np.zeros(0, np.int32)])
+    many = np.concatenate([np.diff(np.append(b, len(r))) for r, b in parts] or [np.zeros(0, int)])
+    begin = np.cumsum(many) - many
     place, known = _lookup(lexicon, h[first])
     weights, entries = np.zeros((FEATURES, k), np.float32), np.zeros((max(1, len(lexicon)), k), np.float32)
     transitions = np.zeros((k, k))
@@ -195,12 +201,11 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
 
 def fit(docs: DataFrame, training, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Train on a bounded sample of the rows that ``training`` selects."""
-    rows = (docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull()
-                       & (F.octet_length("text") <= sample_bytes))
-            .select("lang", "text", F.xxhash64("doc_id").alias("place"))
-            .orderBy("place", "lang", "text").limit(sample_docs).select("lang", "text").collect())
-    return train([r.text for r in rows], [r.lang for r in rows]) if rows else \
-        Model([], np.zeros((FEATURES, 0)), np.zeros(0, np.uint64), np.zeros((1, 0)), np.zeros((0, 0)))
+    sample = (docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull()
+                         & (F.octet_length("text") <= sample_bytes))
+              .select("lang", "text", F.xxhash64("doc_id").alias("place"))
+              .orderBy("place", "lang", "text").limit(sample_docs).select("lang", "text"))
+    return trained_in_task(sample, lambda rows: train([r["text"] for r in rows], [r["lang"] for r in rows]))
 
 
 # --------------------------------------------------------------------------

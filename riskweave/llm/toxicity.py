@@ -14,8 +14,8 @@ Features are hashed words and byte n-grams of words, present or not in a
 document; those whose share differs clearly between positives and unlabelled
 text are kept. ``MEMBERS`` numpy classifiers are fitted on different unlabelled
 draws and averaged. Training uses a bounded sample (``SAMPLE_DOCS`` documents of
-each kind, of at most ``SAMPLE_BYTES`` each, drawn by the hash of the id);
-scores cover whole texts of all documents.
+each kind, of at most ``SAMPLE_BYTES`` each, drawn by the hash of the id, in one
+task); scores cover whole texts of all documents.
 
 Edge cases: null and empty texts have no features and get the bias score;
 documents with several label rows count as toxic if one says so; without any
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Tokens, chunks, column, fold, mix, normalised
+from .common import Tokens, chunks, column, fold, mix, normalised, trained_in_task
 
 SAMPLE_DOCS = 2000
 SAMPLE_BYTES = 64 << 10
@@ -43,6 +43,8 @@ GRAMS = (5, 6, 7, 8)
 CLEAR = 4.0
 MOST_FEATURES = 20000
 MEMBERS = 3
+#: Documents whose features are built at a time in training.
+PART = 64
 STEPS = 800
 BATCH = 256
 RATE = 0.1
@@ -128,12 +130,19 @@ def kept_features(t: Tokens, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return pairs // max(1, size), pairs % max(1, size)
 
 
-def _choose(positive: Tokens, unlabelled: Tokens) -> np.ndarray:
+def _slices(texts: list[str]):
+    for a in range(0, len(texts), PART):
+        yield Tokens(normalised(pa.array(texts[a:a + PART], pa.string())))
+
+
+def _choose(positive: list[str], unlabelled: list[str]) -> np.ndarray:
     """Kept features: shares in positives and unlabelled text that differ."""
-    shares, n = [], (positive.n_docs, unlabelled.n_docs)
-    for t in (positive, unlabelled):
-        _, rows = document_features(t)
-        shares.append(np.bincount(rows, minlength=FEATURES))
+    shares, n = [], (len(positive), len(unlabelled))
+    for texts in (positive, unlabelled):
+        held = np.zeros(FEATURES, dtype=np.int64)
+        for t in _slices(texts):
+            held += np.bincount(document_features(t)[1], minlength=FEATURES)
+        shares.append(held)
     p, u = shares[0] / n[0], shares[1] / n[1]
     both = (shares[0] + shares[1]) / (n[0] + n[1])
     error = np.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]))
@@ -145,9 +154,14 @@ def _choose(positive: Tokens, unlabelled: Tokens) -> np.ndarray:
     return place
 
 
-def _csr(t: Tokens, place: np.ndarray):
-    docs, rows = kept_features(t, place)
-    return rows, np.searchsorted(docs, np.arange(t.n_docs + 1))
+def _csr(texts: list[str], place: np.ndarray):
+    """Kept features of each document, flat, and where each document's begin."""
+    rows, counts = [], []
+    for t in _slices(texts):
+        docs, held = kept_features(t, place)
+        rows.append(held)
+        counts.append(np.bincount(docs, minlength=t.n_docs))
+    return np.concatenate(rows), np.concatenate(([0], np.cumsum(np.concatenate(counts))))
 
 
 def _margins(data, pick: np.ndarray, w: np.ndarray):
@@ -165,10 +179,9 @@ def _sigmoid(x):
 
 def train(positive: list[str], unlabelled: list[str], prior: float, seed: int = 11) -> Model:
     """Fit the classifiers with the logistic loss on the non-negative risk."""
-    tp, tu = (Tokens(normalised(pa.array(x, pa.string()))) for x in (positive, unlabelled))
-    place = _choose(tp, tu)
+    place = _choose(positive, unlabelled)
     size = int(place.max()) + 1
-    p_data, u_data = _csr(tp, place), _csr(tu, place)
+    p_data, u_data = _csr(positive, place), _csr(unlabelled, place)
     members = []
     for member in range(MEMBERS):
         rng = np.random.default_rng(seed + member)
@@ -212,19 +225,25 @@ def fit(docs: DataFrame, labels: DataFrame, training, sample_docs: int = SAMPLE_
              .where(training).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     toxic, count = named.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
     if not toxic:
-        return Model(np.full(FEATURES, -1, dtype=np.int32), np.zeros((0, 1)), 0.0)
+        return _nothing(0.0)
     order = [F.xxhash64(F.col("doc_id"), F.lit(1)), "doc_id"]
     fits = F.col("text").isNotNull() & (F.octet_length("text") <= sample_bytes)
     # ids first: the sample's texts are the only ones that are fetched
     chosen = (named.where("toxic = 1").select("doc_id").orderBy(*order).limit(4 * sample_docs))
     positive = (docs.select("doc_id", "text").where(fits).join(chosen, "doc_id", "left_semi")
-                .orderBy(*order).limit(sample_docs).select("text").collect())
+                .orderBy(*order).limit(sample_docs).select("text", F.lit(True).alias("positive")))
     unlabelled = (docs.where(training & fits).select("doc_id", "text")
-                  .orderBy(*order).limit(sample_docs).select("text").collect())
+                  .orderBy(*order).limit(sample_docs).select("text", F.lit(False).alias("positive")))
     prior = min(max(toxic / count, 0.01), 0.9)
-    if not positive or not unlabelled:
-        return Model(np.full(FEATURES, -1, dtype=np.int32), np.zeros((0, 1)), prior)
-    return train([r.text for r in positive], [r.text for r in unlabelled], prior)
+
+    def run(rows):
+        texts = [[r["text"] for r in rows if r["positive"] == kind] for kind in (True, False)]
+        return train(*texts, prior) if all(texts) else _nothing(prior)
+    return trained_in_task(positive.unionByName(unlabelled), run)
+
+
+def _nothing(prior: float) -> Model:
+    return Model(np.full(FEATURES, -1, dtype=np.int32), np.zeros((0, 1)), prior)
 
 
 def _score(model: Model):
