@@ -190,4 +190,5 @@ def trained_in_task(sample: DataFrame, train) -> object:
         rows = [row for b in batches for row in b.to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(rows))], pa.binary())], names=["model"])
 
-    return pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").first().model)
+    made = sample.coalesce(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(made.model) if made else train([])  # a plan without rows runs no task

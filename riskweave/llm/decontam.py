@@ -76,7 +76,7 @@ def _pair_places(h: np.ndarray) -> np.ndarray:
 def _signs(h: np.ndarray) -> np.ndarray:
     """+1/-1 per word and bit."""
     lanes = np.stack([mix(h ^ c) for c in constants(21, BITS // 64)], axis=1)
-    bits = np.unpackbits(lanes.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
+    bits = np.unpackbits(lanes.view(np.uint8).reshape(len(h), BITS // 8), axis=1, bitorder="little")
     return bits.astype(np.int8) * 2 - 1
 
 
