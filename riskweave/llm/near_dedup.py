@@ -48,6 +48,8 @@ SIMILARITY = 0.8
 ELL = 2
 ROWS = 2
 BANDS = 16
+#: Links that one task joins into components (about 100 MB); more are joined by rounds.
+TASK_LINKS = 500_000
 #: Rounds that compare a bucket's most central member with the rest.
 CENTRAL_ROUNDS = 2
 
@@ -241,6 +243,33 @@ def _shingle_hashes(batches):
 # Classes
 # --------------------------------------------------------------------------
 
+def _union_find(batches):
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    for batch in batches:
+        for a, b in zip(column(batch, "a").to_pylist(), column(batch, "b").to_pylist()):
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())],
+                                     names=["rep", "component"])
+
+
+def components(links: DataFrame, scratch: Scratch, task_links: int = TASK_LINKS) -> DataFrame:
+    """(rep, component) of every linked text; the component is its smallest
+    text. Links of a checked, bounded number are joined by one task, more of
+    them by distributed rounds."""
+    if links.count() <= task_links:
+        return links.select("a", "b").coalesce(1).mapInArrow(_union_find, "rep long, component long")
+    return star_components(links, scratch, "a", "b").withColumnRenamed("node", "rep")
+
+
 class _Search:
     """Links between representatives (documents that stand for their copies)."""
 
@@ -270,8 +299,7 @@ class _Search:
     def labelled(self, members: DataFrame) -> DataFrame:
         """members with the component of each (its own id if it has no link)."""
         if self.grown:
-            roots = star_components(self.links, self.scratch, "a", "b")
-            self.roots = self.scratch.table(roots.withColumnRenamed("node", "rep"), f"roots-{self.round}")
+            self.roots = self.scratch.table(components(self.links, self.scratch), f"roots-{self.round}")
             self.grown = False
         if self.roots is None:
             return members.withColumn("component", F.col("rep"))

@@ -216,6 +216,13 @@ def test_near_dedup_group_against_all_pairs(spark):
     assert all(find(i) == got[i] for i in got)
 
 
+@pytest.mark.parametrize("task_links", [0, 1000])
+def test_components_in_one_task_or_in_rounds(spark, task_links):
+    links = spark.createDataFrame([(5, 3), (3, 9), (7, 8), (8, 7)], "a long, b long")
+    got = near_dedup.components(links, Scratch(spark, "test-links"), task_links).collect()
+    assert sorted(map(tuple, got)) == [(3, 3), (5, 3), (7, 7), (8, 7), (9, 3)]
+
+
 def test_alignment_is_longest_common_subsequence():
     def lcs(a, b):
         row = [0] * (len(b) + 1)
