@@ -119,3 +119,5 @@ NETWORK_RESILIENCE_ELSE = "LOW RESILIENCE"
 
 UNKNOWN_NODE = "UNKNOWN"
 TOP_CRITICAL_ENTITIES_N = 10
+
+TOP_EDGES_N = 20

@@ -3,8 +3,8 @@
 The property graph is two DataFrames keyed by the string ``node_id``; no numeric
 vertex ids and no driver-side id map. Iterative operators (PageRank, connected
 components) are DataFrame loops whose only driver values are convergence
-checks; lineage is cut with reliable checkpoints in the session's shared
-checkpoint folder (``spark.checkpoint.dir``), never machine-local storage.
+checks; lineage is cut with tables in the session's shared checkpoint folder
+(``spark.checkpoint.dir``), never machine-local storage.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.levels import at_least, risk_level
-from ..session import checkpoint_dir
+from ..scratch import Scratch
+from .components import star_components
 
 
 def valid_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -60,87 +61,11 @@ def degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return _typed(counts, nodes, "degree")
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _by_key(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """Hash-partition once and keep it: later joins on ``key`` with inputs
-    partitioned the same way need no shuffle of this side."""
-    return df.repartition(parts, key).persist(StorageLevel.MEMORY_AND_DISK)
-
-
-# Edge-table partitions are sized from the edge count, capped by
-# spark.sql.shuffle.partitions (the per-round vertex shuffles are AQE's).
+#: Edges of one loop partition. A source with more out-edges is dealt over
+#: several salts, so no task holds more than about this many edges of one key.
 EDGES_PER_PARTITION = 2_000_000
 
 
-class _SplitEdges:
-    """Edges split by the degree of their join key (skew handling for loops).
-
-    One one-row aggregate (total edges, largest degree) sizes the partitioning:
-    ``parts`` = ceil(edges / EDGES_PER_PARTITION), at most ``max_parts``. A key
-    holding more than 1/(2·parts) of all edges is *hot*. Fewer than 2·parts
-    keys can be hot (their edges alone would otherwise outnumber all edges),
-    so the per-round rows of hot keys have a proven size bound and are
-    broadcast. Their edges are spread round-robin over all partitions; every
-    other edge stays hash-partitioned by the key, so per round only the
-    (vertex-sized) rows are shuffled to meet them. A hub (a warehouse fed by a
-    third of all suppliers) never lands in a single task, and no edge is
-    shuffled after the split.
-    """
-
-    def __init__(self, edges: DataFrame, key: str, max_parts: int,
-                 degrees: DataFrame | None = None):
-        deg = (degrees if degrees is not None
-               else edges.groupBy(key).agg(F.count(F.lit(1)).alias("_deg")))
-        # One bounded row to the driver decides the plan shape for all rounds.
-        stats = deg.agg(F.sum("_deg").alias("total"), F.max("_deg").alias("top"),
-                        F.count(F.lit(1)).alias("keys")).first()
-        total, top = int(stats["total"] or 0), int(stats["top"] or 0)
-        self.keys = int(stats["keys"])   # distinct keys with at least one edge
-        parts = max(1, min(max_parts, math.ceil(total / EDGES_PER_PARTITION)))
-        self.key = key
-        self.any_hot = top * 2 * parts > total
-        self.hot = (deg.where(F.col("_deg") * (2 * parts) > F.lit(total)).select(key)
-                       .persist(StorageLevel.MEMORY_AND_DISK))
-        if self.any_hot:
-            self.cold = _by_key(edges.join(F.broadcast(self.hot), key, "left_anti"), key, parts)
-            self.spread = (edges.join(F.broadcast(self.hot), key, "left_semi")
-                                .repartition(parts).persist(StorageLevel.MEMORY_AND_DISK))
-        else:
-            self.cold, self.spread = _by_key(edges, key, parts), None
-
-    def join(self, rows: DataFrame) -> DataFrame:
-        """Inner join of ``rows`` (hash-partitioned by the key) with all edges."""
-        cold = self.cold.join(rows, self.key)
-        if not self.any_hot:
-            return cold
-        hot_rows = rows.join(F.broadcast(self.hot), self.key, "left_semi")
-        hot = self.spread.join(F.broadcast(hot_rows), self.key)
-        return cold.unionByName(hot)
-
-    def unpersist(self) -> None:
-        for df in (self.hot, self.cold, self.spread):
-            if df is not None:
-                df.unpersist()
-
-
-def _round_state(df: DataFrame) -> DataFrame:
-    """One round's vertex state as a reliable checkpoint in the shared folder.
-
-    Every round is cut: a lost executor never costs more than one round, and
-    the plan stays a scan. (A round references the previous state several
-    times and Spark renders nested cached plans into each execution's
-    description, so state kept as a chain of persisted plans grows
-    exponentially in planning cost — measured slower already at 2–3 rounds
-    per cut, and out of memory at 4.) The state is vertex-sized; the large
-    input, the edges, is partitioned once and never moves again.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
              reset: float = K.PAGERANK_RESET, max_iter: int | None = None) -> DataFrame:
     """unweighted PageRank until convergence, ranks summing to the node count.
@@ -151,42 +76,46 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
     ``change / out_degree`` along their out-edges; a receiving vertex adds
     ``(1 - reset) * sum``. It stops when nobody can send; finally ranks are
     scaled by N / sum so they add up to the number of nodes (isolated nodes
-    included).
-
-    The weighted edges — the large input — are hash-partitioned by ``src``
-    once and never shuffled again; a round moves only vertex-sized data (the
-    senders to the edges, the map-side-combined messages, the state). Edges of
-    hot sources are spread and joined with their (bounded, broadcast) senders
-    instead (``_SplitEdges``). Each round's state is a reliable checkpoint
-    (``_round_state``).
+    included). With ``max_iter``, a run that would need more rounds raises.
+
+    The valid edges are evaluated once, into a table; degrees, weights and salts
+    come from that table. The weighted edges are dealt once by (src, salt),
+    ``ceil(edges / EDGES_PER_PARTITION)`` partitions, and stay there: a round
+    moves only vertex-sized data (a sender's row once per salt, the map-side
+    combined messages, the state). Each round's state is a table in the shared
+    checkpoint folder; the one before is deleted.
     """
+    scratch = Scratch(nodes.sparkSession, "pagerank")
     damp = 1.0 - reset
-    parts = _partitions(nodes)
-    e = valid_edges(nodes, edges).select("src", "dst")
-    outdeg = (e.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
-               .persist(StorageLevel.MEMORY_AND_DISK))
-    weighted = _SplitEdges(e.join(outdeg, "src")
-                            .select("src", "dst", (F.lit(1.0) / F.col("_out")).alias("w")), "src", parts,
-                           degrees=outdeg.withColumnRenamed("_out", "_deg"))
-
-    # A vertex without out-edges never sends; knowing that ends the loop one
-    # round earlier on acyclic graphs.
-    state = _round_state(
+    e = scratch.table(valid_edges(nodes, edges).select("src", "dst"), "edges")
+    parts = max(1, math.ceil(e.count() / EDGES_PER_PARTITION))
+    outdeg = scratch.table(
+        e.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
+         .withColumn("salts", F.ceil(F.col("out") / F.lit(EDGES_PER_PARTITION)).cast("int")), "outdeg")
+    weighted = (e.join(outdeg, "src")
+                 .select("src", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"), "dst",
+                         (F.lit(1.0) / F.col("out")).alias("w"))
+                 .repartition(parts, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK))
+
+    # A vertex without out-edges (no salts) never sends; knowing that ends the
+    # loop one round earlier on acyclic graphs.
+    state = scratch.table(
         nodes.select("node_id")
-             .join(outdeg.select(F.col("src").alias("node_id"), F.lit(True).alias("_src")),
-                   "node_id", "left")
+             .join(outdeg.select(F.col("src").alias("node_id"), "salts"), "node_id", "left")
              .select("node_id", F.lit(reset).alias("pr"), F.lit(reset).alias("delta"),
-                     F.lit(True).alias("active"),
-                     F.coalesce(F.col("_src"), F.lit(False)).alias("has_out")))
+                     F.lit(True).alias("active"), "salts"), "state-0")
 
     def can_send(df):
-        return df.where(F.col("active") & F.col("has_out") & (F.col("delta") > tol))
+        return df.where(F.col("active") & F.col("salts").isNotNull() & (F.col("delta") > tol))
 
-    # Initially every vertex with out-edges can send (its last change is reset).
-    pending = weighted.keys if reset > tol else 0
+    pending = can_send(state).count()
     rounds = 0
-    while pending and (max_iter is None or rounds < max_iter):
-        msgs = (weighted.join(can_send(state).select(F.col("node_id").alias("src"), "delta"))
+    while pending:
+        if max_iter is not None and rounds >= max_iter:
+            raise RuntimeError(f"PageRank has not converged after {rounds} rounds")
+        senders = can_send(state).select(F.col("node_id").alias("src"), "delta",
+                                         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        msgs = (weighted.join(senders, ["src", "salt"])
                         .groupBy(F.col("dst").alias("node_id"))
                         .agg(F.sum(F.col("delta") * F.col("w")).alias("_msg")))
         got = F.col("_msg").isNotNull()
@@ -196,13 +125,14 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
             F.when(got, new_pr).otherwise(F.col("pr")).alias("pr"),
             F.when(got, new_pr - F.col("pr")).otherwise(F.col("delta")).alias("delta"),
             got.alias("active"),
-            "has_out",
+            "salts",
         )
         rounds += 1
-        state = _round_state(nxt)
+        state = scratch.table(nxt, f"state-{rounds}")
+        scratch.drop(f"state-{rounds - 1}")
         pending = can_send(state).count()
     weighted.unpersist()
-    outdeg.unpersist()
+    scratch.drop("edges", "outdeg")
 
     total = state.agg(F.sum("pr").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     scaled = state.join(F.broadcast(total), how="inner").select(
@@ -210,41 +140,14 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
     return _typed(scaled, nodes, "pagerank")
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame,
-                         max_iter: int | None = None) -> DataFrame:
-    """undirected components by min-label propagation; the label is the
-    smallest ``node_id`` of the component (stable, unlike positional ids).
-
-    Each round a node takes the smallest label among itself and its neighbours;
-    only nodes whose label changed propagate in the next round. The symmetric
-    edges are partitioned once (hot nodes spread, see ``_SplitEdges``); each
-    round's labels are a reliable checkpoint (``_round_state``).
-    """
-    parts = _partitions(nodes)
-    e = valid_edges(nodes, edges)
-    sym = _SplitEdges(e.select("src", "dst")
-                       .union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-                       .where(F.col("src") != F.col("dst")).distinct(), "src", parts)
-    labels = _round_state(nodes.select("node_id", F.col("node_id").alias("label"),
-                                       F.lit(True).alias("_changed")))
-    pending = 1
-    rounds = 0
-    while pending and (max_iter is None or rounds < max_iter):
-        movers = labels.where("_changed").select(F.col("node_id").alias("src"), "label")
-        best = (sym.join(movers)
-                   .groupBy(F.col("dst").alias("node_id")).agg(F.min("label").alias("_nl")))
-        smaller = F.coalesce(F.col("_nl") < F.col("label"), F.lit(False))
-        nxt = labels.join(best, "node_id", "left").select(
-            "node_id",
-            F.when(smaller, F.col("_nl")).otherwise(F.col("label")).alias("label"),
-            smaller.alias("_changed"),
-        )
-        rounds += 1
-        labels = _round_state(nxt)
-        pending = labels.where("_changed").count()
-    sym.unpersist()
-    return labels.join(nodes, "node_id").select(
-        F.col("label").alias("component_id"), "node_type", "node_id")
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """undirected components; the label is the smallest ``node_id`` of the
+    component (stable, unlike positional ids). Large-star/small-star rounds grow
+    with the logarithm of the graph, not with its diameter."""
+    scratch = Scratch(nodes.sparkSession, "components")
+    roots = star_components(valid_edges(nodes, edges), scratch).withColumnRenamed("node", "node_id")
+    return nodes.join(roots, "node_id", "left").select(
+        F.coalesce("component", "node_id").alias("component_id"), "node_type", "node_id")
 
 
 def component_sizes(components: DataFrame) -> DataFrame:
@@ -291,6 +194,12 @@ def edge_criticality(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                                             "avg_delivery_delay")
 
 
+def top_critical_edges(nodes: DataFrame, edges: DataFrame, n: int = K.TOP_EDGES_N) -> DataFrame:
+    """the n valid edges with the most transactions, ids as tie-breakers."""
+    ranked = [F.col("transaction_count").desc_nulls_last(), *[F.col(c) for c in ("src", "dst", "relationship")]]
+    return edge_criticality(nodes, edges).orderBy(*ranked).limit(n)
+
+
 def _retention_level(col) -> F.Column:
     return at_least(col, K.RETENTION_CUTS, K.RETENTION_LABELS, K.RETENTION_ELSE)
 

@@ -11,6 +11,7 @@ top-k carries full tie-breakers so results are deterministic.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -211,29 +212,28 @@ HIGH_RISK_COLUMNS = ("order_id", "Supplier_ID", "Warehouse_ID", "DC_ID", "Route_
                      "Route_Risk_Level", "Severity", "Event_Type")
 
 
-def bounded_fan_in(df: DataFrame) -> DataFrame:
-    """Cap the number of partitions feeding a top-k at the cluster's parallelism.
+#: Buckets of the first merge level of a top-k.
+TOP_K_BUCKETS = 64
 
-    ``TakeOrderedAndProject`` keeps k rows per input partition and merges them
-    in one task; over a raw scan of ~10^5–10^6 file splits and k = 1000 that
-    merge would receive ~10^8–10^9 rows. A narrow ``coalesce`` (no shuffle)
-    to the default parallelism keeps one scan task per core and bounds the
-    merge at cores × k rows.
-    """
-    return df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
+
+def two_level_top_k(df: DataFrame, order: list, n: int, buckets: int = TOP_K_BUCKETS) -> DataFrame:
+    """The first n rows in ``order``: every input task keeps its first n (the
+    group limit below the exchange), ``buckets`` tasks merge those, and one task
+    merges buckets x n rows. The scan keeps all its splits."""
+    place = F.row_number().over(W.partitionBy("_bucket").orderBy(*order))
+    return (df.withColumn("_bucket", F.pmod(F.spark_partition_id(), F.lit(buckets)))
+            .withColumn("_place", place).where(F.col("_place") <= n)
+            .drop("_bucket", "_place").orderBy(*order).limit(n))
 
 
 def high_risk_records(fact: DataFrame, n: int = K.HIGH_RISK_RECORDS_N) -> DataFrame:
     """Rows meeting any risk condition (three-valued OR), top-n by supplier
-    risk then delay, every output column as a further tie-breaker. Planned as
-    ``TakeOrderedAndProject``: per-partition top-n, then one bounded merge."""
+    risk then delay, every output column as a further tie-breaker."""
     cond = ((F.col("Supplier_Risk_Score") >= K.HIGH_RISK_SUPPLIER_CUT)
             | (F.col("late_delivery_risk") == 1)
             | (F.col("Route_Risk_Level") == "High")
             | (F.col("Severity") == "High"))
     rest = [c for c in HIGH_RISK_COLUMNS if c not in ("Supplier_Risk_Score", "delivery_delay_days")]
-    return (bounded_fan_in(fact.where(cond).select(*HIGH_RISK_COLUMNS))
-                .orderBy(F.col("Supplier_Risk_Score").desc_nulls_last(),
-                         F.col("delivery_delay_days").desc_nulls_last(),
-                         *[F.col(c).asc_nulls_last() for c in rest])
-                .limit(n))
+    order = [F.col("Supplier_Risk_Score").desc_nulls_last(), F.col("delivery_delay_days").desc_nulls_last(),
+             *[F.col(c).asc_nulls_last() for c in rest]]
+    return two_level_top_k(fact.where(cond).select(*HIGH_RISK_COLUMNS), order, n)

@@ -1,7 +1,9 @@
 """Query catalog: one callable ``(spark, sf_dir) -> DataFrame`` per operator key
 of SURVEY §2, plus the shared intermediates they read.
 
-Each query is a lazy plan; nothing is collected. Unrounded doubles are rounded
+Calling a query may run jobs: the intermediates that it reads are written the
+first time (``context.py``), and iterative operators run their rounds. The frame
+it returns is lazy, and no result is collected. Unrounded doubles are rounded
 to 6 decimals here (not in the operators) so the result can be compared with
 the DuckDB oracle bit for bit.
 """
@@ -14,10 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, features, graph, network, reports, resilience
-from ..session import table_path
 from ..sources.fact import FACT_SCHEMA, load_fact
-from ..sources.tables import read_raw_csv, write_csv
-from .context import shared_table
+from ..sources.tables import read_raw_csv, read_table, register_fact, write_csv, write_result
+from .context import known, shared_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,9 +47,12 @@ def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned fact with all row-level features, written once per session."""
+    """Cleaned fact with all row-level features, written once per session. It
+    reads the raw copy only if a raw query has written that already."""
+    raw = known(spark, sf_dir, "raw_fact")
+    raw = load_fact(spark, sf_dir) if raw is None else raw
     return shared_table(spark, sf_dir, "processed_fact",
-                        lambda: features.add_risk_features(clean.clean_fact(raw_fact(spark, sf_dir))))
+                        lambda: features.add_risk_features(clean.clean_fact(raw)))
 
 
 # --------------------------------------------------------------------------
@@ -58,9 +62,26 @@ def processed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     """A1 + A3: the raw fact written as CSV to the shared checkpoint folder and
-    read back with the declared contract schema (PERMISSIVE)."""
-    path = write_csv(raw_fact(spark, sf_dir), table_path(spark, "raw_csv"))
-    return read_raw_csv(spark, path, FACT_SCHEMA)
+    read back with the declared contract schema (PERMISSIVE). The copy is
+    written once per session."""
+    return shared_table(spark, sf_dir, "raw_csv", lambda: raw_fact(spark, sf_dir),
+                        lambda df, scratch: read_raw_csv(spark, write_csv(df, scratch.path("raw_csv")), FACT_SCHEMA))
+
+
+@query("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf_dir):
+    """A2 + A3: a result written to its Parquet directory and read back."""
+    return shared_table(spark, sf_dir, "parquet_roundtrip", lambda: reports.region_analysis(processed_fact(spark, sf_dir)),
+                        lambda df, scratch: read_table(spark, write_result(df, scratch.base, "region_analysis")))
+
+
+@query("sql_view_report")
+def q_sql_view_report(spark, sf_dir):
+    """A4: a report as SQL text over the registered view of the fact."""
+    register_fact(processed_fact(spark, sf_dir), "supply_chain")
+    return spark.sql("""
+        SELECT Supplier_ID, COUNT(*) AS total_records, MAX(Supplier_Risk_Score) AS max_supplier_risk
+        FROM supply_chain WHERE Supplier_ID IS NOT NULL GROUP BY Supplier_ID""")
 
 
 # --------------------------------------------------------------------------
@@ -176,6 +197,11 @@ def edges_table(spark, sf_dir):
                         lambda: network.graph_edges(processed_fact(spark, sf_dir)))
 
 
+def route_edges_table(spark, sf_dir):
+    return shared_table(spark, sf_dir, "route_edges",
+                        lambda: network.route_edges(processed_fact(spark, sf_dir)))
+
+
 @query("graph_nodes")
 def q_graph_nodes(spark, sf_dir):
     return network.graph_nodes(processed_fact(spark, sf_dir))
@@ -203,7 +229,7 @@ def q_route_edges(spark, sf_dir):
 
 @query("route_network_summary")
 def q_route_network_summary(spark, sf_dir):
-    return network.route_network_summary(network.route_edges(processed_fact(spark, sf_dir)))
+    return network.route_network_summary(route_edges_table(spark, sf_dir))
 
 
 @query("top_connections")
@@ -214,7 +240,7 @@ def q_top_connections(spark, sf_dir):
 @query("graph_summary")
 def q_graph_summary(spark, sf_dir):
     nodes, edges = nodes_table(spark, sf_dir), edges_table(spark, sf_dir)
-    routes = network.route_edges(processed_fact(spark, sf_dir))
+    routes = route_edges_table(spark, sf_dir)
     stats = graph.graph_stats(nodes, edges)
     return (nodes.agg(F.count(F.lit(1)).alias("total_nodes"))
             .join(F.broadcast(edges.agg(F.count(F.lit(1)).alias("total_edges"))), how="inner")
@@ -237,7 +263,8 @@ def degree_table(spark, sf_dir):
 
 
 def criticality_table(spark, sf_dir):
-    return graph.node_criticality(pagerank_table(spark, sf_dir), degree_table(spark, sf_dir))
+    return shared_table(spark, sf_dir, "criticality",
+                        lambda: graph.node_criticality(pagerank_table(spark, sf_dir), degree_table(spark, sf_dir)))
 
 
 def _pr6(df: DataFrame) -> DataFrame:
@@ -309,6 +336,11 @@ def q_edge_criticality(spark, sf_dir):
     return graph.edge_criticality(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
 
 
+@query("top_critical_edges")
+def q_top_critical_edges(spark, sf_dir):
+    return graph.top_critical_edges(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+
+
 IMPACT_DOUBLES = ("affected_percentage", "resilience_score")
 
 
@@ -358,7 +390,8 @@ def _overall(spark, sf_dir):
 
 
 def _network(spark, sf_dir):
-    return resilience.network_risk(degree_table(spark, sf_dir), pagerank_table(spark, sf_dir))
+    return shared_table(spark, sf_dir, "network_risk",
+                        lambda: resilience.network_risk(degree_table(spark, sf_dir), pagerank_table(spark, sf_dir)))
 
 
 def _resilience(spark, sf_dir):

@@ -6,52 +6,52 @@ several queries read (the processed fact, the graph tables, PageRank) is
 computed once, written as Parquet under the session's shared checkpoint folder
 and read back. That cuts lineage (a lost executor re-reads files instead of
 recomputing the joins), and keeps predicate pushdown and column pruning for
-every downstream query — unlike ``persist`` or RDD checkpoints.
+every downstream query, unlike ``persist`` or RDD checkpoints.
+
+The memo is keyed by application and input folder: files that are added to a
+folder later are not seen until ``forget`` drops its tables.
 """
 
 from __future__ import annotations
 
-import os
 import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import table_path
+from ..scratch import Scratch
 
 _LOCK = threading.RLock()
-_TABLES: dict[tuple, DataFrame] = {}
+_TABLES: dict[tuple, tuple[DataFrame, Scratch]] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the checkpoint folder and read it back."""
-    path = table_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
 
-
-def shared_table(spark: SparkSession, sf_dir: str, name: str,
-                 build: Callable[[], DataFrame], persist: bool = True) -> DataFrame:
-    """Memoised intermediate ``name`` for (session, input folder)."""
+def shared_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
+                 write: Callable[[DataFrame, Scratch], DataFrame] | None = None) -> DataFrame:
+    """Memoised intermediate ``name`` for (session, input folder), written once;
+    ``write`` replaces the Parquet round trip by another one."""
     key = _key(spark, sf_dir, name)
     with _LOCK:
-        hit = _TABLES.get(key)
-        if hit is not None:
-            return hit
-        df = build()
-        if persist:
-            df = materialize(spark, df, name)
-        _TABLES[key] = df
-        return df
-
-
-def forget(spark: SparkSession | None = None, keep: tuple[str, ...] = ()) -> None:
-    """Drop memoised intermediates (all, or all but ``keep``) — used by bench."""
+        if key not in _TABLES:
+            scratch = Scratch(spark, name)
+            df = build()
+            _TABLES[key] = (write(df, scratch) if write else scratch.table(df, name)), scratch
+        return _TABLES[key][0]
+
+
+def known(spark: SparkSession, sf_dir: str, name: str) -> DataFrame | None:
+    """The intermediate if it has been written already."""
+    return _TABLES.get(_key(spark, sf_dir, name), (None, None))[0]
+
+
+def forget(spark: SparkSession, sf_dir: str | None = None, keep: tuple[str, ...] = ()) -> None:
+    """Delete this session's intermediates (of one input folder, or of all)."""
     with _LOCK:
         for key in list(_TABLES):
-            if (spark is None or key[0] == spark.sparkContext.applicationId) and key[2] not in keep:
-                del _TABLES[key]
+            app, folder, name = key
+            if (app == spark.sparkContext.applicationId and name not in keep
+                    and sf_dir in (None, folder)):
+                _TABLES.pop(key)[1].clear()

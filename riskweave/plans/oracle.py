@@ -16,8 +16,6 @@ each rule. Conventions that make the two engines agree bit for bit:
 
 from __future__ import annotations
 
-import re
-
 
 def R(expr: str, digits: int) -> str:
     return (f"CAST(ROUND(CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), "
@@ -336,14 +334,6 @@ ORDER BY Supplier_Risk_Score DESC NULLS LAST, delivery_delay_days DESC NULLS LAS
 LIMIT 1000""", "supply_chain"))
 
 
-def sql_for(key: str) -> str:
-    return ORACLE[key]
-
-
-def normalise(sql: str) -> str:
-    return re.sub(r"\s+", " ", sql).strip()
-
-
 # --------------------------------------------------------------------------
 # B / C: profiling, cleaning, row-level features
 # --------------------------------------------------------------------------
@@ -511,6 +501,13 @@ _CRIT_COLS = (f"node_type, node_id, {R6('pagerank')} AS pagerank, total_degree,
 register("valid_edges", q("SELECT * FROM valid_edges", "valid_edges"))
 register("edge_criticality", q("""
 SELECT src, dst, relationship, transaction_count, avg_delivery_delay FROM valid_edges""", "valid_edges"))
+register("parquet_roundtrip", ORACLE["region_analysis"])
+register("sql_view_report", q("""
+SELECT Supplier_ID, COUNT(*) AS total_records, MAX(Supplier_Risk_Score) AS max_supplier_risk
+FROM supply_chain WHERE Supplier_ID IS NOT NULL GROUP BY Supplier_ID""", "supply_chain"))
+register("top_critical_edges", q("""
+SELECT src, dst, relationship, transaction_count, avg_delivery_delay FROM valid_edges
+ORDER BY transaction_count DESC NULLS LAST, src, dst, relationship LIMIT 20""", "valid_edges"))
 register("in_degree", q("""
 SELECT n.node_type, n.node_id, c.in_degree
 FROM (SELECT dst AS node_id, COUNT(*) AS in_degree FROM valid_edges GROUP BY dst) c

@@ -6,8 +6,6 @@ Operators never create sessions; these helpers are for entry points only.
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,27 +40,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
-    ``spark.checkpoint.dir`` is read from the session. Only a local-mode
-    session without one (tests, bench) gets a fresh folder of its own; a
-    cluster session without a shared folder is refused rather than given a
-    machine-local path.
+    ``spark.checkpoint.dir`` is read from the session; without one it is a
+    folder under ``spark.sql.warehouse.dir``. On a cluster that folder must not
+    be on a local file system: executors would not see each other's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a folder shared by "
-            "all executors (e.g. on HDFS/object storage)")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="riskweave-ckpt-", dir="/tmp"))
+    base = sc.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        local = base.startswith(("file:", "/"))
+        if local and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share; "
+                               f"{base} is on a local file system")
+    sc.setCheckpointDir(base)
     return sc.getCheckpointDir()
-
-
-def table_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location for an intermediate table in the checkpoint dir."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
-                 "lineitem", "events")
-
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A2: Parquet scan; filters and projections are pushed into it by Catalyst."""

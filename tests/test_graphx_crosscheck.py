@@ -57,3 +57,13 @@ def test_graphx_tiny(spark):
 
 def test_graphx_sf001_graph(spark):
     _compare(spark, catalog.nodes_table(spark, SF01), catalog.edges_table(spark, SF01))
+
+
+def test_graphx_uneven_cycles_self_loop_parallel_edges(spark):
+    import random
+    from test_graph import make
+    r = random.Random(2)
+    ids = [f"n{i:02d}" for i in range(30)]
+    edges = [(ids[i], ids[(i + 1) % 30]) for i in range(30)] + [(r.choice(ids), r.choice(ids)) for _ in range(25)]
+    edges += [("n03", "n03"), ("n05", "n06"), ("n05", "n06")]
+    _compare(spark, *make(spark, ids, edges))

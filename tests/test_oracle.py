@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF01
+from riskweave.plans import catalog
 from riskweave.plans.verify import compare, duckdb_connection
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(KEYS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
