@@ -183,6 +183,18 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def sampled(docs: DataFrame, condition: Column, n: int, *columns: str) -> DataFrame:
+    """At most n rows that fulfil the condition, those whose ids have the
+    smallest hashes. The ids are chosen first (n of them are broadcast), so no
+    task gathers texts that are not in the sample."""
+    place = [F.xxhash64("doc_id"), "doc_id"]
+    name = spare_name(docs, "_sampled")
+    ids = docs.where(condition).select("doc_id").where("doc_id IS NOT NULL").orderBy(*place).limit(n)
+    return (docs.where(condition)
+            .join(F.broadcast(ids.withColumnRenamed("doc_id", name)), F.col("doc_id") == F.col(name), "left_semi")
+            .select("doc_id", *columns).orderBy(*place, *columns).limit(n).select(*columns))
+
+
 def trained_in_task(sample: DataFrame, train) -> object:
     """``train(rows)`` run by one task on a bounded sample; only the model comes
     to the driver. ``rows`` are the sample's rows as dictionaries."""

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Tokens, chunks, column, fold, mix, normalised, trained_in_task
+from .common import Tokens, chunks, column, fold, mix, normalised, sampled, trained_in_task
 
 SAMPLE_DOCS = 2000
 SAMPLE_BYTES = 64 << 10
@@ -201,10 +201,9 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
 
 def fit(docs: DataFrame, training, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Train on a bounded sample of the rows that ``training`` selects."""
-    sample = (docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull()
-                         & (F.octet_length("text") <= sample_bytes))
-              .select("lang", "text", F.xxhash64("doc_id").alias("place"))
-              .orderBy("place", "lang", "text").limit(sample_docs).select("lang", "text"))
+    fits = (training & F.col("lang").isNotNull() & F.col("text").isNotNull()
+            & (F.octet_length("text") <= sample_bytes))
+    sample = sampled(docs, fits, sample_docs, "lang", "text")
     return trained_in_task(sample, lambda rows: train([r["text"] for r in rows], [r["lang"] for r in rows]))
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Tokens, chunks, column, fold, mix, normalised, trained_in_task
+from .common import Tokens, chunks, column, fold, mix, normalised, sampled, trained_in_task
 
 SAMPLE_DOCS = 2000
 SAMPLE_BYTES = 64 << 10
@@ -226,14 +226,16 @@ def fit(docs: DataFrame, labels: DataFrame, training, sample_docs: int = SAMPLE_
     toxic, count = named.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
     if not toxic:
         return _nothing(0.0)
-    order = [F.xxhash64(F.col("doc_id"), F.lit(1)), "doc_id"]
+    order = [F.xxhash64("doc_id"), "doc_id", "text"]
     fits = F.col("text").isNotNull() & (F.octet_length("text") <= sample_bytes)
-    # ids first: the sample's texts are the only ones that are fetched
-    chosen = (named.where("toxic = 1").select("doc_id").orderBy(*order).limit(4 * sample_docs))
-    positive = (docs.select("doc_id", "text").where(fits).join(chosen, "doc_id", "left_semi")
+    # ids first: the sample's texts are the only ones that are gathered
+    chosen = named.where("toxic = 1").select(F.col("doc_id").alias("_toxic")).orderBy(
+        F.xxhash64("_toxic"), "_toxic").limit(4 * sample_docs)
+    positive = (docs.select("doc_id", "text").where(fits)
+                .join(F.broadcast(chosen), F.col("doc_id") == F.col("_toxic"), "left_semi")
                 .orderBy(*order).limit(sample_docs).select("text", F.lit(True).alias("positive")))
-    unlabelled = (docs.where(training & fits).select("doc_id", "text")
-                  .orderBy(*order).limit(sample_docs).select("text", F.lit(False).alias("positive")))
+    unlabelled = (sampled(docs.select("doc_id", "text"), training & fits, sample_docs, "text")
+                  .withColumn("positive", F.lit(False)))
     prior = min(max(toxic / count, 0.01), 0.9)
 
     def run(rows):
