@@ -379,11 +379,14 @@ def _links(spark: SparkSession, scratch: Scratch, members: DataFrame, docs: Data
         .where((F.col("before") < F.col("few")) & (F.col("texts") > 1))
         .select("hash", "before", F.col("rep").alias("a"), F.col("component").alias("ca"),
                 F.col("shingles").alias("na")), "probes")
-    labels = left.groupBy("rep").agg(F.first("component").alias("cb"), F.first("shingles").alias("nb"))
+    # a pair of two outside texts is found from either of them: one is enough
+    labels = (left.groupBy("rep").agg(F.first("component").alias("cb"), F.first("shingles").alias("nb"))
+              .join(outside.select("rep", F.lit(True).alias("probed")), "rep", "left"))
     held = scratch.table(weighed.where("texts > 1").select("hash", "rep").join(labels, "rep")
                          .withColumnRenamed("rep", "b"), "held")
     pairs = held.join(probes, "hash").where(
         (F.col("ca") != F.col("cb")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
+        & (F.col("probed").isNull() | (F.col("a") < F.col("b")))
         & (F.col("before") <= F.col("na") - F.ceil(share * (F.col("na") + F.col("nb")) - 1e-6))).select("a", "b")
     search.compare(pairs)
     search.labelled(members)
