@@ -317,11 +317,9 @@ def _open(members: DataFrame) -> DataFrame:
     return members.join(part, ["key", "component"]).join(total, "key")
 
 
-def _links(spark: SparkSession, scratch: Scratch, members: DataFrame, docs: DataFrame, threshold: float) -> _Search:
-    """All links that the classes need; members is (key, rep, pivot, shingles)."""
-    ids = members.select(F.col("rep")).distinct()
-    texts = scratch.table(docs.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"), "left_semi")
-                          .select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"]), "texts")
+def _links(scratch: Scratch, members: DataFrame, texts: DataFrame, threshold: float) -> _Search:
+    """All links that the classes need; members is (key, rep, pivot, shingles,
+    least_shingles), texts (rep, text)."""
     search = _Search(scratch, texts, threshold)
     search.compare(members.where("rep <> pivot AND shingles >= least_shingles")
                    .select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
@@ -367,9 +365,14 @@ def _links(spark: SparkSession, scratch: Scratch, members: DataFrame, docs: Data
     share = threshold / (1 + threshold)
     biggest = left.groupBy("key").agg(F.max(F.struct("in_component", "component")).alias("top"),
                                       F.min("shingles").alias("smallest"))
-    outside = (left.join(biggest, "key").where(F.col("component") != F.col("top.component"))
+    # The prefix is sized for the smallest text of all open buckets of a text,
+    # not only of those it lies outside in: a pair of two outside texts is
+    # searched from one of them, which may lie inside in the bucket they share.
+    outside = (left.join(biggest, "key")
                .groupBy("rep").agg(F.first("shingles").alias("shingles"), F.first("component").alias("component"),
-                                   F.min("smallest").alias("smallest")))
+                                   F.min("smallest").alias("smallest"),
+                                   F.max(F.col("component") != F.col("top.component")).alias("lies_outside"))
+               .where("lies_outside").drop("lies_outside"))
     needed = F.ceil(share * (F.col("shingles") + F.greatest(
         F.col("smallest").cast("double"), threshold * F.col("shingles"))) - 1e-6)
     outside = scratch.table(outside.withColumn("few", F.col("shingles") - needed + 1), "outside")
@@ -414,7 +417,10 @@ def classes(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY)
     scratch.drop("keyed")
     roots = None
     if not members.isEmpty():
-        roots = _links(spark, scratch, members, docs, threshold).roots
+        ids = members.select(F.col("rep")).distinct()
+        texts = scratch.table(docs.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"), "left_semi")
+                              .select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"]), "texts")
+        roots = _links(scratch, members, texts, threshold).roots
     of_rep = copies
     if roots is not None:
         of_rep = copies.join(roots, "rep", "left")

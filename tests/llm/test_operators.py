@@ -216,6 +216,29 @@ def test_near_dedup_group_against_all_pairs(spark):
     assert all(find(i) == got[i] for i in got)
 
 
+def test_near_dedup_pair_of_two_outside_texts_in_overlapping_buckets(spark):
+    """Text 4 lies outside in bucket 1, whose texts are all long, and inside in
+    bucket 2, where the shorter text 5 (a part of it) lies outside."""
+    r = random.Random(11)
+
+    def fresh(n):
+        return [f"w{r.getrandbits(48):x}" for _ in range(n)]
+    a, head, tail = fresh(1004), fresh(100), fresh(910)
+    p, x = head + a[100:], a[:104] + tail
+    texts = {1: p, 2: p[:-2], 3: p[:-4], 4: a, 5: a[:854], -4: x, -3: x[:-1], -2: x[:-2], -1: x[:-3]}
+    buckets = {1: [-4, -3, -2, -1, 4], 2: [1, 2, 3, 4, 5]}
+    members = [(k, i, reps[0], len(texts[i]) - 4, (len(texts[reps[0]]) - 4) * 0.8) for k, reps in buckets.items() for i in reps]
+    sequences = {i: near_dedup.shingle_sequence(" ".join(w)) for i, w in texts.items()}
+    similar = {(i, j) for i in texts for j in texts if i < j and near_dedup.similarity(sequences[i], sequences[j]) >= 0.8}
+    assert [c for c in similar if 5 in c] == [(4, 5)]
+    search = near_dedup._links(
+        Scratch(spark, "test-links"),
+        spark.createDataFrame(members, "key long, rep long, pivot long, shingles int, least_shingles double"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "rep long, text string"), 0.8)
+    assert {x.rep: x.component for x in search.roots.collect()} == \
+        {-4: -4, -3: -4, -2: -4, -1: -4, 1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
+
+
 @pytest.mark.parametrize("task_links", [0, 1000])
 def test_components_in_one_task_or_in_rounds(spark, task_links):
     links = spark.createDataFrame([(5, 3), (3, 9), (7, 8), (8, 7)], "a long, b long")
