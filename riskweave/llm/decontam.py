@@ -19,13 +19,14 @@ documents are not shuffled.
 Edge cases: null and empty texts and items have no windows; an item under five
 words is one shingle; a document shorter than an item is compared whole; an
 empty table gives an empty result; documents or items that repeat are each
-compared; rows with a null doc_id are reported with a null id. Extra columns are
-not read.
+compared; rows with a null doc_id are reported with a null id; rows that hold an item are
+dropped one by one, never by their id. Extra columns are not read.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Tokens, chunks, column, constants, mix, normalised, spare_name, window_hashes
+from .common import Scratch, Tokens, chunks, column, constants, mix, normalised, window_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -224,27 +225,49 @@ def _scan(index: ItemIndex):
     return run
 
 
-def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
-                 threshold: float = SIMILARITY) -> DataFrame:
-    """One row per document and benchmark item that it holds: doc_id, item_id,
-    similarity and place (in words that are more than punctuation) of the best
-    window."""
+def _keep(index: ItemIndex):
+    def run(batches):
+        for b in chunks(batches, max_bytes=2 << 20):
+            keep = np.ones(b.num_rows, dtype=bool)
+            keep[[f[0] for f in matches(column(b, "text"), index)]] = False
+            yield b.filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _indexes(benchmark: DataFrame, threshold: float) -> Iterator[ItemIndex]:
+    """The benchmark's items, a block of bounded size for each pass."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")
     n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     passes = max(1, -(-n // PASS_ITEMS), -(-int(size) // PASS_BYTES))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    result = spark.createDataFrame([], _RESULT)
     for k in range(passes):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
         index = ItemIndex([(r.item_id, r.text) for r in block.collect()], threshold)
         if index.ids:
-            found = docs.mapInArrow(_scan(index), _RESULT)
-            result = found if k == 0 else result.unionByName(found)
-    return result
+            yield index
+
+
+def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
+                 threshold: float = SIMILARITY) -> DataFrame:
+    """One row per document and benchmark item that it holds: doc_id, item_id,
+    similarity and place (in words that are more than punctuation) of the best
+    window."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    result = None
+    for index in _indexes(benchmark, threshold):
+        found = docs.mapInArrow(_scan(index), _RESULT)
+        result = found if result is None else result.unionByName(found)
+    return spark.createDataFrame([], _RESULT) if result is None else result
 
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no benchmark item."""
-    name = spare_name(docs, "_held")
-    held = contaminated(spark, docs, benchmark).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(held.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    """The rows of ``docs``, all columns, that hold no benchmark item. Each row
+    is decided by its own text, so neither null ids nor repeated ones matter."""
+    scratch, last = Scratch(spark, "decontam"), None
+    for k, index in enumerate(_indexes(benchmark, SIMILARITY)):
+        if k:  # a task holds the index of one pass at a time
+            docs = scratch.table(docs, f"pass-{k}")
+            if last:
+                scratch.drop(last)
+            last = f"pass-{k}"
+        docs = docs.mapInArrow(_keep(index), docs.schema)
+    return docs

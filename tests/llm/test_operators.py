@@ -359,6 +359,18 @@ def test_decontamination_against_all_windows(spark):
     assert decontam.contaminated(spark, table(spark), benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_decides_row_by_row(spark, monkeypatch):
+    """Neither a null id nor a repeated one takes clean rows along."""
+    monkeypatch.setattr(decontam, "PASS_ITEMS", 1)
+    items = [(1, prose(25, 70)), (2, prose(40, 71)), (3, prose(30, 72))]
+    rows = [(None, prose(50, 1)), (None, items[0][1]), (4, prose(50, 2)), (4, prose(9, 3) + " " + items[1][1]),
+            (4, items[2][1] + " " + prose(9, 4)), (None, None), (None, items[2][1])]
+    docs = table(spark, rows)
+    got = decontam.clean(spark, docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert got.schema == docs.schema
+    assert Counter((x.doc_id, x.text) for x in got.collect()) == Counter(rows[i] for i in (0, 2, 5))
+
+
 # -- WARC -----------------------------------------------------------------
 
 PAGES = [(3, "http://a/é x", "<p>" + "é" * 100), (1, None, "<p>" + "é" * 100), (2, "u", ""), (4, "u", None),
