@@ -24,8 +24,9 @@ are connected already need no test:
 Edge cases: texts are compared whole; null and empty texts are copies of one
 another; texts of up to five words are similar only if equal; rows with a null
 doc_id are returned unclassed (class_id null, kept); rows that repeat a doc_id
-get one class each; an empty table gives an empty result. Extra columns are not
-read.
+are classed by their own texts, so classes that share their smallest doc_id have
+equal class_ids but sizes and kept rows of their own; of repeated rows one
+stays; an empty table gives an empty result. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -116,7 +117,12 @@ def band_keys(t: Tokens, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return docs, keys
 
 
-_SKETCH = "doc_id long, digest binary, shingles int, bands array<long>"
+def _text_key() -> Column:
+    """With the doc_id this names a row up to rows that repeat both."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
+_SKETCH = "doc_id long, text_key binary, digest binary, shingles int, bands array<long>"
 
 
 def _sketch(batches):
@@ -129,9 +135,9 @@ def _sketch(batches):
             bands[d] = k
         digests = [hashlib.blake2b(b" ".join(x.as_buffer().to_pybytes().split()), digest_size=16).digest() for x in texts]
         yield pa.RecordBatch.from_arrays(
-            [column(batch, "doc_id").cast(pa.int64()), pa.array(digests, pa.binary()),
+            [column(batch, "doc_id").cast(pa.int64()), column(batch, "text_key"), pa.array(digests, pa.binary()),
              pa.array(np.maximum(t.counts() - SHINGLE + 1, 0), pa.int32()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["doc_id", "digest", "shingles", "bands"])
+            names=["doc_id", "text_key", "digest", "shingles", "bands"])
 
 
 # --------------------------------------------------------------------------
@@ -396,18 +402,17 @@ def _links(scratch: Scratch, members: DataFrame, texts: DataFrame, threshold: fl
     return search
 
 
-def classes(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of the class),
-    class_size, kept (the row that stays for its class), rep_id (smallest
-    doc_id with the same words)."""
+def _classed(spark: SparkSession, docs: DataFrame, threshold: float) -> DataFrame:
+    """The columns of ``classes`` and the text_key of each row. A row is known
+    by its number in the written sketch table, for doc_ids may repeat."""
     scratch = Scratch(spark, "near-dedup")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = scratch.table(docs.mapInArrow(_sketch, _SKETCH), "sketches")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key"))
+    made = scratch.table(docs.mapInArrow(_sketch, _SKETCH).withColumn("row", F.monotonically_increasing_id()), "sketches")
     known = made.where("doc_id IS NOT NULL")
-    copies = scratch.table(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "copies")
-    reps = known.join(copies, (known.digest == copies.digest) & (known.doc_id == copies.rep), "left_semi")
+    copies = scratch.table(known.groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc_id").alias("rep_id")), "copies")
+    reps = known.join(copies, known.row == copies.rep, "left_semi")
     keyed = scratch.table(reps.where("bands IS NOT NULL")
-                          .select(F.col("doc_id").alias("rep"), "shingles", F.explode("bands").alias("key")), "keyed")
+                          .select(F.col("row").alias("rep"), "shingles", F.explode("bands").alias("key")), "keyed")
     buckets = scratch.table(keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"),
                                                      F.min(F.struct("rep", "shingles")).alias("first"))
                             .where("pivot < top")
@@ -417,29 +422,51 @@ def classes(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY)
     scratch.drop("keyed")
     roots = None
     if not members.isEmpty():
-        ids = members.select(F.col("rep")).distinct()
-        texts = scratch.table(docs.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"), "left_semi")
-                              .select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"]), "texts")
+        ids = (known.select("doc_id", "text_key", F.col("row").alias("rep"))
+               .join(members.select("rep").distinct(), "rep", "left_semi"))
+        texts = scratch.table(docs.join(ids.hint("shuffle_hash"), ["doc_id", "text_key"])
+                              .select("rep", "text").dropDuplicates(["rep"]), "texts")
         roots = _links(scratch, members, texts, threshold).roots
     of_rep = copies
     if roots is not None:
         of_rep = copies.join(roots, "rep", "left")
     else:
         of_rep = copies.withColumn("component", F.lit(None).cast("long"))
-    of_rep = scratch.table(of_rep.select("digest", "rep", F.coalesce("component", "rep").alias("class_id")), "classes")
-    classed = scratch.table(known.select("doc_id", "digest").join(of_rep, "digest")
-                            .select("doc_id", "class_id", F.col("rep").alias("rep_id")), "classed")
-    sizes = scratch.table(classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")), "sizes")
-    out = (classed.join(sizes, "class_id")
-           .select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"), "rep_id"))
+    of_rep = scratch.table(of_rep.select("digest", "rep_id", F.coalesce("component", "rep").alias("component")), "classes")
+    classed = scratch.table(known.select("doc_id", "text_key", "row", "digest").join(of_rep, "digest").drop("digest"),
+                            "classed")
+    sizes = scratch.table(classed.groupBy("component").agg(
+        F.count(F.lit(1)).alias("class_size"), F.min(F.struct("doc_id", "text_key", "row")).alias("first")), "sizes")
+    out = (classed.join(sizes, "component")
+           .select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size",
+                   (F.col("row") == F.col("first.row")).alias("kept"), "rep_id", "text_key"))
     unknown = made.where("doc_id IS NULL").select(
         "doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(1).cast("long").alias("class_size"),
-        F.lit(True).alias("kept"), F.lit(None).cast("long").alias("rep_id"))
+        F.lit(True).alias("kept"), F.lit(None).cast("long").alias("rep_id"), "text_key")
     return out.unionByName(unknown)
 
 
+def classes(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """One row per document: doc_id, class_id (smallest doc_id of the class),
+    class_size, kept (the row that stays for its class), rep_id (smallest
+    doc_id with the same words)."""
+    return _classed(spark, docs, threshold).drop("text_key")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs``, all columns, whose document stays."""
-    name = spare_name(docs, "_gone")
-    gone = (classes(spark, docs, threshold).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct())
-    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col(name), "left_anti")
+    """The rows of ``docs``, all columns, that stay for their class. A decision
+    names (doc_id, text_key); of rows that repeat both, one stays."""
+    scratch = Scratch(spark, "near-dedup-keep")
+    doc, key = spare_name(docs, "_gone"), spare_name(docs, "_gone_key")
+    listed = scratch.table(
+        _classed(spark, docs, threshold).where("doc_id IS NOT NULL")
+        .groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key))
+        .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("NOT kept OR rows > 1"), "listed")
+    same = (F.col("doc_id") == F.col(doc)) & (_text_key() == F.col(key))
+    rest = docs.join(listed.select(doc, key).hint("shuffle_hash"), same, "left_anti")
+    several = listed.where("kept").select(doc, key)
+    if several.isEmpty():
+        return rest
+    repeated = (docs.join(several.hint("shuffle_hash"), same, "left_semi").withColumn(key, _text_key())
+                .dropDuplicates(["doc_id", key]).drop(key))
+    return rest.unionByName(repeated)

@@ -239,6 +239,19 @@ def test_near_dedup_pair_of_two_outside_texts_in_overlapping_buckets(spark):
         {-4: -4, -3: -4, -2: -4, -1: -4, 1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """A row is classed and dropped by its own text, whatever its id."""
+    a, b, c, d = prose(120, 20), prose(120, 21), prose(120, 22), prose(120, 23)
+    near = {t: " ".join(t.split()[:-1]) for t in (a, b, c, d)}
+    rows = [(5, a), (5, b), (5, c), (3, a), (7, near[b]), (8, near[c]), (5, d), (5, d), (5, d.upper())]
+    got = near_dedup.classes(spark, table(spark, rows)).collect()
+    assert Counter((x.doc_id, x.class_id, x.class_size, x.kept) for x in got) == Counter(
+        [(5, 3, 2, False), (3, 3, 2, True), (5, 5, 2, True), (7, 5, 2, False), (5, 5, 2, True), (8, 5, 2, False),
+         (5, 5, 3, True), (5, 5, 3, False), (5, 5, 3, False)])
+    kept = [(x.doc_id, x.text.lower()) for x in near_dedup.drop_near_copies(spark, table(spark, rows)).collect()]
+    assert sorted(kept) == sorted([(3, a), (5, b), (5, c), (5, d)])
+
+
 @pytest.mark.parametrize("task_links", [0, 1000])
 def test_components_in_one_task_or_in_rounds(spark, task_links):
     links = spark.createDataFrame([(5, 3), (3, 9), (7, 8), (8, 7)], "a long, b long")
