@@ -45,7 +45,7 @@ RATE = 0.5
 PART = 20000
 #: Words of an inference block.
 BLOCK = 128
-#: Mean label probability under which a document is rejected by the filter.
+#: Mean of the words' highest label probabilities under which the filter rejects a document.
 MIN_SCORE = 0.5
 
 UNKNOWN = "und"
@@ -212,7 +212,14 @@ def fit(docs: DataFrame, training, sample_docs: int = SAMPLE_DOCS, sample_bytes:
 # --------------------------------------------------------------------------
 
 def document_shares(psi: np.ndarray, ptr: np.ndarray, move: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Weighted sums of the words' label probabilities per document, by forward-
+    """Weighted sums of the words' label probabilities per document."""
+    return _marginal_sums(psi, ptr, move, weight)[0]
+
+
+def _marginal_sums(psi: np.ndarray, ptr: np.ndarray, move: np.ndarray,
+                   weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weighted sums of the words' label probabilities per document, and each
+    word's most probable label with its probability, by forward-
     backward over whole documents. Documents are cut into blocks; a first pass
     multiplies each block's transfer matrix, a second hands messages from block
     to block, a third computes the probabilities inside all blocks at once."""
@@ -223,8 +230,9 @@ def document_shares(psi: np.ndarray, ptr: np.ndarray, move: np.ndarray, weight:
     first_block = np.cumsum(n_blocks) - n_blocks
     total = int(n_blocks.sum())
     sums = np.zeros((n_docs, k))
+    labels, sure = np.zeros(len(psi), dtype=int), np.zeros(len(psi))
     if not total:
-        return sums
+        return sums, labels, sure
     doc = np.repeat(np.arange(n_docs), n_blocks)
     nth = np.arange(total) - first_block[doc]
     start = ptr[doc] + nth * BLOCK
@@ -273,21 +281,36 @@ def document_shares(psi: np.ndarray, ptr: np.ndarray, move: np.ndarray, weight:
     for s in range(steps - 1, -1, -1):
         n = active[s]
         p = alphas[s] * b[:n]
-        found[:n] += p / p.sum(axis=1, keepdims=True) * weight[start[:n] + s][:, None]
+        p /= p.sum(axis=1, keepdims=True)
+        found[:n] += p * weight[start[:n] + s][:, None]
+        labels[start[:n] + s], sure[start[:n] + s] = p.argmax(axis=1), p.max(axis=1)
         here = (psi[start[:n] + s] * b[:n]) @ move.T
         b[:n] = here / here.sum(axis=1, keepdims=True)
     np.add.at(sums, doc, found)
-    return sums
+    return sums, labels, sure
 
 
-def predict(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, score and label shares of each text."""
+@dataclass
+class Prediction:
+    """Language, score, label shares and certainty (mean of the words' highest
+    label probabilities) of each text, and its words' labels."""
+    lang: list[str]
+    score: np.ndarray
+    shares: np.ndarray
+    certainty: np.ndarray
+    ptr: np.ndarray
+    labels: np.ndarray
+
+
+def predict(texts: pa.Array, model: Model) -> Prediction:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
     k = len(model.languages)
     if not k or not len(texts):
-        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros((len(texts), k))
+        none = np.zeros(len(texts))
+        return Prediction([UNKNOWN] * len(texts), none, np.zeros((len(texts), k)), none,
+                          np.zeros(len(texts) + 1, dtype=int), np.zeros(0, dtype=int))
     t = Tokens(normalised(texts))
     h = t.hashes()
     first, code = distinct_words(t, h)
@@ -297,13 +320,15 @@ def predict(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.nd
     digits = np.zeros(256, dtype=bool)
     digits[0x30:0x3A] = True
     wordy = np.add.reduceat((~digits)[t.buf] & t._word, t.starts) > 0 if t.n_words else np.zeros(0, bool)
-    sums = document_shares(psi[code], t.ptr, np.exp(model.transitions), wordy.astype(float))
+    sums, labels, sure = _marginal_sums(psi[code], t.ptr, np.exp(model.transitions), wordy.astype(float))
     total = sums.sum(axis=1, keepdims=True)
     shares = np.divide(sums, total, out=np.full_like(sums, 1.0 / k), where=total > 0)
     best = shares.argmax(axis=1)
     score = np.where(letters, shares[np.arange(len(best)), best], 0.0)
     lang = [model.languages[b] if x else UNKNOWN for b, x in zip(best.tolist(), letters.tolist())]
-    return lang, np.clip(score, 0.0, 1.0), np.where(letters[:, None], shares, 0.0)
+    certain = np.bincount(t.doc_of_word(), weights=sure * wordy, minlength=t.n_docs)
+    certainty = np.divide(certain, total[:, 0], out=np.zeros(t.n_docs), where=(total[:, 0] > 0) & letters)
+    return Prediction(lang, np.clip(score, 0.0, 1.0), np.where(letters[:, None], shares, 0.0), certainty, t.ptr, labels)
 
 
 _RESULT = "doc_id long, lang_pred string, score double, shares map<string,double>"
@@ -312,13 +337,14 @@ _RESULT = "doc_id long, lang_pred string, score double, shares map<string,double
 def _label(model: Model):
     def run(batches):
         for b in chunks(batches):
-            lang, score, shares = predict(column(b, "text"), model)
+            found = predict(column(b, "text"), model)
             k = len(model.languages)
             maps = pa.MapArray.from_arrays(
                 pa.array(np.arange(b.num_rows + 1) * k, pa.int32()),
-                pa.array(model.languages * b.num_rows, pa.string()), pa.array(shares.ravel(), pa.float64()))
+                pa.array(model.languages * b.num_rows, pa.string()), pa.array(found.shares.ravel(), pa.float64()))
             yield pa.RecordBatch.from_arrays(
-                [column(b, "doc_id").cast(pa.int64()), pa.array(lang, pa.string()), pa.array(score, pa.float64()), maps],
+                [column(b, "doc_id").cast(pa.int64()), pa.array(found.lang, pa.string()),
+                 pa.array(found.score, pa.float64()), maps],
                 names=["doc_id", "lang_pred", "score", "shares"])
     return run
 
@@ -329,11 +355,36 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_label(model), _RESULT)
 
 
+_WORDS = "doc_id long, spans array<struct<lang:string,word_start:long,word_end:long>>"
+
+
+def _label_words(model: Model):
+    def run(batches):
+        for b in chunks(batches):
+            found = predict(column(b, "text"), model)
+            spans = []
+            for x, lo, hi in zip(found.lang, found.ptr[:-1].tolist(), found.ptr[1:].tolist()):
+                labels = found.labels[lo:hi]
+                edges = [0, *(np.flatnonzero(labels[1:] != labels[:-1]) + 1).tolist(), hi - lo]
+                spans.append([] if x == UNKNOWN else
+                             [(model.languages[labels[a]], a, z) for a, z in zip(edges, edges[1:])])
+            kind = pa.list_(pa.struct([("lang", pa.string()), ("word_start", pa.int64()), ("word_end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id").cast(pa.int64()), pa.array(spans, kind)],
+                                             names=["doc_id", "spans"])
+    return run
+
+
+def label_words(docs: DataFrame, model: Model) -> DataFrame:
+    """One row per document: doc_id and the runs of words with one most probable
+    label, places in words that are more than punctuation (``und``: none)."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_label_words(model), _WORDS)
+
+
 def _accept(model: Model, at: int, min_score: float):
     def run(batches):
         for b in chunks(batches):
-            lang, score, _ = predict(b.column(at), model)
-            keep = [x != UNKNOWN and s >= min_score for x, s in zip(lang, score.tolist())]
+            found = predict(b.column(at), model)
+            keep = [x != UNKNOWN and c >= min_score for x, c in zip(found.lang, found.certainty.tolist())]
             yield b.filter(pa.array(keep, pa.bool_()))
     return run
 
@@ -344,6 +395,7 @@ def training_rows(doc_id):
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is identified."""
+    """The rows of ``docs``, all columns, whose words' languages are identified:
+    a text in several languages stays if its words are labelled with certainty."""
     model = fit(docs, training_rows(F.col("doc_id")))
     return docs.mapInArrow(_accept(model, docs.columns.index("text"), min_score), docs.schema)

@@ -298,6 +298,26 @@ def test_language_of_held_out_documents_and_edges(spark):
     assert 0.15 < shares["en"] < 0.35 and abs(sum(shares.values()) - 1) < 1e-6
 
 
+def test_language_filter_keeps_code_switched_documents(spark):
+    r = random.Random(12)
+    vowels = {"de": "oüu", "en": "aei", "fr": "éèê"}
+
+    def text(lang, n):
+        return " ".join("".join(r.choice("bdfg") + r.choice(vowels[lang]) for _ in range(3)) for _ in range(n))
+    rows = [(i, text(lang, 60), lang) for i in range(150) for lang in [("en", "de", "fr")[i % 3]]]
+    rows += [(500, text("en", 80) + " " + text("de", 70) + " " + text("fr", 50), None),
+             (501, text("en", 96) + " " + text("de", 94) + " " + text("fr", 10), None), (502, "12 34", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, langid.training_rows(F.col("doc_id")))
+    mixed = docs.where("doc_id >= 500")
+    assert all(x.score < 0.5 for x in langid.label(mixed, model).collect())
+    kept = langid.keep_identified(spark, docs)
+    assert {x.doc_id for x in kept.where("doc_id >= 500").collect()} == {500, 501} and kept.count() == 152
+    spans = {x.doc_id: [tuple(s) for s in x.spans] for x in langid.label_words(mixed, model).collect()}
+    assert spans == {500: [("en", 0, 80), ("de", 80, 150), ("fr", 150, 200)],
+                     501: [("en", 0, 96), ("de", 96, 190), ("fr", 190, 200)], 502: []}
+
+
 def test_blocks_pass_exact_messages():
     import numpy as np
     r = np.random.default_rng(1)
