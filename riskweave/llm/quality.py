@@ -12,8 +12,7 @@ via Importance Resampling", 2023). The noise is a hash of the id, so reruns
 agree. By default k is the labelled share of good documents times the corpus.
 
 Raw counts cover all documents; they are added up per task and then by bucket.
-The target model uses at most ``TARGET_DOCS`` labelled documents, whose ids are
-the only broadcast. The cut at rank k is found from histograms of fixed size
+The target model counts every document labelled as good. The cut at rank k is found from histograms of fixed size
 that narrow down on it, so nothing is sorted as a whole.
 
 Edge cases: null and empty texts have log weight 0; without labelled good
@@ -34,7 +33,6 @@ from pyspark.sql import functions as F
 from .common import Scratch, Tokens, chunks, column, constants, mix
 
 BUCKETS = 1 << 14
-TARGET_DOCS = 20000
 #: Added to each bucket's count.
 SMOOTHING = 1.0
 #: Cells of a histogram, and rows of the boundary cell that are ranked one by one.
@@ -65,11 +63,12 @@ def _count(batches):
 
 
 def log_ratios(docs: DataFrame, good_ids: DataFrame) -> np.ndarray:
-    """log p_target - log p_raw of each bucket. ``good_ids`` are bounded."""
+    """log p_target - log p_raw of each bucket; all of ``good_ids`` count."""
     named = good_ids.select(F.col("doc_id").alias("_good")).distinct()
-    flagged = (docs.select("doc_id", "text")
-               .join(F.broadcast(named), F.col("doc_id") == F.col("_good"), "left")
-               .select("text", F.col("_good").isNotNull().alias("good")))
+    flagged = (docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+               .join(named.hint("merge"), F.col("doc_id") == F.col("_good"), "left")
+               .select("text", F.col("_good").isNotNull().alias("good"))
+               .unionByName(docs.where("doc_id IS NULL").select("text", F.lit(False).alias("good"))))
     counts = (flagged.mapInArrow(_count, "bucket long, raw long, target long")
               .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect())
     raw, target = np.full(BUCKETS, SMOOTHING), np.full(BUCKETS, SMOOTHING)
@@ -131,7 +130,7 @@ def resample(spark: SparkSession, docs: DataFrame, labels: DataFrame, k: int | N
     named = (labels.select("doc_id", "quality").where("doc_id IS NOT NULL AND quality IS NOT NULL")
              .groupBy("doc_id").agg(F.max("quality").alias("quality")))
     good_share, = named.agg(F.avg((F.col("quality") == 1).cast("double"))).first()
-    good = (named.where("quality = 1").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_DOCS))
+    good = named.where("quality = 1").select("doc_id")
     ratio = log_ratios(docs, good)
     scored = scratch.table(
         docs.select("doc_id", "text").mapInArrow(_weigh(ratio), "doc_id long, log_weight double")

@@ -357,6 +357,15 @@ def test_resampling_takes_exactly_the_largest_keys(spark):
     assert quality.resample(spark, table(spark), labels).count() == len(ROWS)
 
 
+def test_target_model_counts_all_good_documents(spark):
+    """Where every document is good, target and corpus are alike."""
+    rows = [(i, f"w{i % 97} v{i % 89} u{i}") for i in range(21000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert not quality.log_ratios(docs, docs.select("doc_id")).any()
+    got = quality.resample(spark, docs, docs.select("doc_id", F.lit(1).alias("quality")), k=10)
+    assert got.where("log_weight <> 0").count() == 0 and got.where("selected").count() == 10
+
+
 # -- decontamination ------------------------------------------------------
 
 def brute_contaminated(rows, items):
