@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, mixing, near_dedup, pii, quality, substring, toxicity, warc
+from . import decontam, exact_dedup, langid, mixing, near_dedup, pii, quality, substring, toxicity, warc, whitening
 from .common import Scratch, documents, fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,8 @@ def q_pii(spark, sf_dir):
 def q_quality(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return quality.resample(spark, documents(spark, sf_dir), labels)
+
+
+@query("op13_embedding_whitening")
+def q_whitening(spark, sf_dir):
+    return whitening.whiten(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
