@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, mixing, near_dedup, pii, quality, substring, toxicity, warc, whitening
+from . import (collocation, decontam, exact_dedup, langid, mixing, near_dedup, pii, quality, substring, toxicity, warc,
+               whitening)
 from .common import Scratch, documents, fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +192,41 @@ def q_quality(spark, sf_dir):
 @query("op13_embedding_whitening")
 def q_whitening(spark, sf_dir):
     return whitening.whiten(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+@query("op12_collocations", r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM pieces GROUP BY lang),
+found AS (
+  SELECT lang, w[i:i + k - 1] AS p
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) sizes(k) WHERE len(w) >= k)),
+counts AS (SELECT lang, p, CAST(count(*) AS HUGEINT) AS f FROM found GROUP BY lang, p HAVING count(*) >= 100),
+several AS (SELECT * FROM counts WHERE len(p) > 1),
+inner_parts AS (
+  SELECT lang, p[i:i + k - 1] AS p, max(f) AS longer
+  FROM (SELECT lang, p, f, k, unnest(range(1, len(p) - k + 2)) AS i FROM several, range(2, 5) sizes(k) WHERE len(p) > k)
+  GROUP BY ALL),
+kept AS (
+  SELECT s.lang, s.p, s.f AS a FROM several s LEFT JOIN inner_parts i ON i.lang = s.lang AND i.p = s.p
+  WHERE longer IS NULL OR 100 * longer < 100 * s.f),
+cuts AS (
+  SELECT k.lang, k.p, a, l.f AS l, r.f AS r, n, cut, 1000 * a * n // (l.f * r.f) AS score
+  FROM (SELECT lang, p, a, unnest(range(1, len(p))) AS cut FROM kept) k
+  JOIN counts l ON l.lang = k.lang AND l.p = k.p[1:cut]
+  JOIN counts r ON r.lang = k.lang AND r.p = k.p[cut + 1:]
+  JOIN totals t ON t.lang = k.lang),
+scored AS (
+  SELECT *, array_to_string(p, ' ') AS phrase FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000""")
+def q_collocations(spark, sf_dir):
+    return collocation.collocations(spark, documents(spark, sf_dir))
