@@ -30,8 +30,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, chunks, column, constants, mix
-from .shards import (SHARD_BYTES, local_values, lower_bytes, numbered, numbered_words, one_list, packed_table,
-                     with_local, word_runs)
+from .shards import (SHARD_BYTES, local_values, lower_bytes, numbered, numbered_words, one_list, squeezed,
+                     unsqueezed, with_local, word_runs)
 from .succinct import joined, opened, pack, unpack
 
 LONGEST = 5
@@ -184,21 +184,21 @@ def _shard(batches):
             if not len(places):
                 continue
             # a piece ends at a separator and at the end of a text
-            piece = np.cumsum(_SEPARATOR[raw])[begin] + np.searchsorted(offsets, begin, side="right")
+            piece = np.cumsum(_SEPARATOR[raw], dtype=np.int32)[begin] + np.searchsorted(offsets, begin, side="right")
             fresh = np.concatenate(([0], (piece[1:] != piece[:-1]).astype(np.int64)))
             codes = np.full(len(places) + fresh.sum(), -1, dtype=np.int32)
             codes[np.arange(len(places)) + np.cumsum(fresh)] = places
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang], pa.string()), one_list(words), one_list(pa.array(np.bincount(places, minlength=len(words)))),
-                 pa.array([codes.tobytes()], pa.binary())], names=["lang", "words", "counts", "codes"])
+                 pa.array([squeezed(codes)], pa.binary())], names=["lang", "words", "counts", "codes"])
 
 
 def _global(batches):
     """Shards as global word ids, -1 for what ends a phrase."""
     for batch in batches:
         for i in range(batch.num_rows):
-            codes = np.frombuffer(column(batch, "codes")[i].as_buffer(), np.int32)
-            ids = local_values(column(batch, "local"), i, "id", len(column(batch, "words")[i]), -1)
+            codes = unsqueezed(column(batch, "codes")[i], np.int32)
+            ids = local_values(column(batch, "local"), i, "id", column(batch, "distinct")[i].as_py(), -1)
             ids = np.where(codes >= 0, ids[codes], -1)
             inside = ids >= 0
             beside = np.zeros(len(ids) + 1, dtype=bool)
@@ -206,7 +206,7 @@ def _global(batches):
             keep = beside[1:] | beside[:-1]  # words of phrases, and one end after each
             keep[1:] |= keep[:-1] & ~inside[1:]
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "lang").slice(i, 1), pa.array([ids[keep].tobytes()], pa.binary())], names=["lang", "ids"])
+                [column(batch, "lang").slice(i, 1), pa.array([squeezed(ids[keep])], pa.binary())], names=["lang", "ids"])
 
 
 # --------------------------------------------------------------------------
@@ -238,7 +238,7 @@ def _filters(packing: Packing, block_bits: int, known):
         for batch in batches:
             for i in range(batch.num_rows):
                 lang = column(batch, "lang")[i].as_py()
-                ids = np.frombuffer(column(batch, "ids")[i].as_buffer(), np.int64)
+                ids = unsqueezed(column(batch, "ids")[i], np.int64)
                 if len(ids) < n:
                     continue
                 inside = ids >= 0
@@ -304,17 +304,17 @@ def phrases(docs: DataFrame, scratch: Scratch, longest: int = LONGEST, least: in
     ids, f; single words too), the words (lang, id, word) and the number of word
     occurrences (lang, n)."""
     spark = scratch.spark
-    shards = packed_table(scratch, docs.select("text", "lang").mapInArrow(_shard, _SHARD)
-                          .withColumn("shard", F.monotonically_increasing_id()), "shards")
+    shards = scratch.table(docs.select("text", "lang").mapInArrow(_shard, _SHARD)
+                           .withColumn("shard", F.monotonically_increasing_id()), "shards")
     totals = scratch.table(shards.groupBy("lang").agg(
         F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n")), "totals")
     often = scratch.table(
         shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
         .groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f")).where(F.col("f") >= least), "often")
     words, bits = numbered(often, scratch, "words", "lang")
-    encoded = packed_table(
-        scratch, with_local(shards, words.select("lang", "word", "id"), ["id"], "lang").where("local IS NOT NULL")
-        .select("lang", "words", "codes", "local").mapInArrow(_global, "lang string, ids binary"), "encoded")
+    encoded = scratch.table(
+        with_local(shards, words.select("lang", "word", "id"), ["id"], "lang")
+        .select("lang", "distinct", "codes", "local").mapInArrow(_global, "lang string, ids binary"), "encoded")
     scratch.drop("shards")
 
     spread = max(0, (int(totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // BLOCK_PHRASES).bit_length())

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 #: Text bytes of a shard (one text at least).
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
 
 
 def lower_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -55,14 +55,20 @@ def numbered_words(raw: np.ndarray, mask: np.ndarray, begin: np.ndarray, end: np
     return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.binary())
 
 
-def one_list(values: pa.Array) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+def squeezed(array: np.ndarray) -> bytes:
+    """The bytes of an array, compressed (their number in front)."""
+    raw = array.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
 
+def unsqueezed(value: pa.Scalar, dtype) -> np.ndarray:
+    raw = value.as_buffer()
+    size = int.from_bytes(raw.slice(0, 8).to_pybytes(), "little")
+    return np.frombuffer(pa.decompress(raw.slice(8), size, codec="zstd"), dtype)
 
-def packed_table(scratch: Scratch, df: DataFrame, name: str) -> DataFrame:
-    """A scratch table of binary columns, compressed with zstd."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(scratch.path(name))
-    return scratch.spark.read.schema(df.schema).parquet(scratch.path(name))
+
+def one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def numbered(words: DataFrame, scratch: Scratch, name: str, *by: str) -> tuple[DataFrame, int]:
@@ -79,19 +85,19 @@ def numbered(words: DataFrame, scratch: Scratch, name: str, *by: str) -> tuple[D
 
 
 def with_local(shards: DataFrame, words: DataFrame, values: list[str], *by: str) -> DataFrame:
-    """``shards`` with the array ``local``: for every word of the shard that
-    ``words`` has, its place in the shard's list and the ``values``."""
+    """``shards``, with the number of ``distinct`` words instead of the words and
+    the array ``local``: for every word of the shard that ``words`` has, its
+    place in the shard's list and the ``values``."""
     single = shards.select("shard", *by, F.posexplode("words").alias("place", "word"))
-    local = (single.join(words, ["word", *by]).groupBy("shard")
-             .agg(F.collect_list(F.struct("place", *values)).alias("local")))
-    return shards.join(local, "shard", "left")
+    known = F.when(F.col(values[0]).isNotNull(), F.struct("place", *values))
+    local = single.join(words, ["word", *by]).groupBy("shard").agg(F.collect_list(known).alias("local"))
+    return shards.withColumn("distinct", F.size("words")).drop("words").join(local, "shard")
 
 
 def local_values(local: pa.Array, row: int, name: str, size: int, missing: int) -> np.ndarray:
     """One of the ``values`` by place in the shard's list."""
     out = np.full(size, missing, dtype=np.int64)
-    entry = local[row]
-    if entry.is_valid:
-        got = entry.values
+    got = local[row].values
+    if got is not None and len(got):
         out[got.field("place").to_numpy(zero_copy_only=False)] = got.field(name).to_numpy(zero_copy_only=False)
     return out
