@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ class Scratch:
         self.spark = spark
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
         self.names: set[str] = set()
+        self.tables: dict[str, str] = {}
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -33,11 +35,27 @@ class Scratch:
         self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def bucketed(self, df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
+        """A table whose rows are hashed by ``keys`` into sorted buckets: joins
+        on the keys read it bucket by bucket, without an exchange, as often as
+        they like, and a lost executor rereads files."""
+        table = f"{os.path.basename(self.base)}_{name}".replace("-", "_")
+        (df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+           .option("path", self.path(name)).saveAsTable(table))
+        self.names.add(name)
+        self.tables[name] = table
+        return self.spark.table(table)
+
     def drop(self, *names: str) -> None:
         for name in names:
+            if name in self.tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(name)}")
             delete_path(self.spark, self.path(name))
             self.names.discard(name)
 
     def clear(self) -> None:
+        for table in self.tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.tables.clear()
         delete_path(self.spark, self.base)
         self.names.clear()
