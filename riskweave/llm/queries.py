@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (collocation, decontam, exact_dedup, langid, mixing, near_dedup, pii, quality, substring, toxicity, warc,
-               whitening)
+from . import (collocation, decontam, exact_dedup, langid, language_model, mixing, near_dedup, pii, quality, substring, toxicity,
+               warc, whitening)
 from .common import Scratch, documents, fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +230,8 @@ SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(
 FROM ranked WHERE rank <= 2000""")
 def q_collocations(spark, sf_dir):
     return collocation.collocations(spark, documents(spark, sf_dir))
+
+
+@query("op11_lm_score")
+def q_language_model(spark, sf_dir):
+    return language_model.score(spark, documents(spark, sf_dir), language_model.training_rows(F.col("doc_id")))
