@@ -76,10 +76,13 @@ class EliasFano:
     def __init__(self, arrays: list[np.ndarray]):
         self.meta, self.low, self.high = arrays
         self.n, self.width = int(self.meta[0]), int(self.meta[1])
-        # where the elements of each high part begin: the zeros of the unary code
+        # high part of each element (select of the ones), and where the elements
+        # of each high part begin (select of the zeros of the unary code)
         bits = np.unpackbits(self.high, bitorder="little", count=int(self.meta[2]))
-        zeros = np.flatnonzero(bits == 0)
-        self.begin = np.concatenate(([0], zeros - np.arange(len(zeros))))
+        small = np.int32 if len(bits) < 1 << 31 else np.int64
+        zeros = np.flatnonzero(bits == 0).astype(small)
+        self.begin = np.concatenate((np.zeros(1, small), zeros - np.arange(len(zeros), dtype=small)))
+        self.part = np.flatnonzero(bits).astype(small) - np.arange(self.n, dtype=small)
 
     @staticmethod
     def built(values: np.ndarray) -> list[np.ndarray]:
@@ -96,8 +99,7 @@ class EliasFano:
 
     def get(self, at: np.ndarray) -> np.ndarray:
         """Elements at the places ``at``."""
-        high = np.searchsorted(self.begin, at, side="right") - 1
-        return (high.astype(np.uint64) << np.uint64(self.width)) | unpack(self.low, self.width, at)
+        return (self.part[at].astype(np.uint64) << np.uint64(self.width)) | unpack(self.low, self.width, at)
 
     def successor(self, values: np.ndarray) -> np.ndarray:
         """Place of the first element not below each value (n if there is none)."""
@@ -124,8 +126,11 @@ class Lists:
     FIELDS = 2 * EliasFano.FIELDS
 
     def __init__(self, arrays: list[np.ndarray]):
-        self.pointers = EliasFano(arrays[:EliasFano.FIELDS])
+        pointers = EliasFano(arrays[:EliasFano.FIELDS])
         self.values = EliasFano(arrays[EliasFano.FIELDS:])
+        self.begin = pointers.get(np.arange(pointers.n)).astype(np.int64)
+        last = self.values.get(np.maximum(self.begin - 1, 0)) if self.values.n else self.begin.astype(np.uint64)
+        self.base = np.where(self.begin > 0, last + _ONE, 0).astype(np.uint64)
 
     @staticmethod
     def built(pointers: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
@@ -144,13 +149,8 @@ class Lists:
         if not n or not len(which):
             return np.zeros(len(which), dtype=np.int64), np.zeros(len(which), dtype=bool)
         safe = np.maximum(which, 0)
-        begin, end = (self.pointers.get(x).astype(np.int64) for x in (safe, safe + 1))
-        base = np.where(begin > 0, self.values.get(np.maximum(begin - 1, 0)) + _ONE, 0).astype(np.uint64)
-        target = value.astype(np.uint64) + base
+        target = value.astype(np.uint64) + self.base[safe]
         place = self.values.successor(target)
-        there = (which >= 0) & (place >= begin) & (place < end)
+        there = (which >= 0) & (place >= self.begin[safe]) & (place < self.begin[safe + 1])
         there &= self.values.get(np.minimum(place, n - 1)) == target
         return place, there
-
-    def begin(self, which: np.ndarray) -> np.ndarray:
-        return self.pointers.get(which).astype(np.int64)
