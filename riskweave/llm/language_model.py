@@ -122,9 +122,11 @@ class Trie:
     def _node(self, v: np.ndarray) -> np.ndarray:
         if not self.words.n:
             return np.full(len(v), -1)
-        at = self.words.successor(v)
-        there = self.words.get(np.minimum(at, self.words.n - 1)) == v.astype(np.uint64)
-        return np.where(there & (at < self.words.n), at, -1)
+        first = _starts(v)  # questions come in runs of one context word
+        asked = v[first].astype(np.uint64)
+        at = self.words.successor(asked)
+        there = self.words.get(np.minimum(at, self.words.n - 1)) == asked
+        return np.repeat(np.where(there & (at < self.words.n), at, -1), np.diff(np.append(first, len(v))))
 
     def bigrams(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Codes of the weights of w after v."""
@@ -137,7 +139,7 @@ class Trie:
         node = self._node(v)
         pair, known = self.before.find(node, u)
         at, there = self.after.find(node, w)
-        place = at - np.where(there, self.after.begin(np.maximum(node, 0)), 0) if self.words.n else at
+        place = at - self.after.begin[np.maximum(node, 0)] if self.words.n else at
         leaf, found = self.pairs.find(np.where(known & there, pair, -1), np.where(there, place, 0))
         one = quantised(np.ones(1))[0]
         return (np.where(found, _taken(self.pair_code, leaf), 0).astype(np.uint16),
@@ -199,37 +201,39 @@ class _Stats:
 
 
 class _Texts:
-    """A shard as token ids with their contexts."""
+    """A shard as tokens with their contexts. Tokens are ranks among the shard's
+    own ids, which keep the order of the ids and need few bits in any corpus."""
 
     def __init__(self, batch, i: int, stats: _Stats):
         local = column(batch, "local")[i].values
-        own = column(batch, "counts")[i].values.to_numpy(zero_copy_only=False)
         # A word that the list leaves out was seen in this shard alone, once or never.
-        count, word = own.copy(), np.full(len(own), RARE, dtype=np.int64)
+        self.count = column(batch, "counts")[i].values.to_numpy(zero_copy_only=False).copy()
+        word = np.full(len(self.count), RARE, dtype=np.int64)
         if local is not None and len(local):
             place = local.field("place").to_numpy(zero_copy_only=False)
-            count[place] = local.field("c").to_numpy(zero_copy_only=False)
+            self.count[place] = local.field("c").to_numpy(zero_copy_only=False)
             word[place] = local.field("id").to_numpy(zero_copy_only=False)
-        codes = unsqueezed(column(batch, "codes")[i], np.int32)
+        self.ids, rank = np.unique(np.concatenate(([PAD, END, RARE], word)), return_inverse=True)
+        rank = rank[FIRST:].astype(np.int32)
+        #: Training tokens of each id, that is, how often it is a context.
+        self.seen = np.zeros(len(self.ids), dtype=np.int64)
+        self.seen[rank] = self.count
+        self.seen[[PAD, END, RARE]] = stats.texts, stats.texts, stats.once
+
+        self.codes = unsqueezed(column(batch, "codes")[i], np.int32)
         self.doc_ids = column(batch, "doc_ids")[i].values
         self.train = column(batch, "train")[i].values.to_numpy(zero_copy_only=False).astype(bool)
-        sizes = column(batch, "sizes")[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.lengths = sizes + 1
-        n = int(self.lengths.sum())
+        self.lengths = column(batch, "sizes")[i].values.to_numpy(zero_copy_only=False).astype(np.int64) + 1
         ends = np.cumsum(self.lengths) - 1
-        is_word = np.ones(n, dtype=bool)
-        is_word[ends] = False
-        self.w, self.c = np.full(n, END, dtype=np.int64), np.full(n, stats.texts, dtype=np.int64)
-        self.w[is_word], self.c[is_word] = word[codes], count[codes]
-        self.first = np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends
-        self.v, self.of_v = np.empty(n, np.int64), np.empty(n, np.int64)
-        self.v[1:], self.of_v[1:] = self.w[:-1], self.c[:-1]
-        self.v[self.first], self.of_v[self.first] = PAD, stats.texts
-        self.of_v[self.v == RARE] = stats.once
-        self.u = np.empty(n, np.int64)
-        self.u[1:] = self.v[:-1]
+        self.first = ends - self.lengths + 1
+        self.is_word = np.ones(int(self.lengths.sum()), dtype=bool)
+        self.is_word[ends] = False
+        self.w = np.full(len(self.is_word), END, dtype=np.int32)
+        self.w[self.is_word] = rank[self.codes]
+        self.v = np.concatenate((self.w[-1:], self.w[:-1]))
+        self.v[self.first] = PAD
+        self.u = np.concatenate((self.v[-1:], self.v[:-1]))
         self.u[self.first] = PAD
-        self.weight = np.repeat(self.train, self.lengths).astype(np.int64)
 
 
 def _limbs(columns: list[np.ndarray], bits: int) -> list[np.ndarray]:
@@ -238,15 +242,16 @@ def _limbs(columns: list[np.ndarray], bits: int) -> list[np.ndarray]:
     for at in range(0, len(columns), 64 // bits):
         key = np.zeros(len(columns[0]), dtype=np.uint64)
         for c in columns[at:at + 64 // bits]:
-            key = (key << np.uint64(bits)) | c.astype(np.uint64)
+            key <<= np.uint64(bits)
+            key |= c.astype(np.uint64)
         out.append(key)
     return out
 
 
-def _distinct(columns: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _distinct(columns: list[np.ndarray], bits: int, kind: str | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts the rows, and where each distinct row begins in it."""
     keys = _limbs(columns, bits)
-    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    order = np.argsort(keys[0], kind=kind) if len(keys) == 1 else np.lexsort(keys[::-1])
     return order, _starts(*[k[order] for k in keys])
 
 
@@ -258,21 +263,29 @@ def _part(v: np.ndarray, of_v: np.ndarray, other: np.ndarray, parts: int, part_t
 
 
 class _Grams:
-    """Distinct bigrams (v, w) and trigrams (v, u, w) of a shard by part."""
-
-    def __init__(self, t: _Texts, bits: int, parts: int, part_tokens: int):
-        self.kinds = []
-        for columns, other in (([t.v, t.w], t.w), ([t.v, t.u, t.w], t.u)):
-            part = _part(t.v, t.of_v, other, parts, part_tokens)
-            order, first = _distinct([part, *columns], max(bits, parts.bit_length()))
-            lead = order[first]
-            self.kinds.append((order, first, part[lead], [c[lead] for c in columns]))
-
-    def of(self, kind: int) -> np.ndarray:
-        """For each token its place among the distinct n-grams."""
-        order, first, _, _ = self.kinds[kind]
-        out = np.empty(len(order), np.int64)
-        out[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    """Distinct bigrams (v, w) or trigrams (v, u, w) of a shard, by part and
+    rising in each part."""
+
+    def __init__(self, t: _Texts, n: int, parts: int, part_tokens: int):
+        tokens = [t.v, t.w] if n == 2 else [t.v, t.u, t.w]
+        self.order, self.first = _distinct(tokens, len(t.ids).bit_length())
+        lead = self.order[self.first]
+        ranks = [c[lead] for c in tokens]
+        columns = [t.ids[r] for r in ranks]
+        part = _part(columns[0], t.seen[ranks[0]], columns[1], parts, part_tokens)
+        self.by = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+        self.part, self.columns, self.of_v = part[self.by], [c[self.by] for c in columns], t.seen[ranks[0][self.by]]
+
+    def summed(self, weight: np.ndarray) -> np.ndarray:
+        """Sum of the tokens' weights of each n-gram."""
+        return np.add.reduceat(weight[self.order], self.first)[self.by] if len(self.first) else self.first
+
+    def place(self) -> np.ndarray:
+        """For each token its place among the n-grams."""
+        at = np.empty(len(self.by), np.int32)
+        at[self.by] = np.arange(len(self.by), dtype=np.int32)
+        out = np.empty(len(self.order), np.int32)
+        out[self.order] = np.repeat(at, np.diff(np.append(self.first, len(self.order))))
         return out
 
 
@@ -301,20 +314,20 @@ def _read(value: pa.Scalar) -> list[np.ndarray]:
     return out
 
 
-def _sent(stats: _Stats, bits: int, parts: int, part_tokens: int):
+def _sent(stats: _Stats, parts: int, part_tokens: int):
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 t = _Texts(batch, i, stats)
-                grams = _Grams(t, bits, parts, part_tokens)
+                weight = np.repeat(t.train, t.lengths).astype(np.int64)
                 found: dict[int, list] = {}
-                for kind, (order, first, part, columns) in enumerate(grams.kinds):
-                    counts = np.add.reduceat(t.weight[order], first) if len(first) else first
-                    extra = [t.of_v[order[first]]] if kind == 0 else []
-                    cut = np.append(_starts(part), len(part))
+                for n in (2, 3):
+                    grams = _Grams(t, n, parts, part_tokens)
+                    columns = [*grams.columns, grams.summed(weight), *([grams.of_v] if n == 2 else [])]
+                    cut = np.append(_starts(grams.part), len(grams.part))
                     for a, b in zip(cut[:-1], cut[1:]):
-                        found.setdefault(int(part[a]), [None, None])[kind] = _written(
-                            [c[a:b] for c in (*columns, counts, *extra)])
+                        found.setdefault(int(grams.part[a]), [None, None])[n - 2] = _written([c[a:b] for c in columns])
+                    del grams, columns
                 shard = column(batch, "shard")[i].as_py()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(found), pa.int64()), pa.array([shard] * len(found), pa.int64()),
@@ -329,7 +342,7 @@ def _answered(bits: int):
         columns = [np.concatenate(c) for c in zip(*rows)] if rows else [np.zeros(0, np.int64)] * (keys + 2)
         seen = np.flatnonzero(columns[keys])
         columns = [c[seen] for c in columns]
-        order, first = _distinct(columns[:keys], bits)
+        order, first = _distinct(columns[:keys], bits, "stable")  # merges the shards' sorted stretches
         counts = np.add.reduceat(columns[keys][order], first) if len(first) else first
         return [*[c[order[first]] for c in columns[:keys]], counts, *[c[order[first]] for c in columns[keys + 1:]]]
 
@@ -346,24 +359,26 @@ def _answered(bits: int):
     return run
 
 
-def _scored(stats: _Stats, bits: int, parts: int, part_tokens: int):
+def _scored(stats: _Stats, parts: int, part_tokens: int):
     rare = (1.1 * stats.once + 0.1) / stats.below
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 t = _Texts(batch, i, stats)
-                grams = _Grams(t, bits, parts, part_tokens)
                 got = column(batch, "answers")[i].values
                 order = np.argsort(got.field("part").to_numpy(zero_copy_only=False))
                 codes = [opened(unsqueezed(got.field("codes")[int(k)], np.uint8)) for k in order]
-                pair, triple, left = (weights(np.concatenate([c[k] for c in codes])) for k in range(3))
-                base = (t.c + 0.1) / stats.below
+                pair, triple, left = (np.concatenate([c[k] for c in codes]) for k in range(3))
+                count = np.full(len(t.w), stats.texts)
+                count[t.is_word] = t.count[t.codes]
+                base = (count + 0.1) / stats.below
                 lowest = np.where(t.w == RARE, rare, base)
-                of_two, of_three = grams.of(0), grams.of(1)
-                lower = pair[of_two] + KAPPA[0] / (t.of_v + KAPPA[0]) * lowest
-                p = (triple[of_three] + left[of_three] * lower) * (base / lowest)
-                known = np.add.reduceat((t.c > 0).astype(np.int64), t.first)
+                seen = t.seen[t.v]
+                p = weights(pair)[_Grams(t, 2, parts, part_tokens).place()] + KAPPA[0] / (seen + KAPPA[0]) * lowest
+                place = _Grams(t, 3, parts, part_tokens).place()
+                p = (weights(triple)[place] + weights(left)[place] * p) * (base / lowest)
+                known = np.add.reduceat((count > 0).astype(np.int64), t.first)
                 yield pa.RecordBatch.from_arrays(
                     [t.doc_ids, pa.array(~t.train), pa.array(t.lengths), pa.array(known),
                      pa.array(np.full(len(t.first), stats.tokens)), pa.array(np.add.reduceat(np.log10(base), t.first)),
@@ -372,26 +387,20 @@ def _scored(stats: _Stats, bits: int, parts: int, part_tokens: int):
     return run
 
 
-def _word_rows(shards: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
-    """(shard, place, c, id, lead) of every word of every shard: its training
-    count, its id (RARE if seen at most once) and, for one row of each word,
-    lead. Words are dealt into hash buckets of about 256; an id is the word's
-    rank by count in its bucket, then the bucket, so frequent words get small
-    ids and no task sees more than its buckets."""
-    single = shards.select("shard", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
+def _word_rows(shards: DataFrame, scratch: Scratch) -> DataFrame:
+    """(shard, place, own, c, bucket, rank) of every word of every shard: its
+    training count there and in all, its hash bucket (of about 4096 words) and
+    its rank by c among the bucket's words. One exchange by bucket serves all;
+    no task sees more than its buckets."""
     distinct = shards.select(F.explode("words").alias("word")).agg(F.approx_count_distinct("word")).first()[0]
-    spread = (distinct >> 8).bit_length()
-    hashed = F.xxhash64("word")
-    rows = single.select("shard", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("own")).withColumn(
-        "bucket", F.shiftrightunsigned(hashed, 64 - spread) if spread else F.lit(0).cast("long"))
-    ranked = (rows.withColumn("c", F.sum("own").over(W.partitionBy("bucket", "word")))
-              .withColumn("lead", F.row_number().over(W.partitionBy("bucket", "word").orderBy("shard")) == 1)
+    spread = (distinct >> 12).bit_length()
+    single = shards.select("shard", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
+    rows = single.select(
+        "shard", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("own"),
+        (F.shiftrightunsigned(F.xxhash64("w.words"), 64 - spread) if spread else F.lit(0).cast("long")).alias("bucket"))
+    ranked = (rows.repartition("bucket").withColumn("c", F.sum("own").over(W.partitionBy("bucket", "word")))
               .withColumn("rank", F.dense_rank().over(W.partitionBy("bucket").orderBy(F.desc("c"), "word")) - 1))
-    made = F.shiftleft(F.col("rank").cast("long"), spread).bitwiseOR(F.col("bucket")) + FIRST
-    table = scratch.table(ranked.select("shard", "place", "own", "c", "lead", F.when(F.col("c") > 1, made)
-                                        .otherwise(F.lit(RARE).cast("long")).alias("id")), "words")
-    most = table.agg(F.coalesce(F.max("id"), F.lit(RARE))).first()[0]
-    return table, int(most).bit_length()
+    return scratch.table(ranked.select("shard", "place", "own", "c", "bucket", "rank"), "words")
 
 
 def score(spark: SparkSession, docs: DataFrame, train: Column, part_tokens: int = PART_TOKENS) -> DataFrame:
@@ -403,22 +412,32 @@ def score(spark: SparkSession, docs: DataFrame, train: Column, part_tokens: int
     shards = scratch.bucketed(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(train, F.lit(False)).alias("train"))
         .mapInArrow(_shard, _SHARD).withColumn("shard", F.monotonically_increasing_id()), "shards", buckets, "shard")
-    words, bits = _word_rows(shards, scratch)
-    seen = words.where("lead AND c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("c") == 1)).first()
+    words = _word_rows(shards, scratch)
+    # Ranks fall with the counts: those of the last word seen at all, and of the
+    # last one seen twice, say how many there are.
+    last = words.groupBy("bucket").agg(F.sum("own").alias("tokens"), *[
+        F.max(F.when(F.col("c") > n, F.col("rank") + 1)).alias(f"over_{n}") for n in (0, 1)])
+    tokens, distinct, often, most = (int(x or 0) for x in last.agg(
+        F.sum("tokens"), F.sum("over_0"), F.sum("over_1"), F.max("over_1")).first())
     texts = shards.select(F.size(F.filter("train", lambda x: x)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    stats = _Stats(int(seen[0]), int(seen[1]), int(seen[2]), int(texts))
+    stats = _Stats(tokens, distinct, distinct - often, int(texts))
     parts = stats.tokens // part_tokens + 1
 
-    told = F.when((F.col("c") > 1) | (F.col("c") != F.col("own")), F.struct("place", "c", "id"))
+    # An id is the rank, then the bucket: frequent words have small ids.
+    spread = int(words.agg(F.coalesce(F.max("bucket"), F.lit(0))).first()[0]).bit_length()
+    made = F.shiftleft(F.col("rank").cast("long"), spread).bitwiseOR(F.col("bucket")) + FIRST
+    bits = (((most + 1) << spread) + FIRST).bit_length()
+    told = F.when((F.col("c") > 1) | (F.col("c") != F.col("own")),
+                  F.struct("place", "c", F.when(F.col("c") > 1, made).otherwise(F.lit(RARE).cast("long")).alias("id")))
     local = scratch.bucketed(words.groupBy("shard").agg(F.collect_list(told).alias("local")), "local", buckets, "shard")
     scratch.drop("words")
     coded = shards.drop("words").join(local, "shard", "left")
     answers = scratch.table(
-        coded.mapInArrow(_sent(stats, bits, parts, part_tokens), "part long, shard long, bigrams binary, trigrams binary")
+        coded.mapInArrow(_sent(stats, parts, part_tokens), "part long, shard long, bigrams binary, trigrams binary")
         .groupBy("part").applyInArrow(_answered(bits), "shard long, part long, codes binary"), "answers")
     by_shard = answers.groupBy("shard").agg(F.collect_list(F.struct("part", "codes")).alias("answers"))
     return coded.join(by_shard, "shard").mapInArrow(
-        _scored(stats, bits, parts, part_tokens),
+        _scored(stats, parts, part_tokens),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
