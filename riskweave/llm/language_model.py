@@ -43,12 +43,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import _IS_SPACE, Scratch, chunks, column, constants, fold, mix
-from .shards import SHARD_BYTES, lower_bytes, numbered_words, one_list, squeezed, unsqueezed, word_runs
+from .shards import lower_bytes, numbered_words, one_list, squeezed, unsqueezed, word_runs
 from .succinct import EliasFano, Lists, joined, opened
 
 PAD, END, RARE, FIRST = 0, 1, 2, 3
 #: Weights of the lower level in a bigram's and a trigram's context.
 KAPPA = (20.0, 4.0)
+#: Text bytes of a shard (one text at least).
+SHARD_BYTES = 8 << 20
 #: Tokens of a part of the model (about 100 MB while it is built).
 PART_TOKENS = 2_000_000
 _STEPS, _RANGE = 2047, 32
@@ -96,12 +98,13 @@ class Trie:
         v2, w2, n2, of_v = bigrams
         v3, u3, w3, n3 = trigrams
         # successors of v: those of its bigrams here and those of its trigrams
-        v, w = np.concatenate((v2, v3)), np.concatenate((w2, w3))
-        code = np.concatenate((quantised(n2 / (of_v + kappa[0])), np.zeros(len(v3), np.uint16)))
-        order = np.lexsort((np.arange(len(v)), w, v))
-        v, w, code = v[order], w[order], code[order]
-        first = _starts(v, w)
-        v, w, code = v[first], w[first], code[first]
+        bits = np.uint64(max(1, int(max(w2.max(initial=0), w3.max(initial=0))).bit_length()))
+        two, three = (v2.astype(np.uint64) << bits) | w2.astype(np.uint64), (v3.astype(np.uint64) << bits) | w3.astype(np.uint64)
+        both = np.sort(np.concatenate((two, three)))
+        both = both[_starts(both)]
+        v, w = (both >> bits).astype(np.int64), (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        code = np.zeros(len(both), np.uint16)
+        code[np.searchsorted(both, two)] = quantised(n2 / (of_v + kappa[0]))
         begin = _starts(v)
         words = v[begin]
         after = np.append(begin, len(v))
@@ -112,8 +115,8 @@ class Trie:
         before = np.append(before, len(first))
         pairs = np.append(first, len(v3))
         # places of w among the successors of v
-        node = np.searchsorted(words, v3)
-        place = _place_in(after, w, node, w3) - after[node]
+        node = np.repeat(np.arange(len(words)), np.diff(np.searchsorted(v3, np.append(words, v3[-1:] + 1)))) if len(v3) else v3
+        place = np.searchsorted(both, three) - after[node]
         held = np.repeat(context, np.diff(pairs))
         return joined([*EliasFano.built(words), *Lists.built(after, w), *Lists.built(before, u3[first]),
                        *Lists.built(pairs, place), code, quantised(kappa[1] / (context + kappa[1])),
@@ -150,18 +153,6 @@ def _taken(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return codes[np.minimum(at, len(codes) - 1)] if len(codes) else np.zeros(len(at), np.uint16)
 
 
-def _place_in(pointers: np.ndarray, values: np.ndarray, which: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of ``wanted`` in the ascending list ``which`` that holds it."""
-    lo, hi = pointers[which], pointers[which + 1]
-    while True:
-        live = np.flatnonzero(hi - lo > 1)
-        if not len(live):
-            return lo
-        middle = (lo[live] + hi[live]) >> 1
-        over = values[middle] > wanted[live]
-        hi[live], lo[live] = np.where(over, middle, hi[live]), np.where(over, lo[live], middle)
-
-
 def _mapped(data: bytes) -> mmap.mmap:
     """The data as a memory-mapped file that goes with its last reference."""
     with tempfile.TemporaryFile() as f:
@@ -264,29 +255,37 @@ def _part(v: np.ndarray, of_v: np.ndarray, other: np.ndarray, parts: int, part_t
 
 class _Grams:
     """Distinct bigrams (v, w) or trigrams (v, u, w) of a shard, by part and
-    rising in each part."""
+    rising in each part. With ``train`` (whether each token is learned from)
+    their training counts, else ``place``: where each token's n-gram is."""
 
-    def __init__(self, t: _Texts, n: int, parts: int, part_tokens: int):
+    def __init__(self, t: _Texts, n: int, parts: int, part_tokens: int, train: np.ndarray | None = None):
         tokens = [t.v, t.w] if n == 2 else [t.v, t.u, t.w]
-        self.order, self.first = _distinct(tokens, len(t.ids).bit_length())
-        lead = self.order[self.first]
-        ranks = [c[lead] for c in tokens]
+        bits = len(t.ids).bit_length()
+        order = None
+        if train is not None and n * bits < 64:  # the flag fits beside the n-gram: sort the numbers alone
+            key = np.sort(_limbs([*tokens, train], bits)[0] if (n + 1) * bits <= 64
+                          else (_limbs(tokens, bits)[0] << np.uint64(1)) | train)
+            shift = bits if (n + 1) * bits <= 64 else 1
+            first = _starts(key >> np.uint64(shift))
+            counts = np.add.reduceat(key & np.uint64(1), first).astype(np.int64) if len(first) else first
+            lead = key[first] >> np.uint64(shift)
+            ranks = [((lead >> np.uint64(bits * k)) & np.uint64((1 << bits) - 1)).astype(np.int32) for k in range(n - 1, -1, -1)]
+        else:
+            order, first = _distinct(tokens, bits)
+            counts = np.add.reduceat(train[order].astype(np.int64), first) if train is not None and len(first) else None
+            ranks = [c[order[first]] for c in tokens]
         columns = [t.ids[r] for r in ranks]
-        part = _part(columns[0], t.seen[ranks[0]], columns[1], parts, part_tokens)
-        self.by = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
-        self.part, self.columns, self.of_v = part[self.by], [c[self.by] for c in columns], t.seen[ranks[0][self.by]]
-
-    def summed(self, weight: np.ndarray) -> np.ndarray:
-        """Sum of the tokens' weights of each n-gram."""
-        return np.add.reduceat(weight[self.order], self.first)[self.by] if len(self.first) else self.first
-
-    def place(self) -> np.ndarray:
-        """For each token its place among the n-grams."""
-        at = np.empty(len(self.by), np.int32)
-        at[self.by] = np.arange(len(self.by), dtype=np.int32)
-        out = np.empty(len(self.order), np.int32)
-        out[self.order] = np.repeat(at, np.diff(np.append(self.first, len(self.order))))
-        return out
+        seen = t.seen[ranks[0]]
+        part = _part(columns[0], seen, columns[1], parts, part_tokens)
+        by = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+        self.part = part[by]
+        if train is not None:
+            self.columns, self.of_v, self.counts = [c[by] for c in columns], seen[by], counts[by]
+        else:
+            at = np.empty(len(by), np.int32)
+            at[by] = np.arange(len(by), dtype=np.int32)
+            self.place = np.empty(len(order), np.int32)
+            self.place[order] = np.repeat(at, np.diff(np.append(first, len(order))))
 
 
 def _planes(values: np.ndarray) -> list[np.ndarray]:
@@ -319,11 +318,11 @@ def _sent(stats: _Stats, parts: int, part_tokens: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 t = _Texts(batch, i, stats)
-                weight = np.repeat(t.train, t.lengths).astype(np.int64)
+                train = np.repeat(t.train, t.lengths)
                 found: dict[int, list] = {}
                 for n in (2, 3):
-                    grams = _Grams(t, n, parts, part_tokens)
-                    columns = [*grams.columns, grams.summed(weight), *([grams.of_v] if n == 2 else [])]
+                    grams = _Grams(t, n, parts, part_tokens, train)
+                    columns = [*grams.columns, grams.counts, *([grams.of_v] if n == 2 else [])]
                     cut = np.append(_starts(grams.part), len(grams.part))
                     for a, b in zip(cut[:-1], cut[1:]):
                         found.setdefault(int(grams.part[a]), [None, None])[n - 2] = _written([c[a:b] for c in columns])
@@ -375,8 +374,8 @@ def _scored(stats: _Stats, parts: int, part_tokens: int):
                 base = (count + 0.1) / stats.below
                 lowest = np.where(t.w == RARE, rare, base)
                 seen = t.seen[t.v]
-                p = weights(pair)[_Grams(t, 2, parts, part_tokens).place()] + KAPPA[0] / (seen + KAPPA[0]) * lowest
-                place = _Grams(t, 3, parts, part_tokens).place()
+                p = weights(pair)[_Grams(t, 2, parts, part_tokens).place] + KAPPA[0] / (seen + KAPPA[0]) * lowest
+                place = _Grams(t, 3, parts, part_tokens).place
                 p = (weights(triple)[place] + weights(left)[place] * p) * (base / lowest)
                 known = np.add.reduceat((count > 0).astype(np.int64), t.first)
                 yield pa.RecordBatch.from_arrays(
@@ -395,11 +394,12 @@ def _word_rows(shards: DataFrame, scratch: Scratch) -> DataFrame:
     distinct = shards.select(F.explode("words").alias("word")).agg(F.approx_count_distinct("word")).first()[0]
     spread = (distinct >> 12).bit_length()
     single = shards.select("shard", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
-    rows = single.select(
-        "shard", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("own"),
-        (F.shiftrightunsigned(F.xxhash64("w.words"), 64 - spread) if spread else F.lit(0).cast("long")).alias("bucket"))
-    ranked = (rows.repartition("bucket").withColumn("c", F.sum("own").over(W.partitionBy("bucket", "word")))
-              .withColumn("rank", F.dense_rank().over(W.partitionBy("bucket").orderBy(F.desc("c"), "word")) - 1))
+    rows = single.select("shard", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("own"),
+                         F.xxhash64("w.words").alias("hash")).withColumn(
+        "bucket", F.shiftrightunsigned("hash", 64 - spread) if spread else F.lit(0).cast("long"))
+    # sorts are led by the hash, which decides nearly every comparison
+    ranked = (rows.repartition("bucket").withColumn("c", F.sum("own").over(W.partitionBy("hash", "bucket", "word")))
+              .withColumn("rank", F.dense_rank().over(W.partitionBy("bucket").orderBy(F.desc("c"), "hash", "word")) - 1))
     return scratch.table(ranked.select("shard", "place", "own", "c", "bucket", "rank"), "words")
 
 
