@@ -50,9 +50,11 @@ PAD, END, RARE, FIRST = 0, 1, 2, 3
 #: Weights of the lower level in a bigram's and a trigram's context.
 KAPPA = (20.0, 4.0)
 #: Text bytes of a shard (one text at least).
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
 #: Tokens of a part of the model (about 100 MB while it is built).
-PART_TOKENS = 2_000_000
+PART_TOKENS = 500_000
+#: Word rows that a task holds before it sends them to their shards.
+TOLD_ROWS = 1 << 20
 _STEPS, _RANGE = 2047, 32
 
 
@@ -196,14 +198,13 @@ class _Texts:
     own ids, which keep the order of the ids and need few bits in any corpus."""
 
     def __init__(self, batch, i: int, stats: _Stats):
-        local = column(batch, "local")[i].values
-        # A word that the list leaves out was seen in this shard alone, once or never.
+        # A word that is not told of was seen in this shard alone, once or never.
         self.count = column(batch, "counts")[i].values.to_numpy(zero_copy_only=False).copy()
         word = np.full(len(self.count), RARE, dtype=np.int64)
-        if local is not None and len(local):
-            place = local.field("place").to_numpy(zero_copy_only=False)
-            self.count[place] = local.field("c").to_numpy(zero_copy_only=False)
-            word[place] = local.field("id").to_numpy(zero_copy_only=False)
+        told = column(batch, "told")[i].values
+        for blob in told if told is not None else ():
+            place, c, known = _read(blob)
+            self.count[place], word[place] = c, known
         self.ids, rank = np.unique(np.concatenate(([PAD, END, RARE], word)), return_inverse=True)
         rank = rank[FIRST:].astype(np.int32)
         #: Training tokens of each id, that is, how often it is a context.
@@ -386,21 +387,58 @@ def _scored(stats: _Stats, parts: int, part_tokens: int):
     return run
 
 
-def _word_rows(shards: DataFrame, scratch: Scratch) -> DataFrame:
-    """(shard, place, own, c, bucket, rank) of every word of every shard: its
-    training count there and in all, its hash bucket (of about 4096 words) and
-    its rank by c among the bucket's words. One exchange by bucket serves all;
-    no task sees more than its buckets."""
+def _told(spread: int):
+    """Word rows, ordered by bucket, as one blob of (place, c, id) for each
+    shard; and for each bucket (shard null) its training tokens and how many of
+    its words have been seen, and seen twice."""
+    def blobs(rows: list[np.ndarray]):
+        shard, place, own, c, bucket, rank = (np.concatenate(x) for x in zip(*rows))
+        lead = _starts(bucket)  # rows of a bucket fall in c, and ranks rise
+        over = [np.maximum.reduceat(np.where(c > n, rank + 1, 0), lead) for n in (0, 1)]
+        stats = (bucket[lead], np.add.reduceat(own, lead), *over)
+        known = np.where(c > 1, ((rank << spread) | bucket) + FIRST, RARE)
+        at = np.flatnonzero((c > 1) | (c != own))
+        at = at[np.lexsort((place[at], shard[at]))]
+        cut = np.append(_starts(shard[at]), len(at))
+        parts = [at[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        n, m = len(parts), len(lead)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([int(shard[x[0]]) for x in parts] + [None] * m, pa.int64()),
+             pa.array([_written([place[x], c[x], known[x]]) for x in parts] + [None] * m, pa.binary()),
+             *[pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(x, pa.int64())]) for x in stats]],
+            names=["shard", "blob", "bucket", "tokens", "over_0", "over_1"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append([x.to_numpy(zero_copy_only=False).astype(np.int64) for x in batch.columns])
+                size += batch.num_rows
+            if size >= TOLD_ROWS:
+                yield from blobs(held)
+                held, size = [], 0
+        if held:
+            yield from blobs(held)
+    return run
+
+
+def _word_counts(shards: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
+    """What ``_told`` makes of every word of every shard, and the bits of a bucket. Words are dealt into
+    hash buckets of about 4096; an id is the word's rank by count in its bucket,
+    then the bucket, so frequent words get small ids. One exchange by bucket
+    serves all, and no task sees more than its buckets."""
     distinct = shards.select(F.explode("words").alias("word")).agg(F.approx_count_distinct("word")).first()[0]
     spread = (distinct >> 12).bit_length()
     single = shards.select("shard", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
-    rows = single.select("shard", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("own"),
-                         F.xxhash64("w.words").alias("hash")).withColumn(
-        "bucket", F.shiftrightunsigned("hash", 64 - spread) if spread else F.lit(0).cast("long"))
+    rows = single.select(
+        "shard", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("own"),
+        (F.shiftrightunsigned(F.xxhash64("w.words"), 64 - spread) if spread else F.lit(0).cast("long")).alias("bucket"))
     # sorts are led by the hash, which decides nearly every comparison
-    ranked = (rows.repartition("bucket").withColumn("c", F.sum("own").over(W.partitionBy("hash", "bucket", "word")))
+    ranked = (rows.repartition("bucket").withColumn("hash", F.xxhash64("word"))
+              .withColumn("c", F.sum("own").over(W.partitionBy("hash", "bucket", "word")))
               .withColumn("rank", F.dense_rank().over(W.partitionBy("bucket").orderBy(F.desc("c"), "hash", "word")) - 1))
-    return scratch.table(ranked.select("shard", "place", "own", "c", "bucket", "rank"), "words")
+    return scratch.table(ranked.select("shard", "place", "own", "c", "bucket", "rank").mapInArrow(
+        _told(spread), "shard long, blob binary, bucket long, tokens long, over_0 long, over_1 long"), "told"), spread
 
 
 def score(spark: SparkSession, docs: DataFrame, train: Column, part_tokens: int = PART_TOKENS) -> DataFrame:
@@ -412,30 +450,23 @@ def score(spark: SparkSession, docs: DataFrame, train: Column, part_tokens: int
     shards = scratch.bucketed(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(train, F.lit(False)).alias("train"))
         .mapInArrow(_shard, _SHARD).withColumn("shard", F.monotonically_increasing_id()), "shards", buckets, "shard")
-    words = _word_rows(shards, scratch)
-    # Ranks fall with the counts: those of the last word seen at all, and of the
-    # last one seen twice, say how many there are.
-    last = words.groupBy("bucket").agg(F.sum("own").alias("tokens"), *[
-        F.max(F.when(F.col("c") > n, F.col("rank") + 1)).alias(f"over_{n}") for n in (0, 1)])
-    tokens, distinct, often, most = (int(x or 0) for x in last.agg(
-        F.sum("tokens"), F.sum("over_0"), F.sum("over_1"), F.max("over_1")).first())
+    told, spread = _word_counts(shards, scratch)
+    last = (told.where("shard IS NULL").groupBy("bucket").agg(
+        F.sum("tokens").alias("tokens"), F.max("over_0").alias("over_0"), F.max("over_1").alias("over_1"))
+        .agg(F.sum("tokens"), F.sum("over_0"), F.sum("over_1"), F.max("over_1")).first())
+    tokens, distinct, often, most = (int(x or 0) for x in last)
     texts = shards.select(F.size(F.filter("train", lambda x: x)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     stats = _Stats(tokens, distinct, distinct - often, int(texts))
     parts = stats.tokens // part_tokens + 1
-
-    # An id is the rank, then the bucket: frequent words have small ids.
-    spread = int(words.agg(F.coalesce(F.max("bucket"), F.lit(0))).first()[0]).bit_length()
-    made = F.shiftleft(F.col("rank").cast("long"), spread).bitwiseOR(F.col("bucket")) + FIRST
     bits = (((most + 1) << spread) + FIRST).bit_length()
-    told = F.when((F.col("c") > 1) | (F.col("c") != F.col("own")),
-                  F.struct("place", "c", F.when(F.col("c") > 1, made).otherwise(F.lit(RARE).cast("long")).alias("id")))
-    local = scratch.bucketed(words.groupBy("shard").agg(F.collect_list(told).alias("local")), "local", buckets, "shard")
-    scratch.drop("words")
+
+    local = scratch.bucketed(told.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list("blob").alias("told")),
+                             "local", buckets, "shard")
+    scratch.drop("told")
     coded = shards.drop("words").join(local, "shard", "left")
-    answers = scratch.table(
-        coded.mapInArrow(_sent(stats, parts, part_tokens), "part long, shard long, bigrams binary, trigrams binary")
-        .groupBy("part").applyInArrow(_answered(bits), "shard long, part long, codes binary"), "answers")
-    by_shard = answers.groupBy("shard").agg(F.collect_list(F.struct("part", "codes")).alias("answers"))
+    by_shard = (coded.mapInArrow(_sent(stats, parts, part_tokens), "part long, shard long, bigrams binary, trigrams binary")
+                .groupBy("part").applyInArrow(_answered(bits), "shard long, part long, codes binary")
+                .groupBy("shard").agg(F.collect_list(F.struct("part", "codes")).alias("answers")))
     return coded.join(by_shard, "shard").mapInArrow(
         _scored(stats, parts, part_tokens),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
