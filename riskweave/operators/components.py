@@ -5,6 +5,12 @@ Components in MapReduce and Beyond", 2014): each step links the neighbours of a
 node to the smallest of them, so long paths shrink by a constant factor per
 round instead of by one node.
 
+The loop ends when every node is settled: either all its neighbours are larger
+(a root) or it has one neighbour, a smaller one (a leaf). Then the edges are
+stars around the smallest nodes of their components, and each step keeps
+components, so the result is exact. The job that writes the minima of a round
+counts the nodes that are not settled; no job compares whole states.
+
 Minima are aggregated before the shuffle and written, so the join of a hub's
 edges with its minimum has a plain file on either side and AQE may split it.
 """
@@ -17,37 +23,32 @@ from pyspark.sql import functions as F
 from ..scratch import Scratch
 
 
-def _mark(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("hi", "lo") % 1000003), F.lit(0))).first()
-
-
 def star_components(edges: DataFrame, scratch: Scratch, src: str = "src", dst: str = "dst",
                     on_round=None) -> DataFrame:
     """(node, component) for every node with an edge to another one; the
     component is its smallest node. The result is a table in ``scratch``."""
-    def table(df, name):
-        return scratch.table(df, name)
-
-    now = table(edges.select(F.greatest(src, dst).alias("hi"), F.least(src, dst).alias("lo"))
-                .where("hi <> lo").distinct(), "cc-0")
-    seen, rounds = _mark(now), 0
+    now = scratch.table(edges.select(F.greatest(src, dst).alias("hi"), F.least(src, dst).alias("lo"))
+                        .where("hi <> lo").distinct(), "cc-0")
+    rounds = 0
     while True:
         rounds += 1
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = table(both.groupBy("u").agg(F.min("v").alias("m"))
-                      .select("u", F.least("u", "m").alias("m")), f"cc-least-{rounds}")
-        large = table(both.join(least, "u").where("v > u")
-                      .select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct(),
-                      f"cc-large-{rounds}")
-        lowest = table(large.groupBy("hi").agg(F.min("lo").alias("m")), f"cc-lowest-{rounds}")
-        after = table(large.join(lowest, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-                      .unionByName(lowest.select("hi", F.col("m").alias("lo"))).distinct(), f"cc-{rounds}")
-        scratch.drop(f"cc-{rounds - 1}", f"cc-least-{rounds}", f"cc-large-{rounds}", f"cc-lowest-{rounds}")
-        now, before, seen = after, seen, _mark(after)
+        nodes = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("near"))
+        least, seen = scratch.counted(nodes, f"cc-least-{rounds}",
+                                      unsettled=F.count_if((F.col("m") < F.col("u")) & (F.col("near") > 1)))
         if on_round:
             on_round(rounds)
-        if seen == before:
+        if not seen["unsettled"]:
+            scratch.drop(f"cc-least-{rounds}")
             break
+        large = scratch.table(both.join(least.select("u", F.least("u", "m").alias("m")), "u").where("v > u")
+                              .select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct(),
+                              f"cc-large-{rounds}")
+        lowest = scratch.table(large.groupBy("hi").agg(F.min("lo").alias("m")), f"cc-lowest-{rounds}")
+        now = scratch.table(
+            large.join(lowest, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+            .unionByName(lowest.select("hi", F.col("m").alias("lo"))).distinct(), f"cc-{rounds}")
+        scratch.drop(f"cc-{rounds - 1}", f"cc-least-{rounds}", f"cc-large-{rounds}", f"cc-lowest-{rounds}")
     roots = now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     return roots.unionByName(now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())

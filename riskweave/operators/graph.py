@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,36 +28,62 @@ def valid_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                  .select(*edges.columns))
 
 
+def incident_counts(nodes: DataFrame, valid: DataFrame) -> DataFrame:
+    """The degree table that F3-F6 and F14-F19 read: for every node its in- and
+    out-edges and its self-loops among the valid edges (0 if it has none). One
+    shuffle of the edges' ends, combined before it."""
+    loop = (F.col("src") == F.col("dst")).cast("long")
+    ends = F.array(F.struct(F.col("src").alias("node_id"), F.lit(0).cast("long").alias("i"),
+                            F.lit(1).cast("long").alias("o"), loop.alias("l")),
+                   F.struct(F.col("dst").alias("node_id"), F.lit(1).cast("long").alias("i"),
+                            F.lit(0).cast("long").alias("o"), F.lit(0).cast("long").alias("l")))
+    counts = (valid.select(F.inline(ends)).groupBy("node_id")
+              .agg(F.sum("i").alias("in_degree"), F.sum("o").alias("out_degree"), F.sum("l").alias("self_loops")))
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("in_degree", "out_degree", "self_loops")]
+    return nodes.join(counts, "node_id", "left").select("node_type", "node_id", *zero)
+
+
+def _incident(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    return incident_counts(nodes, valid_edges(nodes, edges))
+
+
+def stats_from(incident: DataFrame) -> DataFrame:
+    """F3 from the degree table."""
+    return incident.agg(F.count(F.lit(1)).alias("vertex_count"),
+                        F.coalesce(F.sum("out_degree"), F.lit(0)).cast("long").alias("edge_count"))
+
+
 def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """vertex and (valid) edge counts as one row."""
-    v = nodes.agg(F.count(F.lit(1)).alias("vertex_count"))
-    e = valid_edges(nodes, edges).agg(F.count(F.lit(1)).alias("edge_count"))
-    return v.join(F.broadcast(e), how="inner")
+    return stats_from(_incident(nodes, edges))
 
 
-def _typed(counts: DataFrame, nodes: DataFrame, value: str) -> DataFrame:
-    return counts.join(nodes, "node_id").select("node_type", "node_id", value)
+def in_degree_from(incident: DataFrame) -> DataFrame:
+    return incident.where("in_degree > 0").select("node_type", "node_id", "in_degree")
 
 
 def in_degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """nodes with at least one in-edge."""
-    counts = (valid_edges(nodes, edges).groupBy(F.col("dst").alias("node_id"))
-              .agg(F.count(F.lit(1)).alias("in_degree")))
-    return _typed(counts, nodes, "in_degree")
+    return in_degree_from(_incident(nodes, edges))
+
+
+def out_degree_from(incident: DataFrame) -> DataFrame:
+    return incident.where("out_degree > 0").select("node_type", "node_id", "out_degree")
 
 
 def out_degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """nodes with at least one out-edge."""
-    counts = (valid_edges(nodes, edges).groupBy(F.col("src").alias("node_id"))
-              .agg(F.count(F.lit(1)).alias("out_degree")))
-    return _typed(counts, nodes, "out_degree")
+    return out_degree_from(_incident(nodes, edges))
+
+
+def degree_from(incident: DataFrame) -> DataFrame:
+    return (incident.where("in_degree + out_degree > 0")
+            .select("node_type", "node_id", (F.col("in_degree") + F.col("out_degree")).alias("degree")))
 
 
 def degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """in + out degree; isolated nodes are absent; a self-loop counts twice."""
-    ends = valid_edges(nodes, edges).select(F.explode(F.array("src", "dst")).alias("node_id"))
-    counts = ends.groupBy("node_id").agg(F.count(F.lit(1)).alias("degree"))
-    return _typed(counts, nodes, "degree")
+    return degree_from(_incident(nodes, edges))
 
 
 #: Edges of one loop partition. A source with more out-edges is dealt over
@@ -78,66 +103,74 @@ def pagerank(nodes: DataFrame, edges: DataFrame, tol: float = K.PAGERANK_TOL,
     scaled by N / sum so they add up to the number of nodes (isolated nodes
     included). With ``max_iter``, a run that would need more rounds raises.
 
-    The valid edges are evaluated once, into a table; degrees, weights and salts
-    come from that table. The weighted edges are dealt once by (src, salt),
-    ``ceil(edges / EDGES_PER_PARTITION)`` partitions, and stay there: a round
-    moves only vertex-sized data (a sender's row once per salt, the map-side
-    combined messages, the state). Each round's state is a table in the shared
-    checkpoint folder; the one before is deleted.
+    The valid edges become one table in buckets of (src, salt), sorted, about
+    ``EDGES_PER_PARTITION`` edges a bucket; every round reads it bucket by bucket,
+    without an exchange, and a lost executor rereads files. A round moves only
+    vertex-sized data (a sender's row once per salt, the map-side combined
+    messages, the state). Each round's state is a table in the shared checkpoint
+    folder, whose job also counts who can send; the one before is deleted. The
+    last state stays; the other tables go, also if the loop raises.
     """
     scratch = Scratch(nodes.sparkSession, "pagerank")
     damp = 1.0 - reset
-    e = scratch.table(valid_edges(nodes, edges).select("src", "dst"), "edges")
-    parts = max(1, math.ceil(e.count() / EDGES_PER_PARTITION))
-    outdeg = scratch.table(
-        e.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
-         .withColumn("salts", F.ceil(F.col("out") / F.lit(EDGES_PER_PARTITION)).cast("int")), "outdeg")
-    weighted = (e.join(outdeg, "src")
-                 .select("src", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"), "dst",
-                         (F.lit(1.0) / F.col("out")).alias("w"))
-                 .repartition(parts, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK))
-
-    # A vertex without out-edges (no salts) never sends; knowing that ends the
-    # loop one round earlier on acyclic graphs.
-    state = scratch.table(
-        nodes.select("node_id")
-             .join(outdeg.select(F.col("src").alias("node_id"), "salts"), "node_id", "left")
-             .select("node_id", F.lit(reset).alias("pr"), F.lit(reset).alias("delta"),
-                     F.lit(True).alias("active"), "salts"), "state-0")
-
-    def can_send(df):
-        return df.where(F.col("active") & F.col("salts").isNotNull() & (F.col("delta") > tol))
-
-    pending = can_send(state).count()
-    rounds = 0
-    while pending:
-        if max_iter is not None and rounds >= max_iter:
-            raise RuntimeError(f"PageRank has not converged after {rounds} rounds")
-        senders = can_send(state).select(F.col("node_id").alias("src"), "delta",
-                                         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        msgs = (weighted.join(senders, ["src", "salt"])
-                        .groupBy(F.col("dst").alias("node_id"))
-                        .agg(F.sum(F.col("delta") * F.col("w")).alias("_msg")))
-        got = F.col("_msg").isNotNull()
-        new_pr = F.col("pr") + F.lit(damp) * F.col("_msg")
-        nxt = state.join(msgs, "node_id", "left").select(
-            "node_id",
-            F.when(got, new_pr).otherwise(F.col("pr")).alias("pr"),
-            F.when(got, new_pr - F.col("pr")).otherwise(F.col("delta")).alias("delta"),
-            got.alias("active"),
-            "salts",
-        )
-        rounds += 1
-        state = scratch.table(nxt, f"state-{rounds}")
-        scratch.drop(f"state-{rounds - 1}")
-        pending = can_send(state).count()
-    weighted.unpersist()
-    scratch.drop("edges", "outdeg")
+    ready = F.col("active") & F.col("salts").isNotNull() & (F.col("delta") > tol)
+    sending = F.count_if(ready)
+    try:
+        e, seen = scratch.counted(valid_edges(nodes, edges).select("src", "dst"), "edges", edges=F.count(F.lit(1)))
+        # no fewer buckets than shuffle partitions, or a join would deal them anew
+        buckets = max(math.ceil(seen["edges"] / EDGES_PER_PARTITION),
+                      int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        outdeg = scratch.table(
+            e.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
+             .withColumn("salts", F.ceil(F.col("out") / F.lit(EDGES_PER_PARTITION)).cast("int")), "outdeg")
+        weighted = scratch.bucketed(
+            e.join(outdeg, "src")
+             .select("src", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"), "dst",
+                     (F.lit(1.0) / F.col("out")).alias("w"))
+             .repartition(buckets, "src", "salt"), "weighted", buckets, "src", "salt")
+        scratch.drop("edges")
+
+        # A vertex without out-edges (no salts) never sends; knowing that ends the
+        # loop one round earlier on acyclic graphs.
+        state, seen = scratch.counted(
+            nodes.select("node_id")
+                 .join(outdeg.select(F.col("src").alias("node_id"), "salts"), "node_id", "left")
+                 .select("node_id", F.lit(reset).alias("pr"), F.lit(reset).alias("delta"),
+                         F.lit(True).alias("active"), "salts"), "state-0", sending=sending)
+        rounds = 0
+        while seen["sending"]:
+            if max_iter is not None and rounds >= max_iter:
+                raise RuntimeError(f"PageRank has not converged after {rounds} rounds")
+            rounds += 1
+            state, seen = scratch.counted(_round(state, weighted, ready, damp), f"state-{rounds}", sending=sending)
+            scratch.drop(f"state-{rounds - 1}")
+    except BaseException:
+        scratch.clear()
+        raise
+    scratch.drop("outdeg", "weighted")
 
     total = state.agg(F.sum("pr").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     scaled = state.join(F.broadcast(total), how="inner").select(
         "node_id", (F.col("pr") * (F.col("_n") / F.col("_sum"))).alias("pagerank"))
-    return _typed(scaled, nodes, "pagerank")
+    return scaled.join(nodes, "node_id").select("node_type", "node_id", "pagerank")
+
+
+def _round(state: DataFrame, weighted: DataFrame, ready: F.Column, damp: float) -> DataFrame:
+    """The next state: messages of the vertices that can send, along the edges."""
+    senders = state.where(ready).select(F.col("node_id").alias("src"), "delta",
+                                        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    msgs = (weighted.join(senders.hint("merge"), ["src", "salt"])
+                    .groupBy(F.col("dst").alias("node_id"))
+                    .agg(F.sum(F.col("delta") * F.col("w")).alias("_msg")))
+    got = F.col("_msg").isNotNull()
+    new_pr = F.col("pr") + F.lit(damp) * F.col("_msg")
+    return state.join(msgs, "node_id", "left").select(
+        "node_id",
+        F.when(got, new_pr).otherwise(F.col("pr")).alias("pr"),
+        F.when(got, new_pr - F.col("pr")).otherwise(F.col("delta")).alias("delta"),
+        got.alias("active"),
+        "salts",
+    )
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -204,63 +237,53 @@ def _retention_level(col) -> F.Column:
     return at_least(col, K.RETENTION_CUTS, K.RETENTION_LABELS, K.RETENTION_ELSE)
 
 
-def removal_impact(nodes: DataFrame, edges: DataFrame, ranked: DataFrame, score: str) -> DataFrame:
-    """Remove the top node of ``ranked`` by ``score`` (ties by type, id)
-    and measure affected edges, what remains and the retention resilience.
+def _impact(affected: F.Column) -> list[F.Column]:
+    """The measures of a removal beside total_edges and remaining_vertices."""
+    total, remaining = F.col("total_edges"), F.col("total_edges") - affected
+    score = F.when(total > 0, remaining / total * 100.0).otherwise(F.lit(100.0))
+    return [affected.alias("affected_edges"), "total_edges",
+            F.when(total > 0, affected / total * 100.0).otherwise(F.lit(0.0)).alias("affected_percentage"),
+            "remaining_vertices", remaining.alias("remaining_edges"), score.alias("resilience_score"),
+            _retention_level(score).alias("resilience_level")]
 
-    Everything is one-row aggregates joined together: no value goes through
-    the driver.
-    """
+
+def _affected() -> F.Column:
+    """Valid edges that go with a node: a self-loop is one edge."""
+    return F.col("in_degree") + F.col("out_degree") - F.col("self_loops")
+
+
+def removal_impact_from(incident: DataFrame, ranked: DataFrame, score: str) -> DataFrame:
+    """F14-F18 from the degree table: the node's counts are looked up, the edges
+    are not read again."""
     top = (ranked.orderBy(F.col(score).desc_nulls_last(), F.col("node_type"), F.col("node_id"))
                  .limit(1)
                  .select(F.col("node_id").alias("failed_node_id"),
                          F.col("node_type").alias("failed_node_type"),
                          F.col(score).alias(score)))
-    e = valid_edges(nodes, edges)
-    failed = F.col("failed_node_id")
-    edge_stats = e.join(F.broadcast(top), how="inner").agg(
-        F.count_if((F.col("src") == failed) | (F.col("dst") == failed)).alias("affected_edges"))
-    totals = e.agg(F.count(F.lit(1)).alias("total_edges"))
-    vertex_stats = nodes.join(F.broadcast(top), how="inner").agg(
-        F.count_if(F.col("node_id") != failed).alias("remaining_vertices"))
-    row = (top.join(F.broadcast(edge_stats), how="inner")
-              .join(F.broadcast(totals), how="inner")
-              .join(F.broadcast(vertex_stats), how="inner"))
-    total = F.col("total_edges")
-    remaining = total - F.col("affected_edges")
-    out = row.select(
-        "failed_node_id", "failed_node_type", score, "affected_edges", "total_edges",
-        F.when(total > 0, F.col("affected_edges") / total * 100.0).otherwise(F.lit(0.0))
-         .alias("affected_percentage"),
-        "remaining_vertices",
-        remaining.alias("remaining_edges"),
-        F.when(total > 0, remaining / total * 100.0).otherwise(F.lit(100.0)).alias("resilience_score"),
-    )
-    return out.select("*", _retention_level(F.col("resilience_score")).alias("resilience_level"))
+    failed = F.col("node_id") == F.col("failed_node_id")
+    row = (incident.join(F.broadcast(top), how="inner")
+           .groupBy("failed_node_id", "failed_node_type", score)
+           .agg(F.coalesce(F.sum(F.when(failed, _affected())), F.lit(0)).cast("long").alias("_affected"),
+                F.sum("out_degree").alias("total_edges"), F.count_if(~failed).alias("remaining_vertices")))
+    return row.select("failed_node_id", "failed_node_type", score, *_impact(F.col("_affected")))
+
+
+def removal_impact(nodes: DataFrame, edges: DataFrame, ranked: DataFrame, score: str) -> DataFrame:
+    """Remove the top node of ``ranked`` by ``score`` (ties by type, id)
+    and measure affected edges, what remains and the retention resilience."""
+    return removal_impact_from(_incident(nodes, edges), ranked, score)
+
+
+def removal_impact_all_from(incident: DataFrame) -> DataFrame:
+    """F19 from the degree table; the totals are one row."""
+    totals = incident.agg(F.sum("out_degree").alias("total_edges"), (F.count(F.lit(1)) - 1).alias("remaining_vertices"))
+    return incident.join(F.broadcast(totals), how="inner").select(
+        F.col("node_id").alias("failed_node_id"), F.col("node_type").alias("failed_node_type"), *_impact(_affected()))
 
 
 def removal_impact_all(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """removal impact of every node in one pass.
 
-    affected = incident valid edges (a self-loop counted once); the totals are
-    one-row aggregates broadcast to all nodes.
+    affected = incident valid edges (a self-loop counted once).
     """
-    e = valid_edges(nodes, edges)
-    incident = (e.select(F.explode(F.array_distinct(F.array("src", "dst"))).alias("node_id"))
-                 .groupBy("node_id").agg(F.count(F.lit(1)).alias("_aff")))
-    totals = (e.agg(F.count(F.lit(1)).alias("total_edges"))
-               .join(nodes.agg(F.count(F.lit(1)).alias("_n")), how="inner"))
-    per_node = nodes.join(incident, "node_id", "left").join(F.broadcast(totals), how="inner")
-    aff = F.coalesce(F.col("_aff"), F.lit(0)).cast("bigint")
-    total = F.col("total_edges")
-    out = per_node.select(
-        F.col("node_id").alias("failed_node_id"),
-        F.col("node_type").alias("failed_node_type"),
-        aff.alias("affected_edges"),
-        "total_edges",
-        F.when(total > 0, aff / total * 100.0).otherwise(F.lit(0.0)).alias("affected_percentage"),
-        (F.col("_n") - 1).alias("remaining_vertices"),
-        (total - aff).alias("remaining_edges"),
-        F.when(total > 0, (total - aff) / total * 100.0).otherwise(F.lit(100.0)).alias("resilience_score"),
-    )
-    return out.select("*", _retention_level(F.col("resilience_score")).alias("resilience_level"))
+    return removal_impact_all_from(_incident(nodes, edges))

@@ -241,7 +241,7 @@ def q_top_connections(spark, sf_dir):
 def q_graph_summary(spark, sf_dir):
     nodes, edges = nodes_table(spark, sf_dir), edges_table(spark, sf_dir)
     routes = route_edges_table(spark, sf_dir)
-    stats = graph.graph_stats(nodes, edges)
+    stats = graph.stats_from(incident_table(spark, sf_dir))
     return (nodes.agg(F.count(F.lit(1)).alias("total_nodes"))
             .join(F.broadcast(edges.agg(F.count(F.lit(1)).alias("total_edges"))), how="inner")
             .join(F.broadcast(routes.agg(F.count(F.lit(1)).alias("total_route_edges"))), how="inner")
@@ -252,14 +252,27 @@ def q_graph_summary(spark, sf_dir):
 # F: graph analytics
 # --------------------------------------------------------------------------
 
+def valid_table(spark, sf_dir):
+    """F2, evaluated once a session; degrees and removals follow from it."""
+    return shared_table(spark, sf_dir, "valid_edges",
+                        lambda: graph.valid_edges(nodes_table(spark, sf_dir), edges_table(spark, sf_dir)))
+
+
+def incident_table(spark, sf_dir):
+    return shared_table(spark, sf_dir, "incident_counts",
+                        lambda: graph.incident_counts(nodes_table(spark, sf_dir), valid_table(spark, sf_dir)))
+
+
 def pagerank_table(spark, sf_dir):
-    return shared_table(spark, sf_dir, "pagerank",
-                        lambda: graph.pagerank(nodes_table(spark, sf_dir), edges_table(spark, sf_dir)))
+    return shared_table(spark, sf_dir, "pagerank", lambda: _pagerank(spark, sf_dir))
+
+
+def _pagerank(spark, sf_dir):
+    return graph.pagerank(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
 
 
 def degree_table(spark, sf_dir):
-    return shared_table(spark, sf_dir, "degree",
-                        lambda: graph.degree(nodes_table(spark, sf_dir), edges_table(spark, sf_dir)))
+    return graph.degree_from(incident_table(spark, sf_dir))
 
 
 def criticality_table(spark, sf_dir):
@@ -273,27 +286,27 @@ def _pr6(df: DataFrame) -> DataFrame:
 
 @query("valid_edges")
 def q_valid_edges(spark, sf_dir):
-    return graph.valid_edges(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+    return valid_table(spark, sf_dir)
 
 
 @query("in_degree")
 def q_in_degree(spark, sf_dir):
-    return graph.in_degree(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+    return graph.in_degree_from(incident_table(spark, sf_dir))
 
 
 @query("out_degree")
 def q_out_degree(spark, sf_dir):
-    return graph.out_degree(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+    return graph.out_degree_from(incident_table(spark, sf_dir))
 
 
 @query("degree")
 def q_degree(spark, sf_dir):
-    return graph.degree(nodes_table(spark, sf_dir), edges_table(spark, sf_dir))
+    return graph.degree_from(incident_table(spark, sf_dir))
 
 
 @query("pagerank")
 def q_pagerank(spark, sf_dir):
-    return _pr6(graph.pagerank(nodes_table(spark, sf_dir), edges_table(spark, sf_dir)))
+    return _pr6(_pagerank(spark, sf_dir))
 
 
 @query("top_pagerank_by_type")
@@ -346,22 +359,19 @@ IMPACT_DOUBLES = ("affected_percentage", "resilience_score")
 
 @query("removal_impact_top")
 def q_removal_impact_top(spark, sf_dir):
-    nodes, edges = nodes_table(spark, sf_dir), edges_table(spark, sf_dir)
-    return round6(graph.removal_impact(nodes, edges, criticality_table(spark, sf_dir),
-                                       "criticality_score"), *IMPACT_DOUBLES)
+    return round6(graph.removal_impact_from(incident_table(spark, sf_dir), criticality_table(spark, sf_dir),
+                                            "criticality_score"), *IMPACT_DOUBLES)
 
 
 @query("removal_impact_pagerank")
 def q_removal_impact_pagerank(spark, sf_dir):
-    nodes, edges = nodes_table(spark, sf_dir), edges_table(spark, sf_dir)
-    return round6(graph.removal_impact(nodes, edges, _pr6(pagerank_table(spark, sf_dir)),
-                                       "pagerank"), *IMPACT_DOUBLES)
+    return round6(graph.removal_impact_from(incident_table(spark, sf_dir), _pr6(pagerank_table(spark, sf_dir)),
+                                            "pagerank"), *IMPACT_DOUBLES)
 
 
 @query("removal_impact_all")
 def q_removal_impact_all(spark, sf_dir):
-    return round6(graph.removal_impact_all(nodes_table(spark, sf_dir), edges_table(spark, sf_dir)),
-                  *IMPACT_DOUBLES)
+    return round6(graph.removal_impact_all_from(incident_table(spark, sf_dir)), *IMPACT_DOUBLES)
 
 
 # --------------------------------------------------------------------------

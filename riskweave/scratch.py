@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .session import checkpoint_dir
 
@@ -35,6 +36,14 @@ class Scratch:
         self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def counted(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+        """A table and aggregates of its rows, observed by the job that writes
+        it: no second job, exact, 0 if there is no row."""
+        seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        table = self.table(df.observe(seen, *[F.coalesce(m, F.lit(0)).alias(k) for k, m in metrics.items()]), name)
+        found = seen.get
+        return table, {k: found.get(k) or 0 for k in metrics}
+
     def bucketed(self, df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
         """A table whose rows are hashed by ``keys`` into sorted buckets: joins
         on the keys read it bucket by bucket, without an exchange, as often as
