@@ -9,10 +9,11 @@ warehouse serving a third of all rows) never reach one reducer un-combined.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..sources.tables import write_result
 
 # (fact column, node type) per layer, in layer order.
 NODE_SOURCES = tuple(zip(("Supplier_ID", "Warehouse_ID", "DC_ID", "Destination_ID"),
@@ -67,8 +68,10 @@ def layer_edges(fact: DataFrame, src: str, dst: str, relationship: str) -> DataF
                         "transaction_count", "avg_delivery_delay"))
 
 
-def graph_edges(fact: DataFrame) -> DataFrame:
-    """The three layers from one scan and one aggregation."""
+def edge_state(fact: DataFrame) -> DataFrame:
+    """E7-E10 as mergeable state of one batch of fact rows: per edge its rows
+    and, for the average delay, the sum and count of non-NULL delays. One scan
+    and one aggregation for the three layers."""
     tuples = F.array(*[
         F.struct(F.col(s).cast("string").alias("src"), F.col(d).cast("string").alias("dst"),
                  F.lit(rel).alias("relationship"))
@@ -76,9 +79,39 @@ def graph_edges(fact: DataFrame) -> DataFrame:
     ])
     exploded = (fact.select(F.inline(tuples), "delivery_delay_days")
                     .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
-    return (exploded.groupBy("src", "dst", "relationship")
-                    .agg(F.count(F.lit(1)).alias("transaction_count"),
-                         F.round(F.avg("delivery_delay_days"), 2).alias("avg_delivery_delay")))
+    return exploded.groupBy("src", "dst", "relationship").agg(
+        F.count(F.lit(1)).alias("transactions"), F.sum("delivery_delay_days").alias("delay_sum"),
+        F.count("delivery_delay_days").alias("delay_count"))
+
+
+def merged_edge_state(state: DataFrame) -> DataFrame:
+    """State rows of several batches added up, one row an edge."""
+    return state.groupBy("src", "dst", "relationship").agg(
+        *[F.sum(c).alias(c) for c in ("transactions", "delay_sum", "delay_count")])
+
+
+def edges_from_state(state: DataFrame) -> DataFrame:
+    """E10 from (merged) state: the rounded average is derived, never merged."""
+    return state.select("src", "dst", "relationship", F.col("transactions").alias("transaction_count"),
+                        F.round(F.col("delay_sum") / F.when(F.col("delay_count") > 0, F.col("delay_count")), 2)
+                        .alias("avg_delivery_delay"))
+
+
+def graph_edges(fact: DataFrame) -> DataFrame:
+    """The three layers from one scan and one aggregation."""
+    return edges_from_state(edge_state(fact))
+
+
+def update_edge_state(path: str, batch: str, fact: DataFrame) -> None:
+    """Add a batch of fact rows to the edge state under ``path``. Only the
+    batch's rows are read. A batch that is written again replaces itself, so a
+    job that failed may be run once more."""
+    write_result(edge_state(fact), path, f"batch={batch}")
+
+
+def read_edge_state(spark: SparkSession, path: str) -> DataFrame:
+    """The edge state of all batches, merged."""
+    return merged_edge_state(spark.read.parquet(path).drop("batch"))
 
 
 def relationship_counts(edges: DataFrame) -> DataFrame:

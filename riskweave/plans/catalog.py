@@ -15,10 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, features, graph, network, reports, resilience
+from ..operators import clean, features, graph, network, report_pass, reports, resilience
 from ..sources.fact import FACT_SCHEMA, load_fact
-from ..sources.tables import read_raw_csv, read_table, register_fact, write_csv, write_result
-from .context import known, shared_table
+from ..sources.tables import read_checked_csv, read_raw_csv, read_table, register_fact, write_csv, write_result
+from .context import known, shared_path, shared_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,6 +68,31 @@ def q_csv_roundtrip(spark, sf_dir):
                         lambda df, scratch: read_raw_csv(spark, write_csv(df, scratch.path("raw_csv")), FACT_SCHEMA))
 
 
+@query("csv_quarantine")
+def q_csv_quarantine(spark, sf_dir):
+    """A1: a CSV of fact rows in which every 13th order has a delay that is no
+    number and every 17th lacks its last value; accepted and rejected lines."""
+    def spoilt(df):
+        order, supplier = F.col("order_id"), F.coalesce("Supplier_ID", F.lit("none"))
+        delay = F.when(order % 13 == 0, F.concat(F.lit("x"), F.col("delivery_delay_days"))).otherwise(
+            F.col("delivery_delay_days").cast("string"))
+        return F.when(order % 17 == 0, F.concat_ws(",", order, delay)).otherwise(F.concat_ws(",", order, delay, supplier))
+
+    def write(df, scratch):
+        path = scratch.path("spoilt_csv")
+        # the header is the first line of every file, as a CSV writer has it
+        df.select(spoilt(df).alias("order_id,delivery_delay_days,Supplier_ID")).write.option("header", True) \
+          .option("quote", "").option("sep", "\u0001").mode("overwrite").csv(path)
+        scratch.names.add("spoilt_csv")
+        return spark.read.text(path)
+
+    shared_table(spark, sf_dir, "spoilt_csv", lambda: raw_fact(spark, sf_dir).where("delivery_delay_days IS NOT NULL"), write)
+    path = shared_path(spark, sf_dir, "spoilt_csv")
+    good, bad = read_checked_csv(spark, path, "order_id bigint, delivery_delay_days bigint, Supplier_ID string")
+    return (good.select("*", F.lit(None).cast("string").alias("raw_line"))
+            .unionByName(bad.select("raw_line"), allowMissingColumns=True))
+
+
 @query("parquet_roundtrip")
 def q_parquet_roundtrip(spark, sf_dir):
     """A2 + A3: a result written to its Parquet directory and read back."""
@@ -167,20 +192,32 @@ REPORTS = {
 }
 
 
-def _report_query(fn):
+def groups_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All groupings of D2-D13, from one pass over the fact."""
+    return shared_table(spark, sf_dir, "report_groups", lambda: report_pass.report_groups(processed_fact(spark, sf_dir)),
+                        report_pass.written_groups)
+
+
+def _report(spark, sf_dir, key):
+    if key in report_pass.GROUPINGS:
+        return report_pass.report(groups_table(spark, sf_dir), key)
+    return REPORTS[key](processed_fact(spark, sf_dir))
+
+
+def _report_query(key):
     def run(spark, sf_dir):
-        return fn(processed_fact(spark, sf_dir))
+        return _report(spark, sf_dir, key)
     return run
 
 
-for _key, _fn in REPORTS.items():
-    QUERIES[_key] = _report_query(_fn)
+for _key in REPORTS:
+    QUERIES[_key] = _report_query(_key)
 
 
 def report_table(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """A report as the resilience stage reads it: written once, read back."""
     return shared_table(spark, sf_dir, f"report_{key}",
-                        lambda: REPORTS[key](processed_fact(spark, sf_dir)))
+                        lambda: _report(spark, sf_dir, key))
 
 
 # --------------------------------------------------------------------------

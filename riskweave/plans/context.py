@@ -42,6 +42,11 @@ def shared_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
         return _TABLES[key][0]
 
 
+def shared_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The folder of an intermediate that has been written."""
+    return _TABLES[_key(spark, sf_dir, name)][1].path(name)
+
+
 def known(spark: SparkSession, sf_dir: str, name: str) -> DataFrame | None:
     """The intermediate if it has been written already."""
     return _TABLES.get(_key(spark, sf_dir, name), (None, None))[0]

@@ -805,4 +805,12 @@ SELECT {R6('r.graphx_resilience_score')} AS graphx_resilience_score, r.graphx_re
 {_ROLLUP_FROM}""", *_ROLLUP_DEPS))
 
 
+register("csv_quarantine", q("""
+SELECT CASE WHEN good THEN order_id END AS order_id, CASE WHEN good THEN delivery_delay_days END AS delivery_delay_days,
+       CASE WHEN good THEN supplier END AS Supplier_ID, CASE WHEN NOT good THEN raw END AS raw_line
+FROM (SELECT order_id, delivery_delay_days, coalesce(Supplier_ID, 'none') AS supplier,
+             order_id % 13 <> 0 AND order_id % 17 <> 0 AS good,
+             order_id || ',' || CASE WHEN order_id % 13 = 0 THEN 'x' ELSE '' END || delivery_delay_days
+             || CASE WHEN order_id % 17 = 0 THEN '' ELSE ',' || coalesce(Supplier_ID, 'none') END AS raw
+      FROM raw_fact WHERE delivery_delay_days IS NOT NULL) r""", "raw_fact"))
 register("csv_roundtrip", q("SELECT * FROM raw_fact", "raw_fact"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import clean, features, graph, network, reports, resilience
+from ..operators import clean, features, graph, network, report_pass, reports, resilience
+from ..scratch import Scratch
 from ..sources.tables import read_table, write_result
 
 REPORTS = ("overall_kpi", "delivery_performance", "region_analysis", "supplier_risk", "top_high_risk_suppliers",
@@ -23,7 +24,12 @@ def write_all(spark: SparkSession, raw_fact: DataFrame, base: str) -> dict[str,
         return read_table(spark, paths[name])
 
     fact = written("processed_fact", features.add_risk_features(clean.clean_fact(raw_fact)))
-    report = {name: written(name, getattr(reports, name)(fact)) for name in REPORTS}
+    # the grouped reports share one scan of the fact
+    scratch = Scratch(spark, "report-groups")
+    groups = report_pass.written_groups(report_pass.report_groups(fact), scratch)
+    report = {name: written(name, report_pass.report(groups, name) if name in report_pass.GROUPINGS
+                            else getattr(reports, name)(fact)) for name in REPORTS}
+    scratch.clear()
 
     nodes = written("graph_nodes", network.graph_nodes(fact))
     edges = written("graph_edges", network.graph_edges(fact))
@@ -31,17 +37,21 @@ def write_all(spark: SparkSession, raw_fact: DataFrame, base: str) -> dict[str,
     written("route_network_summary", network.route_network_summary(routes))
     written("top_connections", network.top_connections(edges))
 
-    for name in ("in_degree", "out_degree"):
-        written(name, getattr(graph, name)(nodes, edges))
-    degree = written("degree", graph.degree(nodes, edges))
+    written("edge_criticality", graph.edge_criticality(nodes, edges))
+    incident = written("incident_counts", graph.incident_counts(nodes, graph.valid_edges(nodes, edges)))
+    written("in_degree", graph.in_degree_from(incident))
+    written("out_degree", graph.out_degree_from(incident))
+    degree = written("degree", graph.degree_from(incident))
     ranks = written("pagerank", graph.pagerank(nodes, edges))
+    written("top_pagerank_by_type", graph.top_by_type(ranks, "pagerank"))
     components = written("connected_components", graph.connected_components(nodes, edges))
     written("component_sizes", graph.component_sizes(components))
     critical = written("critical_nodes", graph.node_criticality(ranks, degree))
     written("top_critical_by_type", graph.top_by_type(critical, "criticality_score"))
     written("top_critical_edges", graph.top_critical_edges(nodes, edges))
-    written("removal_impact_top", graph.removal_impact(nodes, edges, critical, "criticality_score"))
-    written("removal_impact_all", graph.removal_impact_all(nodes, edges))
+    written("removal_impact_top", graph.removal_impact_from(incident, critical, "criticality_score"))
+    written("removal_impact_pagerank", graph.removal_impact_from(incident, ranks, "pagerank"))
+    written("removal_impact_all", graph.removal_impact_all_from(incident))
 
     suppliers = written("supplier_scores", resilience.supplier_scores(report["supplier_risk"]))
     warehouses = written("warehouse_scores", resilience.warehouse_scores(report["warehouse_inventory"]))

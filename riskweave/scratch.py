@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from .session import checkpoint_dir
 
+#: How long the metrics of a finished write may take to arrive.
+EVENT_SECONDS = 20
+
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system that its path names."""
@@ -17,6 +21,24 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def replace_path(spark: SparkSession, made: str, path: str) -> None:
+    """Put the complete folder ``made`` where ``path`` is. The old folder is
+    moved aside first and deleted last; if the switch fails it is moved back."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, target, old = Path(made), Path(path), Path(f"{made}.old")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot move {made} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
 class Scratch:
     """The intermediate tables of one run. A written table cuts lineage (lost
     executors reread files) and is a plain scan to the optimizer, so joins on it
@@ -38,9 +60,16 @@ class Scratch:
 
     def counted(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
         """A table and aggregates of its rows, observed by the job that writes
-        it: no second job, exact, 0 if there is no row."""
+        it: no second job, exact, 0 if there is no row. The observation comes
+        with a listener event; should that event be lost, the table is asked."""
+        wanted = [F.coalesce(m, F.lit(0)).alias(k) for k, m in metrics.items()]
         seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-        table = self.table(df.observe(seen, *[F.coalesce(m, F.lit(0)).alias(k) for k, m in metrics.items()]), name)
+        table = self.table(df.observe(seen, *wanted), name)
+        until = time.monotonic() + EVENT_SECONDS
+        while not seen._jo.future().isCompleted():
+            if time.monotonic() > until:
+                return table, table.agg(*wanted).first().asDict()
+            time.sleep(0.002)
         found = seen.get
         return table, {k: found.get(k) or 0 for k in metrics}
 

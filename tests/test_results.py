@@ -4,6 +4,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from riskweave.operators import graph, reports
@@ -16,10 +17,13 @@ from test_graph import make
 
 def test_write_all_writes_each_result(spark, tmp_path):
     paths = results.write_all(spark, load_fact(spark, SF001), str(tmp_path))
-    assert len(paths) == 41 and all(os.path.isdir(p) for p in paths.values())
-    got = spark.read.parquet(paths["region_analysis"])
-    want = reports.region_analysis(catalog.processed_fact(spark, SF001))
-    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+    assert len(paths) == 45 and all(os.path.isdir(p) for p in paths.values())
+    assert not [f for f in os.listdir(tmp_path) if f.startswith("_staging")]
+    fact = spark.read.parquet(paths["processed_fact"])
+    for name in results.REPORTS:
+        got, want = (d.withColumns({c: F.round(c, 1) for c, t in d.dtypes if t == "double"})
+                     for d in (spark.read.parquet(paths[name]), getattr(reports, name)(fact)))
+        assert got.columns == want.columns and got.exceptAll(want).count() == 0 and got.count() == want.count(), name
 
 
 def test_forget_deletes_tables(spark):
