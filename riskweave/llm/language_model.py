@@ -50,7 +50,7 @@ PAD, END, RARE, FIRST = 0, 1, 2, 3
 #: Weights of the lower level in a bigram's and a trigram's context.
 KAPPA = (20.0, 4.0)
 #: Text bytes of a shard (one text at least).
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 12 << 20
 #: Tokens of a part of the model (about 100 MB while it is built).
 PART_TOKENS = 500_000
 #: Word rows that a task holds before it sends them to their shards.
