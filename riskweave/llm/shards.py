@@ -90,7 +90,8 @@ def with_local(shards: DataFrame, words: DataFrame, values: list[str], *by: str)
     place in the shard's list and the ``values``."""
     single = shards.select("shard", *by, F.posexplode("words").alias("place", "word"))
     known = F.when(F.col(values[0]).isNotNull(), F.struct("place", *values))
-    local = single.join(words, ["word", *by], "left").groupBy("shard").agg(F.collect_list(known).alias("local"))
+    # a sort-merge join at every size: the words grow with the corpus
+    local = single.join(words.hint("merge"), ["word", *by], "left").groupBy("shard").agg(F.collect_list(known).alias("local"))
     return shards.withColumn("distinct", F.size("words")).drop("words").join(local, "shard")
 
 
