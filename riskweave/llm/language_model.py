@@ -338,8 +338,7 @@ def _sent(stats: _Stats, parts: int, part_tokens: int):
 
 def _answered(bits: int):
     """Build the part's trie from the counts of all shards; answer each shard."""
-    def merged(rows: list[list[np.ndarray]], keys: int) -> list[np.ndarray]:
-        columns = [np.concatenate(c) for c in zip(*rows)] if rows else [np.zeros(0, np.int64)] * (keys + 2)
+    def merged(columns: list[np.ndarray], keys: int) -> list[np.ndarray]:
         seen = np.flatnonzero(columns[keys])
         columns = [c[seen] for c in columns]
         order, first = _distinct(columns[:keys], bits, "stable")  # merges the shards' sorted stretches
@@ -347,14 +346,17 @@ def _answered(bits: int):
         return [*[c[order[first]] for c in columns[:keys]], counts, *[c[order[first]] for c in columns[keys + 1:]]]
 
     def run(table: pa.Table) -> pa.Table:
-        asked = [[_read(x) if x.is_valid else None for x in table.column(c)] for c in ("bigrams", "trigrams")]
-        two, three = (merged([r for r in rows if r is not None], k) for rows, k in zip(asked, (2, 3)))
-        trie = Trie(_mapped(Trie.built(two, three[:4])))
-        answers = []
-        for pair, triple in zip(*asked):
-            codes = [trie.bigrams(*pair[:2])] if pair is not None else [np.zeros(0, np.uint16)]
-            codes += trie.trigrams(*triple[:3]) if triple is not None else [np.zeros(0, np.uint16)] * 2
-            answers.append(squeezed(np.frombuffer(joined(codes), np.uint8)))
+        asked, ends = [], []
+        for name in ("bigrams", "trigrams"):
+            none = [np.zeros(0, np.int64)] * 4
+            rows = [_read(x) if x.is_valid else none for x in table.column(name)]
+            ends.append(np.cumsum([len(r[0]) for r in rows]))
+            asked.append([np.concatenate(c) for c in zip(*rows)])
+        trie = Trie(_mapped(Trie.built(merged(asked[0], 2), merged(asked[1], 3))))
+        # the questions of all shards at once, then cut by shard
+        codes = [trie.bigrams(*asked[0][:2]), *trie.trigrams(*asked[1][:3])]
+        cut = [np.split(c, e[:-1]) for c, e in zip(codes, (ends[0], ends[1], ends[1]))]
+        answers = [squeezed(np.frombuffer(joined(list(c)), np.uint8)) for c in zip(*cut)]
         return pa.table({"shard": table.column("shard"), "part": table.column("part"), "codes": pa.array(answers, pa.binary())})
     return run
 
