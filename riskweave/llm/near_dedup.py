@@ -16,17 +16,22 @@ are connected already need no test:
 
 1. every member is compared with the bucket's smallest one, and in buckets that
    still hold several components with its most central members;
-2. what lies outside a bucket's largest component is compared with all texts
-   that share one of its rarest shingles: a similar text must share one of any
-   n - needed + 1 of its n shingles (the prefix filter of set-similarity joins,
-   exact), and the rarest ones lead to few others.
+2. what lies outside a bucket's largest component is searched by rare shingles.
+   In the order of rarity, the first shingle that two similar texts share is
+   among the first n - needed + 1 of the n shingles of *either* text (the prefix
+   filter of set-similarity joins, exact), so only these prefixes are joined.
+   Every text is first compared with one text of each shingle of its prefix, a
+   number of pairs in proportion to the prefixes; the exact join then runs on
+   the texts whose components still differ.
 
 Edge cases: texts are compared whole; null and empty texts are copies of one
-another; texts of up to five words are similar only if equal; rows with a null
-doc_id are returned unclassed (class_id null, kept); rows that repeat a doc_id
-are classed by their own texts, so classes that share their smallest doc_id have
-equal class_ids but sizes and kept rows of their own; of repeated rows one
-stays; an empty table gives an empty result. Extra columns are not read.
+another; texts of up to five words are similar only if equal; rows are known by
+their number, so rows with a null doc_id are classed like others (null counts as
+larger than any id; a class without ids has class_id null); rows that repeat a
+doc_id are classed by their own texts, so classes that share their smallest
+doc_id have equal class_ids but sizes and kept rows of their own; of repeated
+rows one stays; an empty table gives an empty result. Extra columns are not
+read.
 """
 
 from __future__ import annotations
@@ -49,8 +54,8 @@ SIMILARITY = 0.8
 ELL = 2
 ROWS = 2
 BANDS = 16
-#: Links that one task joins into components (about 100 MB); more are joined by rounds.
-TASK_LINKS = 500_000
+#: Nodes that a task holds while it joins its own links into trees (about 100 MB).
+TASK_NODES = 500_000
 #: Rounds that compare a bucket's most central member with the rest.
 CENTRAL_ROUNDS = 2
 
@@ -249,31 +254,39 @@ def _shingle_hashes(batches):
 # Classes
 # --------------------------------------------------------------------------
 
-def _union_find(batches):
-    parent: dict[int, int] = {}
+def _forests(nodes: int):
+    """Links of a task as trees of depth one over the same nodes: fewer links,
+    equal components. The trees are given out when they hold ``nodes`` nodes."""
+    def run(batches):
+        parent: dict[int, int] = {}
+
+        def root(x):
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = parent[up]
+                x = up
+            return x
 
-    def root(x):
-        while (up := parent.setdefault(x, x)) != x:
-            parent[x] = parent[up]
-            x = up
-        return x
+        def trees():
+            links = [(x, root(x)) for x in parent if root(x) != x]
+            parent.clear()
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
 
-    for batch in batches:
-        for a, b in zip(column(batch, "a").to_pylist(), column(batch, "b").to_pylist()):
-            low, high = sorted((root(a), root(b)))
-            parent[high] = low
-    nodes = list(parent)
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())],
-                                     names=["rep", "component"])
+        for batch in batches:
+            for a, b in zip(column(batch, "a").to_pylist(), column(batch, "b").to_pylist()):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+            if len(parent) > nodes:
+                yield from trees()
+        yield from trees()
+    return run
 
 
-def components(links: DataFrame, scratch: Scratch, task_links: int = TASK_LINKS) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, task_nodes: int = TASK_NODES) -> DataFrame:
     """(rep, component) of every linked text; the component is its smallest
-    text. Links of a checked, bounded number are joined by one task, more of
-    them by distributed rounds."""
-    if links.count() <= task_links:
-        return links.select("a", "b").coalesce(1).mapInArrow(_union_find, "rep long, component long")
-    return star_components(links, scratch, "a", "b").withColumnRenamed("node", "rep")
+    text. Each task turns its links into trees, distributed rounds join these."""
+    trees = links.select("a", "b").mapInArrow(_forests(task_nodes), "a long, b long")
+    return star_components(trees, scratch, "a", "b").withColumnRenamed("node", "rep")
 
 
 class _Search:
@@ -281,8 +294,7 @@ class _Search:
 
     def __init__(self, scratch: Scratch, texts: DataFrame, threshold: float):
         self.scratch, self.texts, self.threshold = scratch, texts, threshold
-        self.links = self.tested = self.roots = None
-        self.grown = False
+        self.new = self.tested = self.roots = None
         self.round = 0
 
     def compare(self, pairs: DataFrame) -> None:
@@ -297,30 +309,37 @@ class _Search:
         both = left.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
         found = scratch.table(both.select("a", "b", "text_a", "text_b")
                               .mapInArrow(_verify(self.threshold), _VERIFIED), f"links-{k}")
-        self.grown = not found.isEmpty()
-        self.links = found if self.links is None else self.links.unionByName(found)
+        self.new = None if found.isEmpty() else found.select("a", "b")
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         self.round += 1
 
     def labelled(self, members: DataFrame) -> DataFrame:
         """members with the component of each (its own id if it has no link)."""
-        if self.grown:
-            self.roots = self.scratch.table(components(self.links, self.scratch), f"roots-{self.round}")
-            self.grown = False
+        if self.new is not None:
+            links = self.new
+            if self.roots is not None:  # the components so far are links to their smallest texts
+                links = links.unionByName(self.roots.select(F.col("rep").alias("a"), F.col("component").alias("b")))
+            self.roots = self.scratch.table(components(links, self.scratch), f"roots-{self.round}")
+            self.new = None
         if self.roots is None:
             return members.withColumn("component", F.col("rep"))
         joined = members.join(self.roots, "rep", "left")
         return joined.withColumn("component", F.coalesce("component", "rep"))
 
 
-def _open(members: DataFrame) -> DataFrame:
+def _open(scratch: Scratch, members: DataFrame, name: str) -> DataFrame:
     """Members of the buckets that hold several components, with the size of
     the bucket and of the member's component in it. All counts are aggregated
-    before the shuffle."""
-    part = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("in_component"))
-    total = (part.groupBy("key").agg(F.sum("in_component").alias("in_bucket"), F.count(F.lit(1)).alias("components"))
-             .where("components > 1").select("key", "in_bucket"))
-    return members.join(part, ["key", "component"]).join(total, "key")
+    before the shuffle and written, so that the joins with the members have a
+    plain file on either side and AQE may split a large bucket."""
+    members = scratch.table(members, f"{name}-members")
+    part = scratch.table(members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("in_component")), f"{name}-part")
+    total = scratch.table(
+        part.groupBy("key").agg(F.sum("in_component").alias("in_bucket"), F.count(F.lit(1)).alias("components"))
+        .where("components > 1").select("key", "in_bucket"), f"{name}-total")
+    found = scratch.table(members.join(total, "key").join(part, ["key", "component"]), name)
+    scratch.drop(f"{name}-members", f"{name}-part", f"{name}-total")
+    return found
 
 
 def _links(scratch: Scratch, members: DataFrame, texts: DataFrame, threshold: float) -> _Search:
@@ -329,7 +348,7 @@ def _links(scratch: Scratch, members: DataFrame, texts: DataFrame, threshold: fl
     search = _Search(scratch, texts, threshold)
     search.compare(members.where("rep <> pivot AND shingles >= least_shingles")
                    .select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
-    rest = scratch.table(_open(search.labelled(members.select("key", "rep", "shingles"))), "open-1")
+    rest = _open(scratch, search.labelled(members.select("key", "rep", "shingles")), "open-1")
     if rest.isEmpty():
         return search
 
@@ -361,42 +380,51 @@ def _links(scratch: Scratch, members: DataFrame, texts: DataFrame, threshold: fl
         search.compare(pairs.select(F.col("rep").alias("a"), "b"))
         new = central.select("key", "rep")
         used = new if used is None else used.unionByName(new)
-        left = scratch.table(_open(search.labelled(members)), f"open-{k}")
+        left = _open(scratch, search.labelled(members), f"open-{k}")
     if left.isEmpty():
         return search
 
-    # What the largest component of a bucket does not hold. A text that is
-    # similar to one of these shares so many of its n shingles that it has one
-    # of any n - needed + 1 of them, so the rarest ones find it.
+    # Prefixes: the first shingle, by rarity, that two texts of n and m shingles
+    # share has at least needed = share * (n + m) shared ones from it on in both
+    # texts, so fewer than n - needed + 1 shingles of either come before it.
     share = threshold / (1 + threshold)
-    biggest = left.groupBy("key").agg(F.max(F.struct("in_component", "component")).alias("top"),
-                                      F.min("shingles").alias("smallest"))
-    # The prefix is sized for the smallest text of all open buckets of a text,
-    # not only of those it lies outside in: a pair of two outside texts is
-    # searched from one of them, which may lie inside in the bucket they share.
-    outside = (left.join(biggest, "key")
-               .groupBy("rep").agg(F.first("shingles").alias("shingles"), F.first("component").alias("component"),
-                                   F.min("smallest").alias("smallest"),
-                                   F.max(F.col("component") != F.col("top.component")).alias("lies_outside"))
-               .where("lies_outside").drop("lies_outside"))
-    needed = F.ceil(share * (F.col("shingles") + F.greatest(
-        F.col("smallest").cast("double"), threshold * F.col("shingles"))) - 1e-6)
-    outside = scratch.table(outside.withColumn("few", F.col("shingles") - needed + 1), "outside")
-    rarest = W.partitionBy("rep").orderBy("texts", "hash").rowsBetween(W.unboundedPreceding, -1)
-    probes = scratch.table(
-        weighed.join(outside, "rep").withColumn("before", F.coalesce(F.sum("n").over(rarest), F.lit(0)))
-        .where((F.col("before") < F.col("few")) & (F.col("texts") > 1))
-        .select("hash", "before", F.col("rep").alias("a"), F.col("component").alias("ca"),
-                F.col("shingles").alias("na")), "probes")
-    # a pair of two outside texts is found from either of them: one is enough
-    labels = (left.groupBy("rep").agg(F.first("component").alias("cb"), F.first("shingles").alias("nb"))
-              .join(outside.select("rep", F.lit(True).alias("probed")), "rep", "left"))
-    held = scratch.table(weighed.where("texts > 1").select("hash", "rep").join(labels, "rep")
-                         .withColumnRenamed("rep", "b"), "held")
+    rarer = W.partitionBy("rep").orderBy("texts", "hash").rowsBetween(W.unboundedPreceding, -1)
+    sizes = scratch.table(left.groupBy("rep").agg(F.first("shingles").alias("shingles")), "open-sizes")
+    # the smallest partner of n shingles has threshold * n: needed is threshold * n
+    prefixes = scratch.table(
+        weighed.join(sizes, "rep").withColumn("before", F.coalesce(F.sum("n").over(rarer), F.lit(0)))
+        .where((F.col("before") <= F.col("shingles") - F.ceil(threshold * F.col("shingles") - 1e-6))
+               & (F.col("texts") > 1)).select("hash", "rep", "shingles", "before"), "prefixes")
+
+    # One text of each shingle first: pairs in proportion to the prefixes.
+    head = scratch.table(prefixes.groupBy("hash").agg(F.max_by(F.struct("rep", "shingles"), F.struct("shingles", "rep"))
+                                                      .alias("p")).select("hash", "p.*"), "heads")
+    of_rep = scratch.table(left.groupBy("rep").agg(F.first("component").alias("component")), "open-components")
+    known = (head.join(of_rep, "rep").select("hash", F.col("rep").alias("a"), F.col("shingles").alias("na"),
+                                             F.col("component").alias("ca")))
+    search.compare(prefixes.join(of_rep, "rep").join(scratch.table(known, "known-heads"), "hash")
+                   .where((F.col("ca") != F.col("component")) & (F.col("shingles") >= threshold * F.col("na")))
+                   .select("a", F.col("rep").alias("b")))
+    left = _open(scratch, search.labelled(members), "open-last")
+    if left.isEmpty():
+        return search
+
+    # What the largest component of a bucket does not hold, against all prefixes
+    # of open buckets; a pair of two such texts is found from either, one is enough.
+    biggest = scratch.table(left.groupBy("key").agg(F.max(F.struct("in_component", "component")).alias("top")), "biggest")
+    labels = scratch.table(left.join(biggest, "key").groupBy("rep").agg(
+        F.first("component").alias("component"),
+        F.max(F.col("component") != F.col("top.component")).alias("outside")), "labels")
+    held = scratch.table(prefixes.join(labels, "rep"), "held")
+    probes = held.where("outside").select("hash", F.col("rep").alias("a"), F.col("component").alias("ca"),
+                                          F.col("shingles").alias("na"), F.col("before").alias("before_a"))
+    needed = F.ceil(share * (F.col("na") + F.col("shingles")) - 1e-6)
     pairs = held.join(probes, "hash").where(
-        (F.col("ca") != F.col("cb")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
-        & (F.col("probed").isNull() | (F.col("a") < F.col("b")))
-        & (F.col("before") <= F.col("na") - F.ceil(share * (F.col("na") + F.col("nb")) - 1e-6))).select("a", "b")
+        (F.col("ca") != F.col("component"))
+        & (F.least("na", "shingles") >= threshold * F.greatest("na", "shingles"))
+        & (~F.col("outside") | (F.col("a") < F.col("rep")))
+        & (F.col("before_a") <= F.col("na") - needed)
+        & (F.col("before") <= F.col("shingles") - needed)).select("a", F.col("rep").alias("b"))
     search.compare(pairs)
     search.labelled(members)
     return search
@@ -408,9 +436,8 @@ def _classed(spark: SparkSession, docs: DataFrame, threshold: float) -> DataFram
     scratch = Scratch(spark, "near-dedup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key"))
     made = scratch.table(docs.mapInArrow(_sketch, _SKETCH).withColumn("row", F.monotonically_increasing_id()), "sketches")
-    known = made.where("doc_id IS NOT NULL")
-    copies = scratch.table(known.groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc_id").alias("rep_id")), "copies")
-    reps = known.join(copies, known.row == copies.rep, "left_semi")
+    copies = scratch.table(made.groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc_id").alias("rep_id")), "copies")
+    reps = made.join(copies, made.row == copies.rep, "left_semi")
     keyed = scratch.table(reps.where("bands IS NOT NULL")
                           .select(F.col("row").alias("rep"), "shingles", F.explode("bands").alias("key")), "keyed")
     buckets = scratch.table(keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"),
@@ -422,9 +449,10 @@ def _classed(spark: SparkSession, docs: DataFrame, threshold: float) -> DataFram
     scratch.drop("keyed")
     roots = None
     if not members.isEmpty():
-        ids = (known.select("doc_id", "text_key", F.col("row").alias("rep"))
+        ids = (made.select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key"), F.col("row").alias("rep"))
                .join(members.select("rep").distinct(), "rep", "left_semi"))
-        texts = scratch.table(docs.join(ids.hint("shuffle_hash"), ["doc_id", "text_key"])
+        texts = scratch.table(docs.join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of_doc"))
+                                        & (F.col("text_key") == F.col("of_key")))
                               .select("rep", "text").dropDuplicates(["rep"]), "texts")
         roots = _links(scratch, members, texts, threshold).roots
     of_rep = copies
@@ -433,17 +461,14 @@ def _classed(spark: SparkSession, docs: DataFrame, threshold: float) -> DataFram
     else:
         of_rep = copies.withColumn("component", F.lit(None).cast("long"))
     of_rep = scratch.table(of_rep.select("digest", "rep_id", F.coalesce("component", "rep").alias("component")), "classes")
-    classed = scratch.table(known.select("doc_id", "text_key", "row", "digest").join(of_rep, "digest").drop("digest"),
+    classed = scratch.table(made.select("doc_id", "text_key", "row", "digest").join(of_rep, "digest").drop("digest"),
                             "classed")
     sizes = scratch.table(classed.groupBy("component").agg(
-        F.count(F.lit(1)).alias("class_size"), F.min(F.struct("doc_id", "text_key", "row")).alias("first")), "sizes")
-    out = (classed.join(sizes, "component")
+        F.count(F.lit(1)).alias("class_size"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "row")).alias("first")), "sizes")
+    return (classed.join(sizes, "component")
            .select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size",
                    (F.col("row") == F.col("first.row")).alias("kept"), "rep_id", "text_key"))
-    unknown = made.where("doc_id IS NULL").select(
-        "doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(1).cast("long").alias("class_size"),
-        F.lit(True).alias("kept"), F.lit(None).cast("long").alias("rep_id"), "text_key")
-    return out.unionByName(unknown)
 
 
 def classes(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -459,10 +484,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, threshold: float = SI
     scratch = Scratch(spark, "near-dedup-keep")
     doc, key = spare_name(docs, "_gone"), spare_name(docs, "_gone_key")
     listed = scratch.table(
-        _classed(spark, docs, threshold).where("doc_id IS NOT NULL")
+        _classed(spark, docs, threshold)
         .groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key))
         .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("NOT kept OR rows > 1"), "listed")
-    same = (F.col("doc_id") == F.col(doc)) & (_text_key() == F.col(key))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (_text_key() == F.col(key))
     rest = docs.join(listed.select(doc, key).hint("shuffle_hash"), same, "left_anti")
     several = listed.where("kept").select(doc, key)
     if several.isEmpty():
