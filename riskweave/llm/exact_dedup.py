@@ -1,9 +1,17 @@
 """Exact deduplication against a persistent digest index (operator 4).
 
 The index is a table of one row per distinct text, bucketed and sorted by the
-digest. A new batch is reduced to one winner per digest, winners that the index
-already has are found by a sort-merge anti join that does not shuffle the index,
-and the rest is appended as new bucket files. Only DataFrame functions are used.
+digest. A batch is ingested in two parts, longer texts first, so that of equal
+texts the one with the most code points is in the index before the shorter ones
+are looked up. Each part is reduced to one winner per digest, winners that the
+index already has (of an earlier batch or of the first part) are found by a
+sort-merge anti join that does not shuffle the index, and the rest is appended
+as new bucket files. Only DataFrame functions are used.
+
+Entries carry the batch that made them, and a batch ignores its own entries and
+appends only what is missing: a batch that failed half-way, or whose result was
+lost, is ingested again under the same name with the same result. A name stands
+for fixed rows; another name is another batch.
 
 Edge cases: a null text counts as empty; empty texts are equal to one another;
 of equal texts the one with the most code points stays, then the smallest
@@ -14,6 +22,9 @@ read, so clashing names do no harm.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,20 +65,30 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = INDEX_BUCKETS):
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
-        self.name = "digest_index_" + "".join(c if c.isalnum() else "_" for c in self.path)[-80:].lower()
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
+        self.name = "digest_index_" + hashlib.sha256(self.path.encode()).hexdigest()[:40]
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} "
+                  f"(digest BINARY, keep_id BIGINT, batch STRING, part INT) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'")
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def unknown(self, candidates: DataFrame) -> DataFrame:
+    def before(self, batch: str, part: int = 0) -> DataFrame:
+        """Entries that a part of a batch meets: other batches' and those of
+        its own earlier parts."""
+        return self.table().where((F.col("batch") != batch) | (F.col("part") < part))
+
+    def unknown(self, candidates: DataFrame, batch: str, part: int = 0) -> DataFrame:
         """Candidates whose digest the index lacks; the index side is read
         bucket by bucket, only the candidates are shuffled."""
-        return candidates.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
-
-    def append(self, new: DataFrame) -> None:
-        (new.select("digest", "keep_id").repartition(self.buckets, "digest")
+        return candidates.join(self.before(batch, part).select("digest").hint("merge"), "digest", "left_anti")
+
+    def append(self, new: DataFrame, batch: str, part: int = 0) -> None:
+        """Add entries, but for those that an earlier run of the batch left."""
+        left = self.table().where((F.col("batch") == batch) & (F.col("part") == part))
+        (new.select("digest", "keep_id").join(left.select("digest").hint("merge"), "digest", "left_anti")
+            .withColumn("batch", F.lit(batch)).withColumn("part", F.lit(part))
+            .repartition(self.buckets, "digest")
             .write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
             .option("path", self.path).saveAsTable(self.name))
 
@@ -76,24 +97,38 @@ class DigestIndex:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def ingest(spark: SparkSession, docs: DataFrame, index_path: str | None = None) -> DataFrame:
+def parts(rows: DataFrame) -> list[DataFrame]:
+    """The rows of mean length or more, then the shorter ones. The mean is
+    exact, so a repeated batch has the same parts."""
+    total, n = rows.agg(F.coalesce(F.sum("points"), F.lit(0)), F.count(F.lit(1))).first()
+    mean = total // max(n, 1)
+    return [rows.where(F.col("points") >= mean), rows.where(F.col("points") < mean)]
+
+
+def ingest(spark: SparkSession, docs: DataFrame, index_path: str | None = None, batch: str | None = None) -> DataFrame:
     """Deduplicate ``docs`` within themselves and against the index, append
     what is new, and return one row per input row: doc_id, keep_id, group_size
     (rows of this batch), kept, text_sha256, points. Rows whose text an earlier
-    batch had are not kept and name that batch's document."""
+    batch had are not kept and name that batch's document. ``batch`` names these
+    rows for a repeated run; without it they are a batch of their own."""
     scratch = Scratch(spark, "exact-dedup")
     index = DigestIndex(spark, index_path or scratch.path("index"))
+    batch = batch or uuid.uuid4().hex
     rows = scratch.table(digests(docs), "digests")
-    best = scratch.table(winners(rows), "winners")
-    fresh = scratch.table(index.unknown(best), "fresh")
-    # Texts of earlier batches keep those batches' documents.
-    known = (best.join(fresh.select("digest"), "digest", "left_anti").drop("keep_id", "keep_row")
-             .join(index.table().hint("merge"), "digest")
-             .select("digest", "keep_id", F.lit(None).cast("long").alias("keep_row"), "group_size"))
-    decided = scratch.table(fresh.unionByName(known), "decided")
-    index.append(fresh)
+    best, fresh = [], []
+    for k, part in enumerate(parts(rows)):
+        best.append(scratch.table(winners(part), f"winners-{k}"))
+        fresh.append(scratch.table(index.unknown(best[k], batch, k), f"fresh-{k}"))
+        index.append(fresh[k], batch, k)
+    sizes = scratch.table(best[0].unionByName(best[1]).groupBy("digest")
+                          .agg(F.sum("group_size").alias("group_size")), "sizes")
+    # A digest is fresh in one part at most; the others are earlier batches'.
+    new = fresh[0].unionByName(fresh[1]).select("digest", "keep_id", "keep_row")
+    known = (index.before(batch).select("digest", "keep_id").hint("merge")
+             .join(sizes.select("digest"), "digest").withColumn("keep_row", F.lit(None).cast("long")))
+    decided = scratch.table(sizes.join(new.unionByName(known).hint("merge"), "digest"), "decided")
     index.close()
-    scratch.drop("winners", "fresh")
+    scratch.drop("winners-0", "winners-1", "fresh-0", "fresh-1", "sizes")
     # Both sides are plain files here, so AQE may split a digest with very many rows.
     return (rows.join(decided, "digest")
             .select("doc_id", "keep_id", "group_size",
