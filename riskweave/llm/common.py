@@ -22,6 +22,8 @@ from ..scratch import Scratch  # noqa: F401 (the operators import it from here)
 SPACES = " \t\n\x0b\f\r"
 #: Text bytes that a task tokenises at a time.
 CHUNK_BYTES = 4 << 20
+#: Copies of a row that one task writes out at a time.
+COPIES = 1 << 16
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,6 +185,19 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def numbered_copies(groups: DataFrame, n: str, place: str) -> DataFrame:
+    """Each row ``n`` times, its copies numbered from 0 in ``place``. A row with
+    many copies is first cut into slices, which are dealt over the tasks."""
+    cut = spare_name(groups, "_slice")
+    few = groups.where(F.col(n) <= COPIES).withColumn(place, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
+    slices = (groups.where(F.col(n) > COPIES)
+              .withColumn(cut, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / COPIES))))
+              .repartition(F.col(cut)))
+    first = F.col(cut) * F.lit(COPIES)
+    many = slices.withColumn(place, F.explode(F.sequence(first, F.least(first + F.lit(COPIES), F.col(n)) - 1))).drop(cut)
+    return few.unionByName(many)
+
+
 def sampled(docs: DataFrame, condition: Column, n: int, *columns: str) -> DataFrame:
     """At most n rows that fulfil the condition, those whose ids have the
     smallest hashes. The ids are chosen first (n of them are broadcast), so no

@@ -3,14 +3,16 @@
 Every document gets a hash-random key; each source is cut into key ranges
 ("cells", about the square root of its rows, so a source with a third of the
 corpus is spread over many tasks and no cell grows with the whole source).
-Prefix sums of word counts run inside the cells and over the cells' totals, and
-the source is cut at its exact budget. A budget beyond the source's size takes
-whole epochs first.
+Rows that agree in source, key, doc_id and size are one row with a count from the
+start, so many equal rows without an id fill no cell; they are written out again
+at the end. Prefix sums of word counts run inside the cells and over the cells'
+totals, and the source is cut at its exact budget. A budget beyond the source's
+size takes whole epochs first.
 
 Edge cases: a null text has no words; null sources form one source, last; a
 document without words takes nothing; a corpus without words has targets 0; an
-empty table gives an empty result; rows that repeat share the cut in a fixed
-order. Only doc_id, text and source are read.
+empty table gives an empty result; of rows
+that repeat the first ones are taken, and as they are alike reruns agree. Only doc_id, text and source are read.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, numbered_copies
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -76,19 +78,20 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, share: float = SH
     """One row per document: doc_id, source, size, source_size, target, epochs
     (whole copies), part (words of one more, cut copy), taken."""
     scratch = Scratch(spark, "mixing")
-    rows = scratch.table(sized(docs), "sized")
-    totals = rows.groupBy("source").agg(F.count(F.lit(1)).alias("source_rows"),
-                                        F.sum("size").alias("source_size"))
+    rows = scratch.table(sized(docs).groupBy("source", "key", "doc_id", "size").agg(F.count(F.lit(1)).alias("rows")), "sized")
+    totals = rows.groupBy("source").agg(F.sum("rows").alias("source_rows"),
+                                        F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     plan = scratch.table(targets(totals, weights, share, max_epochs), "targets")
     names = [F.col(c).alias("_t_" + c) for c in plan.columns]
     share_of = F.col("key") / F.lit(float(1 << 60))
     celled = (rows.join(plan.select(*names), F.col("source").eqNullSafe(F.col("_t_source")))
               .withColumn("n_cells", F.ceil(F.sqrt(F.col("_t_source_rows"))))
-              .withColumn("cell", F.floor(share_of * F.col("n_cells"))))
+              .withColumn("cell", F.floor(share_of * F.col("n_cells")))
+              .withColumn("words", F.col("size") * F.col("rows")))
     inside = W.partitionBy("source", "cell").orderBy("key", "doc_id", "size")
-    local = scratch.table(celled.withColumn("upto", F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, 0)))
+    local = scratch.table(celled.withColumn("upto", F.sum("words").over(inside.rowsBetween(W.unboundedPreceding, 0)))
                           .drop("n_cells", "key", "_t_source"), "local")
-    cells = local.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
+    cells = local.groupBy("source", "cell").agg(F.sum("words").alias("cell_size"))
     starts = cells.select(F.col("source").alias("_c_source"), F.col("cell").alias("_c_cell"),
                           (F.sum("cell_size").over(W.partitionBy("source").orderBy("cell"))
                            - F.col("cell_size")).alias("cell_start"))
@@ -97,9 +100,11 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, share: float = SH
     budget = F.round("_t_target").cast("long")
     whole = F.when(F.col("_t_source_size") > 0, F.floor(budget / F.col("_t_source_size"))).otherwise(F.lit(0))
     cut = budget - whole * F.col("_t_source_size")
-    begin = F.col("cell_start") + F.col("upto") - F.col("size")
-    part = F.least(F.greatest(cut - begin, F.lit(0)), F.col("size"))
-    out = placed.select("doc_id", "source", "size", F.col("_t_source_size").alias("source_size"),
-                        F.col("_t_target").alias("target"), whole.cast("long").alias("epochs"),
-                        part.cast("long").alias("part"))
-    return out.withColumn("taken", F.col("epochs") * F.col("size") + F.col("part"))
+    groups = placed.select("doc_id", "source", "size", F.col("_t_source_size").alias("source_size"),
+                           F.col("_t_target").alias("target"), whole.cast("long").alias("epochs"),
+                           (cut - F.col("cell_start") - F.col("upto") + F.col("words")).alias("_left"), "rows")
+    # what of the cut is left at the group, less what the row's earlier copies take
+    part = F.least(F.greatest(F.col("_left") - F.col("_copy") * F.col("size"), F.lit(0)), F.col("size"))
+    return (numbered_copies(groups, "rows", "_copy")
+            .select("doc_id", "source", "size", "source_size", "target", "epochs", part.cast("long").alias("part"))
+            .withColumn("taken", F.col("epochs") * F.col("size") + F.col("part")))

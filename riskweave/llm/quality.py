@@ -8,18 +8,19 @@ one of the raw corpus, give every document a log importance weight
 
 Sampling k documents without replacement in proportion to w is taking the k
 largest of log w + Gumbel noise (Xie et al., "Data Selection for Language Models
-via Importance Resampling", 2023). The noise is a hash of the id, so reruns
-agree. By default k is the labelled share of good documents times the corpus.
+via Importance Resampling", 2023). The noise is a hash of the id, the text and
+the number of the copy among rows that repeat both, so reruns agree and equal
+rows are drawn one by one. By default k is the labelled share of good documents times the corpus.
 
 Raw counts cover all documents; they are added up per task and then by bucket.
 The target model counts every document labelled as good. The cut at rank k is found from histograms of fixed size
 that narrow down on it, so nothing is sorted as a whole.
 
 Edge cases: null and empty texts have log weight 0; without labelled good
-documents all log weights are 0 and everything is selected; null ids take part
-with the noise of the empty id, ranked last among equals; of equal keys the
-smaller doc_id goes first; rows that repeat are each ranked; an empty table
-gives an empty result. Extra columns are not read.
+documents all log weights are 0 and everything is selected; rows without an id
+take part, with the noise of their text; of equal keys the smaller doc_id goes
+first (null last); an empty table gives an empty result. Extra columns are not
+read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, Tokens, chunks, column, constants, mix
+from .common import Scratch, Tokens, chunks, column, constants, mix, numbered_copies
 
 BUCKETS = 1 << 14
 #: Added to each bucket's count.
@@ -87,15 +88,16 @@ def _weigh(ratio: np.ndarray):
             buckets, docs = ngram_buckets(t)
             weight = np.bincount(docs, weights=ratio[buckets], minlength=t.n_docs)
             yield pa.RecordBatch.from_arrays(
-                [column(b, "doc_id").cast(pa.int64()), pa.array(weight, pa.float64())],
-                names=["doc_id", "log_weight"])
+                [column(b, "doc_id").cast(pa.int64()), column(b, "text_key"), pa.array(weight, pa.float64())],
+                names=["doc_id", "text_key", "log_weight"])
     return run
 
 
-def gumbel(doc_id) -> F.Column:
-    """Standard Gumbel noise from a hash of the id."""
-    name = F.coalesce(doc_id.cast("string"), F.lit(""))
-    u = (F.conv(F.substring(F.md5(F.concat(F.lit("gumbel:"), name).cast("binary")), 1, 13), 16, 10).cast("double")
+def gumbel(doc_id, text_key, copy) -> F.Column:
+    """Standard Gumbel noise from a hash of the row."""
+    name = F.concat_ws(":", F.lit("gumbel"), F.coalesce(doc_id.cast("string"), F.lit("")),
+                       F.hex(text_key), copy.cast("string"))
+    u = (F.conv(F.substring(F.md5(name.cast("binary")), 1, 13), 16, 10).cast("double")
          + 0.5) / F.lit(float(1 << 52))
     return -F.log(-F.log(u))
 
@@ -132,9 +134,15 @@ def resample(spark: SparkSession, docs: DataFrame, labels: DataFrame, k: int | N
     good_share, = named.agg(F.avg((F.col("quality") == 1).cast("double"))).first()
     good = named.where("quality = 1").select("doc_id")
     ratio = log_ratios(docs, good)
+    text_key = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    groups = scratch.table(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key.alias("text_key"))
+        .mapInArrow(_weigh(ratio), "doc_id long, text_key binary, log_weight double")
+        .groupBy("doc_id", "text_key", "log_weight").agg(F.count(F.lit(1)).alias("rows")), "groups")
     scored = scratch.table(
-        docs.select("doc_id", "text").mapInArrow(_weigh(ratio), "doc_id long, log_weight double")
-        .withColumn("key", F.col("log_weight") + gumbel(F.col("doc_id"))), "scored")
+        numbered_copies(groups, "rows", "copy")
+        .select("doc_id", "log_weight", (F.col("log_weight") + gumbel(F.col("doc_id"), F.col("text_key"), F.col("copy")))
+                .alias("key")), "scored")
     if k is None:
         k = round((good_share or 1.0) * scored.count())
     if scored.isEmpty() or k <= 0:
