@@ -3,15 +3,19 @@ repeated rows and clashing column names, on an empty table, and against brute
 force or held-out accuracy."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from riskweave.llm import (decontam, exact_dedup, langid, mixing, near_dedup, pii, quality, substring, toxicity,
                            warc)
+from riskweave.llm.common import Tokens
 from riskweave.scratch import Scratch
 
 DOCS = ("doc_id long, text string, lang string, source string, n_chars long, digest string, component string, "
@@ -83,6 +87,42 @@ def test_exact_dedup_against_earlier_batches(spark):
     assert (later[4].kept, later[5].kept, later[5].keep_id) == (True, False, 4)
 
 
+def test_exact_dedup_batch_that_is_repeated(spark):
+    """A batch meets other batches' entries, not its own: a lost result is made again."""
+    path = Scratch(spark, "test-index").path("index")
+    docs = table(spark, [(1, "a b"), (2, "c"), (3, "a  b"), (None, "c"), (4, "a much longer text " * 9)])
+
+    def run(batch, frame=docs):
+        return sorted(map(str, exact_dedup.ingest(spark, frame, path, batch).collect()))
+    first = run("monday")
+    assert run("monday") == first and sum("kept=True" in x for x in first) == 3
+    again = exact_dedup.ingest(spark, docs, path, "tuesday").collect()
+    assert not any(x.kept for x in again) and {x.keep_id for x in again} == {2, 3, 4}
+    assert run("monday") == first
+    entries = spark.read.parquet(path)
+    assert entries.count() == entries.select("digest").distinct().count() == 3
+
+
+def test_exact_dedup_looks_shorter_texts_up_in_the_index(spark):
+    """The second part of a batch meets the first one's entries."""
+    path = Scratch(spark, "test-index").path("index")
+    rows = [(i, prose(20, i)) for i in range(40)]
+    docs = table(spark, rows + [(100 + i, t.replace(" ", "  ")) for i, t in rows[:30]])
+    index = exact_dedup.DigestIndex(spark, path)
+    made = exact_dedup.digests(docs)
+    long, short = exact_dedup.parts(made)
+    assert long.count() + short.count() == 70
+    winners = exact_dedup.winners(long)
+    index.append(winners, "b", 0)
+    looked_up = exact_dedup.winners(short)
+    unknown = index.unknown(looked_up, "b", 1)
+    assert unknown.count() < looked_up.count()
+    index.close()
+    got = exact_dedup.ingest(spark, docs).collect()
+    assert {x.doc_id for x in got if x.kept} == set(range(30, 40)) | set(range(100, 130))
+    assert all(x.group_size == (1 if 30 <= x.doc_id < 40 else 2) for x in got)
+
+
 # -- mixing ---------------------------------------------------------------
 
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
@@ -124,6 +164,25 @@ def test_mix_edges(spark):
     assert {(x.size, x.target, x.taken) for x in mixing.mix(spark, empty).collect()} == {(0, 0.0, 0)}
 
 
+def test_mix_of_many_equal_rows_without_an_id(spark, monkeypatch):
+    """A third of the rows agree in everything: they are cut one by one, and
+    no cell holds more than its share."""
+    monkeypatch.setattr("riskweave.llm.common.COPIES", 100)
+    rows = [(i, prose(12, i), "ab"[i % 2]) for i in range(2000)] + [(None, "one two three", "a")] * 1000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(spark, docs).collect()
+    assert len(got) == 3000
+    for s in "ab":
+        mine = [x for x in got if x.source == s]
+        assert sum(x.taken for x in mine) == round(mine[0].target)
+        assert sum(0 < x.part < x.size for x in mine) <= 1
+    assert sum(x.doc_id is None and x.size == 3 for x in got) == 1000
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(spark, docs.repartition(5)).collect()))
+    sized = mixing.sized(docs).groupBy("source", "key", "doc_id", "size").count()
+    cells = sized.where("source = 'a'").groupBy(F.floor(F.col("key") / F.lit(float(1 << 60)) * 45)).count()
+    assert cells.agg(F.max("count")).first()[0] < 100
+
+
 # -- personal data --------------------------------------------------------
 
 BASE_PATTERNS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -252,6 +311,18 @@ def test_near_dedup_of_repeated_ids(spark):
     assert sorted(kept) == sorted([(3, a), (5, b), (5, c), (5, d)])
 
 
+def test_near_dedup_of_rows_without_an_id(spark):
+    """They are classed by their texts, and come after any id."""
+    a, b = prose(120, 30), prose(120, 31)
+    rows = [(None, a), (None, a), (None, a.upper()), (None, a + " more"), (9, b), (None, b + " end"), (None, "alone"), (None, None)]
+    got = near_dedup.classes(spark, table(spark, rows)).collect()
+    assert Counter((x.doc_id, x.class_id, x.class_size, x.kept) for x in got) == Counter(
+        [(None, None, 4, True)] + [(None, None, 4, False)] * 3 + [(9, 9, 2, True), (None, 9, 2, False)]
+        + [(None, None, 1, True)] * 2)
+    kept = [x.text for x in near_dedup.drop_near_copies(spark, table(spark, rows)).collect()]
+    assert len(kept) == 4 and {b, "alone", None} < set(kept)
+
+
 @pytest.mark.parametrize("task_links", [0, 1000])
 def test_components_in_one_task_or_in_rounds(spark, task_links):
     links = spark.createDataFrame([(5, 3), (3, 9), (7, 8), (8, 7)], "a long, b long")
@@ -357,6 +428,41 @@ def test_resampling_takes_exactly_the_largest_keys(spark):
     assert quality.resample(spark, table(spark), labels).count() == len(ROWS)
 
 
+def test_resampling_draws_equal_rows_one_by_one(spark, monkeypatch):
+    """A third of the rows agree in everything and have no id; keys differ all
+    the same, and another partitioning draws the same sample."""
+    monkeypatch.setattr("riskweave.llm.common.COPIES", 50)
+    rows = [(i, prose(20, i)) for i in range(400)] + [(None, prose(20, 1))] * 150 + [(7, "same")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i in range(300)], "doc_id long, quality int")  # all weights are 0
+    got = quality.resample(spark, docs, labels, k=240).collect()
+    assert len(got) == len({x.key for x in got}) == 600 and sum(x.selected for x in got) == 240
+    lost = [x for x in got if x.doc_id is None]
+    assert len(lost) == 150 and 0 < sum(x.selected for x in lost) < 150
+    again = quality.resample(spark, docs.repartition(7), labels, k=240).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_ngram_weights_by_plain_counting(spark):
+    """Log ratios equal those of counted n-grams, bucket by bucket."""
+    rows = [(i, prose(30, i) if i % 3 else prose(30, i) + " !! zz") for i in range(60)]
+    docs = spark.createDataFrame(rows + [(None, "zz zz"), (99, None)], "doc_id long, text string")
+    good = {i for i, _ in rows if i % 3 == 0}
+    raw, target = Counter(), Counter()
+    for i, text in rows + [(None, "zz zz")]:
+        t = Tokens(pa.array([text]), punctuation=True)
+        buckets, _ = quality.ngram_buckets(t)
+        w = re.findall(r"[!-/:-@\[-`{-~]+|[^\s!-/:-@\[-`{-~]+", text)
+        assert len(buckets) == 2 * len(w) - 1
+        raw.update(buckets.tolist())
+        if i in good:
+            target.update(buckets.tolist())
+    got = quality.log_ratios(docs, spark.createDataFrame([(i,) for i in good], "doc_id long"))
+    n, m = sum(target.values()) + quality.BUCKETS, sum(raw.values()) + quality.BUCKETS
+    for b in range(quality.BUCKETS):
+        assert abs(got[b] - (math.log((target[b] + 1) / n) - math.log((raw[b] + 1) / m))) < 1e-9
+
+
 def test_target_model_counts_all_good_documents(spark):
     """Where every document is good, target and corpus are alike."""
     rows = [(i, f"w{i % 97} v{i % 89} u{i}") for i in range(21000)]
@@ -401,6 +507,47 @@ def test_decontamination_against_all_windows(spark):
     assert decontam.contaminated(spark, table(spark), benchmark.limit(0)).count() == 0
 
 
+def edited(item, kind, r):
+    """The item with a run of words replaced, or None if the kind does not fit."""
+    w = list(item)
+    n = max(1, int(len(w) * r.uniform(0.06, 0.11)))
+    at = {"head": 0, "middle": r.randrange(1, len(w) - n), "tail": len(w) - n, "repeated": len(w) - n}[kind]
+    if kind == "repeated":
+        item[at:] = ["again"] * n
+    w[at:at + n] = [f"new{r.getrandbits(30)}" for _ in range(n)]
+    return w
+
+
+@pytest.mark.parametrize("kind", ["head", "middle", "tail", "repeated"])
+def test_decontamination_recall_of_edited_items(kind):
+    """Items of 30 to 80 words with one edit that leaves a similarity of 0.8 to 0.86."""
+    r = random.Random(5)
+    items, texts = [], []
+    while len(items) < 300:
+        item = [f"w{r.getrandbits(30)}" for _ in range(r.randint(30, 80))]
+        w = edited(item, kind, r)
+        bags = [Counter(tuple(x[k:k + 5]) for k in range(len(x) - 4)) for x in (item, w)]
+        if 0.8 <= decontam.similarity(*bags) <= 0.86:
+            items.append((len(items), " ".join(item)))
+            texts.append(f"{prose(30, len(items))} {' '.join(w)} {prose(30, -len(items))}")
+    found = decontam.matches(pa.array(texts), decontam.ItemIndex(items))
+    assert sum(d == i for d, i, *_ in found) >= 0.95 * len(items)
+
+
+def test_fingerprints_of_labelled_shingles():
+    """Sliding sums equal the fingerprint of each window by itself."""
+    r = random.Random(8)
+    text = " ".join(r.choice("abc") if r.random() < 0.7 else "x x x x x x x" for _ in range(300))
+    t = Tokens(pa.array([text]))
+    h = t.hashes()
+    spans = [(a, a + n) for n in (1, 3, 4, 5, 6, 20, 77) for a in range(0, len(h) - n)]
+    starts, ends = (np.array(x) for x in zip(*spans))
+    got = decontam.fingerprints(h, starts, ends)
+    for k, (a, b) in enumerate(spans):
+        g = decontam.shingles(h[a:b])
+        assert (got[k] == decontam._labelled_print(g)).all()
+
+
 def test_decontamination_decides_row_by_row(spark, monkeypatch):
     """Neither a null id nor a repeated one takes clean rows along."""
     monkeypatch.setattr(decontam, "PASS_ITEMS", 1)
