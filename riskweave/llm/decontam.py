@@ -14,9 +14,10 @@ cosine of 8/9 or more, so a bit differs with probability 0.1515 at most: 77.6
 bits expected, standard deviation 8.1. About 1.4 % of pairs of similarity exactly
 0.8 are farther than 95 and lost, far fewer above.
 
-Windows that cannot reach the similarity are not hashed: a similarity of s needs
-s * (L - 4) shared shingles, and these hold at least s * (L - 4) + 3 word pairs
-that follow one another in the benchmark too. This bound loses nothing.
+Windows that cannot reach the similarity are not fingerprinted: sequences of n
+and m shingles that are similar by s share s / (1 + s) * (n + m) of them, so a
+window has at least so many places whose shingle some item holds. This bound
+loses nothing.
 
 Words are compared in lower case without ASCII punctuation. The benchmark is
 the stated query set: it is read in blocks of bounded size, each held by the
@@ -68,16 +69,14 @@ def similarity(a: Counter, b: Counter) -> float:
     return shared / union if union else 0.0
 
 
-def least_pairs(length: int, threshold: float) -> int:
-    """Neighbouring word pairs that a window must share with an item of this length."""
-    if length <= SHINGLE:
-        return length - 1
-    return int(np.ceil(threshold * (length - SHINGLE + 1) - 1e-9)) + SHINGLE - 2
+def least_shared(n, m, threshold: float):
+    """Shingles that similar sequences of n and m shingles share at least."""
+    return np.ceil(threshold / (1 + threshold) * (n + m) - 1e-9)
 
 
-def _pair_places(h: np.ndarray) -> np.ndarray:
-    """A bit-table place for the pair of words from each position on."""
-    return (window_hashes(h, 2, 9) >> np.uint64(42)).astype(np.int64)
+def _places(g: np.ndarray) -> np.ndarray:
+    """A bit-table place of each shingle."""
+    return (g >> np.uint64(42)).astype(np.int64)
 
 
 # --------------------------------------------------------------------------
@@ -163,9 +162,10 @@ class ItemIndex:
         self.prints = np.concatenate([np.zeros((0, BLOCKS), np.uint16)] + [
             fingerprints(h[t.ptr[i]:t.ptr[i + 1]], np.array([0]), n[i:i + 1]) for i in held])
         self.lengths = np.unique(self.length)
-        # known word pairs as a bit table: false positives only cost time
-        self.pairs = np.zeros(1 << 22, dtype=bool)
-        self.pairs[_pair_places(h)] = True
+        # known shingles as a bit table: false positives only cost time
+        self.known = np.zeros(1 << 22, dtype=bool)
+        for i in held:
+            self.known[_places(shingles(h[t.ptr[i]:t.ptr[i + 1]]))] = True
         values = self.prints.astype(np.int64)[:, :, None] ^ _neighbours()
         rank = np.searchsorted(self.lengths, self.length)
         keys = self._key(rank[:, None, None], np.arange(BLOCKS)[None, :, None], values)
@@ -198,27 +198,36 @@ class ItemIndex:
 
 def _possible(t: Tokens, h: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows (start, end, rank of the length) that can reach the similarity."""
-    # known pairs that begin before each word
+    # known shingles that begin before each word
     total = np.zeros(t.n_words + 1, dtype=np.int32)
-    if t.n_words > 1:
-        np.cumsum(index.pairs[_pair_places(h)], out=total[1:-1])
-        total[-1] = total[-2]
+    g = window_hashes(h, SHINGLE, 5)
+    np.cumsum(index.known[_places(g)], out=total[1:len(g) + 1])
+    total[len(g) + 1:] = total[len(g)]
     size = t.counts()
     last = np.repeat(t.ptr[1:], size)
     starts, ends, ranks = [], [], []
     for rank, length in enumerate(index.lengths.tolist()):
-        need = least_pairs(length, index.threshold)
-        if t.n_words >= length:
-            at = np.flatnonzero(total[length - 1:-1] - total[:-length] >= need)
-            at = at[at + length <= last[at]]
-            starts.append(at)
-            ends.append(at + length)
-            ranks.append(np.full(len(at), rank))
-        short = np.flatnonzero((size < length) & (size > need))
-        short = short[total[t.ptr[short + 1] - 1] - total[t.ptr[short]] >= need]
+        if length < SHINGLE:  # one shingle of this width
+            at = np.flatnonzero(index.known[_places(window_hashes(h, length, 5))])
+        else:
+            n = length - SHINGLE + 1
+            at = np.flatnonzero(total[n:] - total[:-n] >= least_shared(n, n, index.threshold))
+        at = at[at + length <= t.n_words]
+        at = at[at + length <= last[at]]
+        starts.append(at)
+        ends.append(at + length)
+        ranks.append(np.full(len(at), rank))
+        # whole documents that are shorter; shingles of unlike widths are never equal
+        short = np.flatnonzero((size < length) & (size >= SHINGLE))
+        own = size[short] - SHINGLE + 1
+        shared = total[t.ptr[short] + own] - total[t.ptr[short]]
+        short = short[shared >= least_shared(own, length - SHINGLE + 1, index.threshold)]
         starts.append(t.ptr[short])
         ends.append(t.ptr[short + 1])
         ranks.append(np.full(len(short), rank))
+    if not starts:
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(ranks)
 
 
