@@ -152,7 +152,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, index_path: str | None = N
         .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias(copies)).where("kept").drop("kept"), "kept")
 
     def of(ids: DataFrame) -> DataFrame:
-        return docs.join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(doc))
+        return docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col(doc))
                          & (digest(F.col("text")) == F.col(sha)) & (length == F.col(points)), "left_semi")
 
     several = kept.where(F.col(copies) > 1)

@@ -451,7 +451,7 @@ def _classed(spark: SparkSession, docs: DataFrame, threshold: float) -> DataFram
     if not members.isEmpty():
         ids = (made.select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key"), F.col("row").alias("rep"))
                .join(members.select("rep").distinct(), "rep", "left_semi"))
-        texts = scratch.table(docs.join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of_doc"))
+        texts = scratch.table(docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of_doc"))
                                         & (F.col("text_key") == F.col("of_key")))
                               .select("rep", "text").dropDuplicates(["rep"]), "texts")
         roots = _links(scratch, members, texts, threshold).roots
@@ -488,10 +488,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, threshold: float = SI
         .groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key))
         .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("NOT kept OR rows > 1"), "listed")
     same = F.col("doc_id").eqNullSafe(F.col(doc)) & (_text_key() == F.col(key))
-    rest = docs.join(listed.select(doc, key).hint("shuffle_hash"), same, "left_anti")
+    rest = docs.join(listed.select(doc, key).hint("merge"), same, "left_anti")
     several = listed.where("kept").select(doc, key)
     if several.isEmpty():
         return rest
-    repeated = (docs.join(several.hint("shuffle_hash"), same, "left_semi").withColumn(key, _text_key())
+    repeated = (docs.join(several.hint("merge"), same, "left_semi").withColumn(key, _text_key())
                 .dropDuplicates(["doc_id", key]).drop(key))
     return rest.unionByName(repeated)
