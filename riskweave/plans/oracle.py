@@ -268,14 +268,16 @@ def register(key: str, sql: str) -> None:
     ORACLE[key] = sql
 
 
-register("overall_kpi", q(f"""
+_OVERALL_KPI = q(f"""
 SELECT COUNT(*) AS total_records, COUNT(DISTINCT order_id) AS total_orders,
        COUNT(DISTINCT customer_id) AS total_customers, COUNT(DISTINCT product_name) AS total_products,
        COUNT(DISTINCT Supplier_ID) AS total_suppliers, COUNT(DISTINCT Warehouse_ID) AS total_warehouses,
        {_sum2("sales")} AS total_sales, {_sum2("order_profit_per_order")} AS total_profit,
        {_avg2("order_item_quantity")} AS avg_order_quantity,
        {_avg2("delivery_delay_days")} AS avg_delivery_delay
-FROM supply_chain""", "supply_chain"))
+FROM supply_chain""", "supply_chain")
+register("overall_kpi", _OVERALL_KPI)
+register("overall_kpi_merged", _OVERALL_KPI)
 
 register("delivery_performance", q("SELECT * FROM d2_delivery", "d2_delivery"))
 
@@ -521,7 +523,7 @@ register("pagerank", q(f"SELECT node_type, node_id, {R6('pagerank')} AS pagerank
 register("top_pagerank_by_type", q(f"""
 SELECT node_type, node_id, pagerank FROM (
   SELECT node_type, node_id, {R6('pagerank')} AS pagerank,
-         ROW_NUMBER() OVER (PARTITION BY node_type ORDER BY {R6('pagerank')} DESC NULLS LAST, node_id) AS rn
+         ROW_NUMBER() OVER (PARTITION BY node_type ORDER BY {R('pagerank', 10)} DESC NULLS LAST, node_id) AS rn
   FROM pagerank WHERE node_type IN ('SUPPLIER', 'WAREHOUSE', 'DISTRIBUTION_CENTER')) t
 WHERE rn <= 20""", "pagerank"))
 register("connected_components", q("SELECT * FROM components", "components"))
@@ -561,7 +563,7 @@ ORDER BY criticality_score DESC NULLS LAST, node_type, node_id LIMIT 1""", "crit
                                        ("critical",)))
 register("removal_impact_pagerank", _impact(f"""
 SELECT node_id, node_type, {R6('pagerank')} AS pagerank FROM pagerank
-ORDER BY {R6('pagerank')} DESC NULLS LAST, node_type, node_id LIMIT 1""", "pagerank", ("pagerank",)))
+ORDER BY {R('pagerank', 10)} DESC NULLS LAST, node_type, node_id LIMIT 1""", "pagerank", ("pagerank",)))
 
 register("removal_impact_all", q(f"""
 SELECT failed_node_id, failed_node_type, affected_edges, total_edges,

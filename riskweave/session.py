@@ -52,7 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         local = base.startswith(("file:", "/"))
-        if local and not sc.master.startswith("local["):
+        if local and not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share; "
                                f"{base} is on a local file system")
     sc.setCheckpointDir(base)
