@@ -46,13 +46,22 @@ def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_table(spark, sf_dir, "raw_fact", lambda: load_fact(spark, sf_dir))
 
 
-def processed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned fact with all row-level features, written once per session. It
-    reads the raw copy only if a raw query has written that already."""
+def _raw_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw fact for one pass: the copy if a raw query has written that already."""
     raw = known(spark, sf_dir, "raw_fact")
-    raw = load_fact(spark, sf_dir) if raw is None else raw
-    return shared_table(spark, sf_dir, "processed_fact",
-                        lambda: features.add_risk_features(clean.clean_fact(raw)))
+    return load_fact(spark, sf_dir) if raw is None else raw
+
+
+def _fact_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed fact for one pass over some of its columns: the table if it
+    has been written already, else the plan, of which only these are derived."""
+    done = known(spark, sf_dir, "processed_fact")
+    return features.add_risk_features(clean.clean_fact(_raw_plan(spark, sf_dir))) if done is None else done
+
+
+def processed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned fact with all row-level features, written once per session."""
+    return shared_table(spark, sf_dir, "processed_fact", lambda: _fact_plan(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------
@@ -208,7 +217,7 @@ def q_overall_kpi_merged(spark, sf_dir):
 
 def groups_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All groupings of D2-D13, from one pass over the fact."""
-    return shared_table(spark, sf_dir, "report_groups", lambda: report_pass.report_groups(processed_fact(spark, sf_dir)),
+    return shared_table(spark, sf_dir, "report_groups", lambda: report_pass.report_groups(_fact_plan(spark, sf_dir)),
                         report_pass.written_groups)
 
 
