@@ -23,6 +23,9 @@ EDGE_SOURCES = tuple(zip(("Supplier_ID", "Warehouse_ID", "DC_ID"),
                          ("Warehouse_ID", "DC_ID", "Destination_ID"),
                          K.EDGE_LAYERS))
 
+#: Fact columns that nodes and edges read.
+FACT_COLUMNS = (*(c for c, _t in NODE_SOURCES), "delivery_delay_days")
+
 ROUTE_EDGE_COLUMNS = ("src", "dst", "Route_ID", "Distance_KM", "Transport_Mode",
                       "Route_Risk_Level", "delivery_delay_days", "late_delivery_risk")
 

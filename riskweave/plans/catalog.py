@@ -247,14 +247,22 @@ def report_table(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
 # E: graph construction
 # --------------------------------------------------------------------------
 
+def network_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed fact's columns that nodes and edges read, one row per row of
+    the fact: a narrow table, or the processed fact if it has been written."""
+    done = known(spark, sf_dir, "processed_fact")
+    return shared_table(spark, sf_dir, "network_fact",
+                        lambda: _fact_plan(spark, sf_dir).select(*network.FACT_COLUMNS)) if done is None else done
+
+
 def nodes_table(spark, sf_dir):
     return shared_table(spark, sf_dir, "graph_nodes",
-                        lambda: network.graph_nodes(processed_fact(spark, sf_dir)))
+                        lambda: network.graph_nodes(network_fact(spark, sf_dir)))
 
 
 def edges_table(spark, sf_dir):
     return shared_table(spark, sf_dir, "graph_edges",
-                        lambda: network.graph_edges(processed_fact(spark, sf_dir)))
+                        lambda: network.graph_edges(network_fact(spark, sf_dir)))
 
 
 def route_edges_table(spark, sf_dir):
@@ -264,7 +272,7 @@ def route_edges_table(spark, sf_dir):
 
 @query("graph_nodes")
 def q_graph_nodes(spark, sf_dir):
-    return network.graph_nodes(processed_fact(spark, sf_dir))
+    return network.graph_nodes(network_fact(spark, sf_dir))
 
 
 @query("node_type_counts")
@@ -274,7 +282,7 @@ def q_node_type_counts(spark, sf_dir):
 
 @query("graph_edges")
 def q_graph_edges(spark, sf_dir):
-    return network.graph_edges(processed_fact(spark, sf_dir))
+    return network.graph_edges(network_fact(spark, sf_dir))
 
 
 @query("relationship_counts")
