@@ -79,11 +79,14 @@ def write_result(df: DataFrame, base: str, name: str) -> str:
     return path
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, compression: str = "none", file_rows: int = 0) -> str:
     """CSV with header, values written verbatim (Spark's CSV writer trims
-    surrounding whitespace by default; raw input must keep it)."""
+    surrounding whitespace by default; raw input must keep it). A compressed
+    file cannot be split when it is read, so ``file_rows`` bounds its rows
+    (0: no bound); every file has the header."""
     (df.write.mode("overwrite").option("header", True)
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .option("compression", compression).option("maxRecordsPerFile", file_rows)
        .csv(path))
     return path
 
