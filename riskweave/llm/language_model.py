@@ -51,8 +51,12 @@ PAD, END, RARE, FIRST = 0, 1, 2, 3
 KAPPA = (20.0, 4.0)
 #: Text bytes of a shard (one text at least).
 SHARD_BYTES = 16 << 20
+#: Text bytes of a shard that are split into words at a time.
+PIECE_BYTES = 2 << 20
 #: Tokens of a part of the model (about 100 MB while it is built).
 PART_TOKENS = 500_000
+#: Tokens or n-grams of a shard whose numbers are worked on at a time.
+BLOCK = 1 << 18
 #: Word rows that a task holds before it sends them to their shards.
 TOLD_ROWS = 1 << 20
 _STEPS, _RANGE = 2047, 32
@@ -170,13 +174,25 @@ def _mapped(data: bytes) -> mmap.mmap:
 _SHARD = "words array<binary>, counts array<long>, codes binary, doc_ids array<long>, sizes array<int>, train array<boolean>"
 
 
-def _shard(batches):
-    for batch in chunks(batches, max_bytes=SHARD_BYTES):
-        raw, offsets = lower_bytes(column(batch, "text"))
+def _numbered(batch) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """For each word of a shard its place among the distinct words (in order of
+    first occurrence), these, and the words of each text. Texts are split
+    ``PIECE_BYTES`` at a time, as splitting takes many times their bytes."""
+    pieces, sizes = [], []
+    for piece in chunks([batch], max_bytes=PIECE_BYTES):
+        raw, offsets = lower_bytes(column(piece, "text"))
         mask = ~_IS_SPACE[raw]
         begin, end = word_runs(mask, offsets)
-        places, words = numbered_words(raw, mask, begin, end)
-        sizes = np.diff(np.searchsorted(begin, offsets))
+        pieces.append(pa.DictionaryArray.from_arrays(*numbered_words(raw, mask, begin, end)))
+        sizes.append(np.diff(np.searchsorted(begin, offsets)))
+    whole = pa.chunked_array(pieces).unify_dictionaries()
+    words = whole.chunk(0).dictionary
+    return np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in whole.chunks]), words, np.concatenate(sizes)
+
+
+def _shard(batches):
+    for batch in chunks(batches, max_bytes=SHARD_BYTES):
+        places, words, sizes = _numbered(batch)
         train = column(batch, "train").to_numpy(zero_copy_only=False).astype(bool)
         counts = np.bincount(places[np.repeat(train, sizes)], minlength=len(words))
         yield pa.RecordBatch.from_arrays(
@@ -264,30 +280,39 @@ class _Grams:
         bits = len(t.ids).bit_length()
         order = None
         if train is not None and n * bits < 64:  # the flag fits beside the n-gram: sort the numbers alone
-            key = np.sort(_limbs([*tokens, train], bits)[0] if (n + 1) * bits <= 64
-                          else (_limbs(tokens, bits)[0] << np.uint64(1)) | train)
+            key = (_limbs([*tokens, train], bits)[0] if (n + 1) * bits <= 64
+                   else (_limbs(tokens, bits)[0] << np.uint64(1)) | train)
+            key.sort()
             shift = bits if (n + 1) * bits <= 64 else 1
             first = _starts(key >> np.uint64(shift))
             counts = np.add.reduceat(key & np.uint64(1), first).astype(np.int64) if len(first) else first
             lead = key[first] >> np.uint64(shift)
             ranks = [((lead >> np.uint64(bits * k)) & np.uint64((1 << bits) - 1)).astype(np.int32) for k in range(n - 1, -1, -1)]
+            del key, lead
         else:
             order, first = _distinct(tokens, bits)
             counts = np.add.reduceat(train[order].astype(np.int64), first) if train is not None and len(first) else None
             ranks = [c[order[first]] for c in tokens]
-        columns = [t.ids[r] for r in ranks]
-        seen = t.seen[ranks[0]]
-        part = _part(columns[0], seen, columns[1], parts, part_tokens)
-        by = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+        part = np.empty(len(first), np.uint16 if parts <= 1 << 16 else np.int64)
+        for a in range(0, len(part), BLOCK):
+            v, other = (r[a:a + BLOCK] for r in ranks[:2])
+            part[a:a + BLOCK] = _part(t.ids[v], t.seen[v], t.ids[other], parts, part_tokens)
+        by = np.argsort(part, kind="stable")
         self.part = part[by]
         if train is not None:
-            self.columns, self.of_v, self.counts = [c[by] for c in columns], seen[by], counts[by]
+            self._ids, self._seen, self._ranks, self._by, self._counts = t.ids, t.seen, ranks, by, counts
         else:
             at = np.empty(len(by), np.int32)
             at[by] = np.arange(len(by), dtype=np.int32)
             self.place = np.empty(len(order), np.int32)
             self.place[order] = np.repeat(at, np.diff(np.append(first, len(order))))
 
+    def rows(self, a: int, b: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """The columns of some n-grams with their training counts, and the counts of v."""
+        at = self._by[a:b]
+        ranks = [r[at] for r in self._ranks]
+        return [*[self._ids[r] for r in ranks], self._counts[at]], self._seen[ranks[0]]
+
 
 def _planes(values: np.ndarray) -> list[np.ndarray]:
     """Numbers as their bytes, lowest plane first, as many as the largest needs."""
@@ -323,11 +348,12 @@ def _sent(stats: _Stats, parts: int, part_tokens: int):
                 found: dict[int, list] = {}
                 for n in (2, 3):
                     grams = _Grams(t, n, parts, part_tokens, train)
-                    columns = [*grams.columns, grams.counts, *([grams.of_v] if n == 2 else [])]
                     cut = np.append(_starts(grams.part), len(grams.part))
                     for a, b in zip(cut[:-1], cut[1:]):
-                        found.setdefault(int(grams.part[a]), [None, None])[n - 2] = _written([c[a:b] for c in columns])
-                    del grams, columns
+                        columns, of_v = grams.rows(a, b)
+                        found.setdefault(int(grams.part[a]), [None, None])[n - 2] = _written(
+                            [*columns, of_v] if n == 2 else columns)
+                    del grams
                 shard = column(batch, "shard")[i].as_py()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(found), pa.int64()), pa.array([shard] * len(found), pa.int64()),
@@ -370,19 +396,27 @@ def _scored(stats: _Stats, parts: int, part_tokens: int):
                 order = np.argsort(got.field("part").to_numpy(zero_copy_only=False))
                 codes = [opened(unsqueezed(got.field("codes")[int(k)], np.uint8)) for k in order]
                 pair, triple, left = (np.concatenate([c[k] for c in codes]) for k in range(3))
-                count = np.full(len(t.w), stats.texts)
-                count[t.is_word] = t.count[t.codes]
-                base = (count + 0.1) / stats.below
-                lowest = np.where(t.w == RARE, rare, base)
-                seen = t.seen[t.v]
-                p = weights(pair)[_Grams(t, 2, parts, part_tokens).place] + KAPPA[0] / (seen + KAPPA[0]) * lowest
-                place = _Grams(t, 3, parts, part_tokens).place
-                p = (weights(triple)[place] + weights(left)[place] * p) * (base / lowest)
-                known = np.add.reduceat((count > 0).astype(np.int64), t.first)
+                del codes
+                two, three = (_Grams(t, n, parts, part_tokens).place for n in (2, 3))
+                # the number of words before each block of tokens says where its words are in the codes
+                words = np.concatenate(([0], np.cumsum(np.add.reduceat(t.is_word, np.arange(0, len(t.w), BLOCK), dtype=np.int64))))
+                found = np.empty(len(t.w), dtype=bool)
+                log_base, log_p = np.empty(len(t.w)), np.empty(len(t.w))
+                for k, a in enumerate(range(0, len(t.w), BLOCK)):
+                    now = slice(a, a + BLOCK)
+                    count = np.full(len(t.w[now]), stats.texts)
+                    count[t.is_word[now]] = t.count[t.codes[words[k]:words[k + 1]]]
+                    base = (count + 0.1) / stats.below
+                    lowest = np.where(t.w[now] == RARE, rare, base)
+                    seen = t.seen[t.v[now]]
+                    p = weights(pair[two[now]]) + KAPPA[0] / (seen + KAPPA[0]) * lowest
+                    p = (weights(triple[three[now]]) + weights(left[three[now]]) * p) * (base / lowest)
+                    found[now], log_base[now], log_p[now] = count > 0, np.log10(base), np.log10(p)
+                known = np.add.reduceat(found, t.first, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [t.doc_ids, pa.array(~t.train), pa.array(t.lengths), pa.array(known),
-                     pa.array(np.full(len(t.first), stats.tokens)), pa.array(np.add.reduceat(np.log10(base), t.first)),
-                     pa.array(np.add.reduceat(np.log10(p), t.first))],
+                     pa.array(np.full(len(t.first), stats.tokens)), pa.array(np.add.reduceat(log_base, t.first)),
+                     pa.array(np.add.reduceat(log_p, t.first))],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
