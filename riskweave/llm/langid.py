@@ -45,6 +45,8 @@ RATE = 0.5
 PART = 20000
 #: Words of an inference block.
 BLOCK = 128
+#: Text bytes that a task predicts at a time: their words take some 50 times as much.
+PREDICT_BYTES = 1 << 20
 #: Mean of the words' highest label probabilities under which the filter rejects a document.
 MIN_SCORE = 0.5
 
@@ -336,7 +338,7 @@ _RESULT = "doc_id long, lang_pred string, score double, shares map<string,double
 
 def _label(model: Model):
     def run(batches):
-        for b in chunks(batches):
+        for b in chunks(batches, max_bytes=PREDICT_BYTES):
             found = predict(column(b, "text"), model)
             k = len(model.languages)
             maps = pa.MapArray.from_arrays(
@@ -360,7 +362,7 @@ _WORDS = "doc_id long, spans array<struct<lang:string,word_start:long,word_end:l
 
 def _label_words(model: Model):
     def run(batches):
-        for b in chunks(batches):
+        for b in chunks(batches, max_bytes=PREDICT_BYTES):
             found = predict(column(b, "text"), model)
             spans = []
             for x, lo, hi in zip(found.lang, found.ptr[:-1].tolist(), found.ptr[1:].tolist()):
@@ -382,7 +384,7 @@ def label_words(docs: DataFrame, model: Model) -> DataFrame:
 
 def _accept(model: Model, at: int, min_score: float):
     def run(batches):
-        for b in chunks(batches):
+        for b in chunks(batches, max_bytes=PREDICT_BYTES):
             found = predict(b.column(at), model)
             keep = [x != UNKNOWN and c >= min_score for x, c in zip(found.lang, found.certainty.tolist())]
             yield b.filter(pa.array(keep, pa.bool_()))
