@@ -15,7 +15,8 @@ pairs are not enumerated; classes are the connected components, so pairs that
 are connected already need no test:
 
 1. every member is compared with the bucket's smallest one, and in buckets that
-   still hold several components with its most central members;
+   still hold several components with its most central members, of either half
+   of its texts;
 2. what lies outside a bucket's largest component is searched by rare shingles.
    In the order of rarity, the first shingle that two similar texts share is
    among the first n - needed + 1 of the n shingles of *either* text (the prefix
@@ -37,6 +38,7 @@ read.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +56,10 @@ SIMILARITY = 0.8
 ELL = 2
 ROWS = 2
 BANDS = 16
-#: Nodes that a task holds while it joins its own links into trees (about 100 MB).
+#: Links that a task joins into trees, and nodes that it holds for it (about 100 MB).
 TASK_NODES = 500_000
-#: Rounds that compare a bucket's most central member with the rest.
-CENTRAL_ROUNDS = 2
+#: Parts of a bucket, by hash, whose most central member is compared with the whole bucket.
+CENTRAL = 2
 
 
 # --------------------------------------------------------------------------
@@ -282,11 +284,15 @@ def _forests(nodes: int):
     return run
 
 
-def components(links: DataFrame, scratch: Scratch, task_nodes: int = TASK_NODES) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, task_nodes: int = TASK_NODES, name: str = "cc") -> DataFrame:
     """(rep, component) of every linked text; the component is its smallest
-    text. Each task turns its links into trees, distributed rounds join these."""
-    trees = links.select("a", "b").mapInArrow(_forests(task_nodes), "a long, b long")
-    return star_components(trees, scratch, "a", "b").withColumnRenamed("node", "rep")
+    text. Each task turns about ``task_nodes`` links into trees, distributed
+    rounds join these. The number of tasks grows with that of the links: links
+    spread over many small files would give a tree for each file, and rounds
+    that do nothing but join them."""
+    tasks = math.ceil(links.count() / max(1, task_nodes))
+    trees = links.select("a", "b").coalesce(max(1, tasks)).mapInArrow(_forests(task_nodes), "a long, b long")
+    return star_components(trees, scratch, "a", "b", name=name).withColumnRenamed("node", "rep")
 
 
 class _Search:
@@ -294,24 +300,24 @@ class _Search:
 
     def __init__(self, scratch: Scratch, texts: DataFrame, threshold: float):
         self.scratch, self.texts, self.threshold = scratch, texts, threshold
-        self.new = self.tested = self.roots = None
-        self.round = 0
+        self.new = self.roots = None
+        self.tested: list[DataFrame] = []
 
     def compare(self, pairs: DataFrame) -> None:
         """Verify the (a, b) pairs that were not tested before."""
-        scratch, k = self.scratch, self.round
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = scratch.table(pairs, f"pairs-{k}")
+        scratch, k = self.scratch, len(self.tested)
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(False).alias("old"))
+        for before in self.tested:
+            pairs = pairs.unionByName(before.withColumn("old", F.lit(True)))
+        pairs = scratch.table(pairs.groupBy("a", "b").agg(F.max("old").alias("old")).where("NOT old").select("a", "b"),
+                              f"pairs-{k}")
         texts = self.texts
         left = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
         both = left.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
         found = scratch.table(both.select("a", "b", "text_a", "text_b")
                               .mapInArrow(_verify(self.threshold), _VERIFIED), f"links-{k}")
         self.new = None if found.isEmpty() else found.select("a", "b")
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        self.round += 1
+        self.tested.append(pairs)
 
     def labelled(self, members: DataFrame) -> DataFrame:
         """members with the component of each (its own id if it has no link)."""
@@ -319,7 +325,7 @@ class _Search:
             links = self.new
             if self.roots is not None:  # the components so far are links to their smallest texts
                 links = links.unionByName(self.roots.select(F.col("rep").alias("a"), F.col("component").alias("b")))
-            self.roots = self.scratch.table(components(links, self.scratch), f"roots-{self.round}")
+            self.roots = components(links, self.scratch, name=f"roots-{len(self.tested)}")
             self.new = None
         if self.roots is None:
             return members.withColumn("component", F.col("rep"))
@@ -328,17 +334,14 @@ class _Search:
 
 
 def _open(scratch: Scratch, members: DataFrame, name: str) -> DataFrame:
-    """Members of the buckets that hold several components, with the size of
-    the bucket and of the member's component in it. All counts are aggregated
-    before the shuffle and written, so that the joins with the members have a
-    plain file on either side and AQE may split a large bucket."""
+    """Members of the buckets that hold several components. These buckets are
+    found by an aggregate that is written, so that the join with the members
+    has a plain file on either side and AQE may split a large bucket."""
     members = scratch.table(members, f"{name}-members")
-    part = scratch.table(members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("in_component")), f"{name}-part")
-    total = scratch.table(
-        part.groupBy("key").agg(F.sum("in_component").alias("in_bucket"), F.count(F.lit(1)).alias("components"))
-        .where("components > 1").select("key", "in_bucket"), f"{name}-total")
-    found = scratch.table(members.join(total, "key").join(part, ["key", "component"]), name)
-    scratch.drop(f"{name}-members", f"{name}-part", f"{name}-total")
+    several = scratch.table(members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                            .where("low < high").select("key"), f"{name}-keys")
+    found = scratch.table(members.join(several, "key"), name)
+    scratch.drop(f"{name}-members", f"{name}-keys")
     return found
 
 
@@ -354,33 +357,26 @@ def _links(scratch: Scratch, members: DataFrame, texts: DataFrame, threshold: fl
 
     # Shingle frequencies among the open texts: the most central member of a
     # bucket is the one with the fewest shingles of its own.
-    open_ids = scratch.table(rest.select("rep").distinct(), "open-ids")
-    texts = scratch.table(texts.join(open_ids, "rep", "left_semi"), "open-texts")
+    texts = scratch.table(texts.join(rest.select("rep"), "rep", "left_semi"), "open-texts")
     search.texts = texts
     counted = scratch.table(texts.withColumnRenamed("rep", "doc_id")
                             .mapInArrow(_shingle_hashes, "rep long, hash long, n int"), "shingles")
     often = scratch.table(counted.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")), "often")
     weighed = scratch.table(counted.join(often, "hash"), "weighed")
-    own = scratch.table(weighed.groupBy("rep").agg(
-        F.coalesce(F.sum(F.when(F.col("texts") == 1, F.col("n"))), F.lit(0)).alias("own")), "own")
-    members = scratch.table(rest.select("key", "rep", "shingles").join(own, "rep"), "members-2")
-    left = rest.join(own, "rep")
-    used = None
-    for _ in range(CENTRAL_ROUNDS):
-        k = search.round
-        if used is not None:
-            left = left.join(used, ["key", "rep"], "left_anti")
-        rank = F.struct(-F.col("own") / F.col("shingles"), -F.col("rep"))
-        central = scratch.table(left.groupBy("key").agg(F.max_by(F.struct("rep", "component", "shingles"), rank).alias("p"))
-                                .select("key", "p.*"), f"central-{k}")
-        pairs = (central.join(left.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"),
-                                          F.col("shingles").alias("nb")), "key")
-                 .where((F.col("cb") != F.col("component"))
-                        & (F.least("nb", "shingles") >= threshold * F.greatest("nb", "shingles"))))
-        search.compare(pairs.select(F.col("rep").alias("a"), "b"))
-        new = central.select("key", "rep")
-        used = new if used is None else used.unionByName(new)
-        left = _open(scratch, search.labelled(members), f"open-{k}")
+    scratch.drop("shingles", "often")
+    own = weighed.groupBy("rep").agg(F.coalesce(F.sum(F.when(F.col("texts") == 1, F.col("n"))), F.lit(0)).alias("own"))
+    left = scratch.table(rest.join(own, "rep"), "weighed-members")
+    rank = F.struct(-F.col("own") / F.col("shingles"), -F.col("rep"))
+    central = scratch.table(left.groupBy("key", F.pmod(F.xxhash64("rep"), F.lit(CENTRAL)).alias("part"))
+                            .agg(F.max_by(F.struct("rep", "component", "shingles"), rank).alias("p"))
+                            .select("key", "p.*"), "central")
+    pairs = (central.join(left.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"),
+                                      F.col("shingles").alias("nb")), "key")
+             .where((F.col("cb") != F.col("component"))
+                    & (F.least("nb", "shingles") >= threshold * F.greatest("nb", "shingles"))))
+    search.compare(pairs.select(F.col("rep").alias("a"), "b"))
+    left = _open(scratch, search.labelled(left.select("key", "rep", "shingles")), "open-2")
+    scratch.drop("weighed-members", "central", "open-1")
     if left.isEmpty():
         return search
 
@@ -389,33 +385,36 @@ def _links(scratch: Scratch, members: DataFrame, texts: DataFrame, threshold: fl
     # texts, so fewer than n - needed + 1 shingles of either come before it.
     share = threshold / (1 + threshold)
     rarer = W.partitionBy("rep").orderBy("texts", "hash").rowsBetween(W.unboundedPreceding, -1)
-    sizes = scratch.table(left.groupBy("rep").agg(F.first("shingles").alias("shingles")), "open-sizes")
+    reps = scratch.table(left.groupBy("rep").agg(F.first("shingles").alias("shingles"),
+                                                 F.first("component").alias("component")), "open-reps")
     # the smallest partner of n shingles has threshold * n: needed is threshold * n
     prefixes = scratch.table(
-        weighed.join(sizes, "rep").withColumn("before", F.coalesce(F.sum("n").over(rarer), F.lit(0)))
+        weighed.join(reps, "rep").withColumn("before", F.coalesce(F.sum("n").over(rarer), F.lit(0)))
         .where((F.col("before") <= F.col("shingles") - F.ceil(threshold * F.col("shingles") - 1e-6))
-               & (F.col("texts") > 1)).select("hash", "rep", "shingles", "before"), "prefixes")
+               & (F.col("texts") > 1)).select("hash", "rep", "shingles", "before", "component"), "prefixes")
+    scratch.drop("weighed", "open-reps")
 
     # One text of each shingle first: pairs in proportion to the prefixes.
-    head = scratch.table(prefixes.groupBy("hash").agg(F.max_by(F.struct("rep", "shingles"), F.struct("shingles", "rep"))
-                                                      .alias("p")).select("hash", "p.*"), "heads")
-    of_rep = scratch.table(left.groupBy("rep").agg(F.first("component").alias("component")), "open-components")
-    known = (head.join(of_rep, "rep").select("hash", F.col("rep").alias("a"), F.col("shingles").alias("na"),
-                                             F.col("component").alias("ca")))
-    search.compare(prefixes.join(of_rep, "rep").join(scratch.table(known, "known-heads"), "hash")
+    heads = scratch.table(prefixes.groupBy("hash").agg(F.max_by(F.struct("rep", "shingles", "component"),
+                                                                F.struct("shingles", "rep")).alias("p"))
+                          .select("hash", F.col("p.rep").alias("a"), F.col("p.shingles").alias("na"),
+                                  F.col("p.component").alias("ca")), "heads")
+    search.compare(prefixes.join(heads, "hash")
                    .where((F.col("ca") != F.col("component")) & (F.col("shingles") >= threshold * F.col("na")))
                    .select("a", F.col("rep").alias("b")))
-    left = _open(scratch, search.labelled(members), "open-last")
+    left = _open(scratch, search.labelled(left.select("key", "rep", "shingles")), "open-3")
+    scratch.drop("heads", "open-2")
     if left.isEmpty():
         return search
 
     # What the largest component of a bucket does not hold, against all prefixes
     # of open buckets; a pair of two such texts is found from either, one is enough.
-    biggest = scratch.table(left.groupBy("key").agg(F.max(F.struct("in_component", "component")).alias("top")), "biggest")
+    biggest = scratch.table(left.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+                            .groupBy("key").agg(F.max(F.struct("n", "component")).alias("top")), "biggest")
     labels = scratch.table(left.join(biggest, "key").groupBy("rep").agg(
         F.first("component").alias("component"),
         F.max(F.col("component") != F.col("top.component")).alias("outside")), "labels")
-    held = scratch.table(prefixes.join(labels, "rep"), "held")
+    held = scratch.table(prefixes.drop("component").join(labels, "rep"), "held")
     probes = held.where("outside").select("hash", F.col("rep").alias("a"), F.col("component").alias("ca"),
                                           F.col("shingles").alias("na"), F.col("before").alias("before_a"))
     needed = F.ceil(share * (F.col("na") + F.col("shingles")) - 1e-6)
@@ -426,14 +425,15 @@ def _links(scratch: Scratch, members: DataFrame, texts: DataFrame, threshold: fl
         & (F.col("before_a") <= F.col("na") - needed)
         & (F.col("before") <= F.col("shingles") - needed)).select("a", F.col("rep").alias("b"))
     search.compare(pairs)
-    search.labelled(members)
+    search.labelled(left.select("key", "rep"))
     return search
 
 
-def _classed(spark: SparkSession, docs: DataFrame, threshold: float) -> DataFrame:
-    """The columns of ``classes`` and the text_key of each row. A row is known
-    by its number in the written sketch table, for doc_ids may repeat."""
-    scratch = Scratch(spark, "near-dedup")
+def _classed(scratch: Scratch, docs: DataFrame, threshold: float) -> DataFrame:
+    """The columns of ``classes`` and the text_key of each row, read from two
+    tables of ``scratch``. A row is known by its number in the written sketch
+    table, for doc_ids may repeat."""
+    searched = Scratch(scratch.spark, "near-dedup-search")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key"))
     made = scratch.table(docs.mapInArrow(_sketch, _SKETCH).withColumn("row", F.monotonically_increasing_id()), "sketches")
     copies = scratch.table(made.groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc_id").alias("rep_id")), "copies")
@@ -445,24 +445,26 @@ def _classed(spark: SparkSession, docs: DataFrame, threshold: float) -> DataFram
                             .where("pivot < top")
                             .select("key", "pivot", (F.col("first.shingles") * threshold).alias("least_shingles")),
                             "buckets")
-    members = scratch.table(keyed.join(buckets, "key"), "members")
-    scratch.drop("keyed")
+    members = searched.table(keyed.join(buckets, "key"), "members")
+    scratch.drop("keyed", "buckets")
     roots = None
     if not members.isEmpty():
         ids = (made.select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key"), F.col("row").alias("rep"))
                .join(members.select("rep").distinct(), "rep", "left_semi"))
-        texts = scratch.table(docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of_doc"))
+        texts = searched.table(docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of_doc"))
                                         & (F.col("text_key") == F.col("of_key")))
                               .select("rep", "text").dropDuplicates(["rep"]), "texts")
-        roots = _links(scratch, members, texts, threshold).roots
+        roots = _links(searched, members, texts, threshold).roots
     of_rep = copies
     if roots is not None:
         of_rep = copies.join(roots, "rep", "left")
     else:
         of_rep = copies.withColumn("component", F.lit(None).cast("long"))
     of_rep = scratch.table(of_rep.select("digest", "rep_id", F.coalesce("component", "rep").alias("component")), "classes")
+    searched.clear()
     classed = scratch.table(made.select("doc_id", "text_key", "row", "digest").join(of_rep, "digest").drop("digest"),
                             "classed")
+    scratch.drop("sketches", "copies", "classes")
     sizes = scratch.table(classed.groupBy("component").agg(
         F.count(F.lit(1)).alias("class_size"),
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "row")).alias("first")), "sizes")
@@ -475,18 +477,19 @@ def classes(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY)
     """One row per document: doc_id, class_id (smallest doc_id of the class),
     class_size, kept (the row that stays for its class), rep_id (smallest
     doc_id with the same words)."""
-    return _classed(spark, docs, threshold).drop("text_key")
+    return _classed(Scratch(spark, "near-dedup"), docs, threshold).drop("text_key")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, that stay for their class. A decision
     names (doc_id, text_key); of rows that repeat both, one stays."""
-    scratch = Scratch(spark, "near-dedup-keep")
+    scratch, classed = Scratch(spark, "near-dedup-keep"), Scratch(spark, "near-dedup")
     doc, key = spare_name(docs, "_gone"), spare_name(docs, "_gone_key")
     listed = scratch.table(
-        _classed(spark, docs, threshold)
+        _classed(classed, docs, threshold)
         .groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key))
         .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("NOT kept OR rows > 1"), "listed")
+    classed.clear()
     same = F.col("doc_id").eqNullSafe(F.col(doc)) & (_text_key() == F.col(key))
     rest = docs.join(listed.select(doc, key).hint("merge"), same, "left_anti")
     several = listed.where("kept").select(doc, key)

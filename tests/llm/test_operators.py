@@ -330,6 +330,43 @@ def test_components_in_one_task_or_in_rounds(spark, task_links):
     assert sorted(map(tuple, got)) == [(3, 3), (5, 3), (7, 7), (8, 7), (9, 3)]
 
 
+def written(monkeypatch, cls=Scratch):
+    """The names of the tables written from here on."""
+    names, table = [], cls.table
+    monkeypatch.setattr(cls, "table", lambda self, df, name: names.append(name) or table(self, df, name))
+    return names
+
+
+def test_links_in_many_small_files_are_joined_without_rounds(spark, monkeypatch):
+    """Tasks follow the number of links: the links of 40 tasks fit in one, which
+    leaves stars; links that repeat do not start another round."""
+    pairs = [(i, i + 1) for i in range(0, 200)] + [(i + 1, i) for i in range(0, 200)] + [(900, 901)]
+    links = Scratch(spark, "test-links").table(
+        spark.createDataFrame(pairs, "a long, b long").repartition(40), "links")
+    names = written(monkeypatch)
+    got = {x.rep: x.component for x in near_dedup.components(links, Scratch(spark, "test-links"), 1000).collect()}
+    assert got == {i: 0 for i in range(201)} | {900: 900, 901: 900}
+    assert len(names) == 2
+    rounds = {x.rep: x.component for x in near_dedup.components(links, Scratch(spark, "test-links"), 50).collect()}
+    assert rounds == got and len(names) > 4
+
+
+def test_near_dedup_deletes_what_is_read_no_more(spark, monkeypatch):
+    """What the search writes is gone when the classes are known, and the
+    filter keeps its list of rows only."""
+    made = []
+    monkeypatch.setattr(near_dedup, "Scratch", lambda *a: made.append(Scratch(*a)) or made[-1])
+    a = prose(120, 41)
+    rows = [(1, a), (2, a + " end"), (3, a + " more"), (4, prose(120, 42))]
+    got = near_dedup.classes(spark, table(spark, rows))
+    assert set().union(*(s.names for s in made)) == {"classed", "sizes"}
+    assert {x.doc_id: x.class_id for x in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+    made.clear()
+    kept = near_dedup.drop_near_copies(spark, table(spark, rows))
+    assert set().union(*(s.names for s in made)) == {"listed"}
+    assert sorted(x.doc_id for x in kept.collect()) == [1, 4]
+
+
 def test_alignment_is_longest_common_subsequence():
     def lcs(a, b):
         row = [0] * (len(b) + 1)
