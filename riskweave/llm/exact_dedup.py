@@ -105,13 +105,15 @@ def parts(rows: DataFrame) -> list[DataFrame]:
     return [rows.where(F.col("points") >= mean), rows.where(F.col("points") < mean)]
 
 
-def ingest(spark: SparkSession, docs: DataFrame, index_path: str | None = None, batch: str | None = None) -> DataFrame:
+def ingest(spark: SparkSession, docs: DataFrame, index_path: str | None = None, batch: str | None = None,
+           scratch: Scratch | None = None) -> DataFrame:
     """Deduplicate ``docs`` within themselves and against the index, append
     what is new, and return one row per input row: doc_id, keep_id, group_size
     (rows of this batch), kept, text_sha256, points. Rows whose text an earlier
     batch had are not kept and name that batch's document. ``batch`` names these
-    rows for a repeated run; without it they are a batch of their own."""
-    scratch = Scratch(spark, "exact-dedup")
+    rows for a repeated run; without it they are a batch of their own. The
+    result reads tables of ``scratch``, which also holds an index without a path."""
+    scratch = scratch or Scratch(spark, "exact-dedup")
     index = DigestIndex(spark, index_path or scratch.path("index"))
     batch = batch or uuid.uuid4().hex
     rows = scratch.table(digests(docs), "digests")
@@ -143,13 +145,14 @@ def drop_copies(spark: SparkSession, docs: DataFrame, index_path: str | None = N
     three are copies of one another, and only such repeated rows are compared
     further.
     """
-    scratch = Scratch(spark, "exact-dedup-keep")
-    made = ingest(spark, docs, index_path)
+    scratch, ingested = Scratch(spark, "exact-dedup-keep"), Scratch(spark, "exact-dedup")
+    made = ingest(spark, docs, index_path, scratch=ingested)
     doc, sha, points, copies = (spare_name(docs, "_kept_" + c) for c in ("doc", "sha", "points", "copies"))
     length = F.length(F.coalesce("text", F.lit("")))
     kept = scratch.table(
         made.groupBy(F.col("doc_id").alias(doc), F.col("text_sha256").alias(sha), F.col("points").alias(points))
         .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias(copies)).where("kept").drop("kept"), "kept")
+    ingested.clear()  # with it an index that no later batch can name
 
     def of(ids: DataFrame) -> DataFrame:
         return docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col(doc))

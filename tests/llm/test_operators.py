@@ -4,6 +4,7 @@ force or held-out accuracy."""
 
 import hashlib
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -229,6 +230,20 @@ def test_pii_checksums_and_context(spark):
     assert got[2] == [] and got[4] == [] and got[3][0].kind == "ssn"
 
 
+def test_drop_copies_deletes_what_is_read_no_more(spark, monkeypatch, tmp_path):
+    """An index of its own goes with the run, one with a path stays."""
+    made = []
+    monkeypatch.setattr(exact_dedup, "Scratch", lambda *a: made.append(Scratch(*a)) or made[-1])
+    rows = [(1, "a b"), (2, "ab"), (3, "c")]
+    for path in (None, str(tmp_path / "index")):
+        made.clear()
+        kept = exact_dedup.drop_copies(spark, table(spark, rows), path)
+        assert [sorted(x.names) for x in made if x.names] == [["kept"]]
+        assert sum(os.path.exists(x.base.removeprefix("file:")) for x in made) == 1
+        assert sorted(x.doc_id for x in kept.collect()) == [1, 3]
+    assert os.listdir(tmp_path / "index")
+
+
 # -- near duplicates ------------------------------------------------------
 
 def shingle_set(text):
